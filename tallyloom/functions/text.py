@@ -13,7 +13,10 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# References that stay escaped until a cell's text is taken, so that markup is never made out of text.
+_KEPT = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 _REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_RESOLVABLE = r"&(?!(?:amp|lt|gt|quot|apos);)(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def strip(c: Column) -> Column:
@@ -36,32 +39,49 @@ def last_two(c: Column) -> Column:
 
 
 def _named_entities() -> Column:
-    pairs = [F.lit(x) for name, code in html.entities.name2codepoint.items() for x in (name, chr(code))]
-    return F.create_map(*pairs, F.lit("apos"), F.lit("'"))
-
-
-def _code_point(ref: Column) -> Column:
-    code = F.when(
-        F.lower(F.substring(ref, 2, 1)) == "x",
-        F.conv(F.substring(ref, 3, 6), 16, 10).try_cast("bigint"),
-    ).otherwise(F.substring(ref, 2, 7).try_cast("bigint"))
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    """Entity names to characters, as one literal."""
+    pairs = "\n".join(f"{name}={chr(code)}" for name, code in html.entities.name2codepoint.items() if name not in _KEPT)
+    return F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("="))
+
+
+def resolve_references(doc: Column) -> Column:
+    """Turn named and numeric character references of a document into characters.
+
+    The five references of XML itself are left for ``unescape``; unknown references stay as they are. A document
+    without others is returned untouched. Each step below is its own pass over the short list of references.
+    """
+    parts = F.split(doc, "&")
+    tail = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    named = F.transform(tail, lambda p: F.struct(p.alias("p"), F.regexp_extract(p, _REFERENCE, 1).alias("ref")))
+    hexadecimal = lambda ref: F.conv(F.substring(ref, 3, 6), 16, 10)
+    coded = F.transform(
+        named,
+        lambda x: F.struct(
+            x["p"].alias("p"), x["ref"].alias("ref"),
+            F.when(x["ref"].rlike("^#[xX]"), hexadecimal(x["ref"])).when(x["ref"].startswith("#"), F.substring(x["ref"], 2, 7))
+            .try_cast("int").alias("code"),
+        ),
+    )
+    valid = lambda code: code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    char = lambda x: F.when(
+        valid(x["code"]), escape(F.decode(F.unhex(F.lpad(F.hex(x["code"]), 8, "0")), "UTF-32"))
+    ).when(x["code"].isNull(), F.try_element_at(_named_entities(), x["ref"]))
+    spelled = F.transform(coded, lambda x: F.struct(x["p"].alias("p"), x["ref"].alias("ref"), char(x).alias("char")))
+    text = F.transform(
+        spelled,
+        lambda x: F.when(x["char"].isNull(), F.concat(F.lit("&"), x["p"]))
+        .otherwise(F.concat(x["char"], F.substr(x["p"], F.length(x["ref"]) + 2))),
+    )
+    resolved = F.concat(F.get(parts, F.lit(0)), F.array_join(text, ""))
+    return F.when(doc.rlike(_RESOLVABLE), resolved).otherwise(doc)
 
 
 def unescape(c: Column) -> Column:
-    """Decode named and numeric character references; unknown ones stay as they are."""
-    names = _named_entities()
-
-    def decode(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, _REFERENCE, 1)
-        char = F.when(ref.startswith("#"), _code_point(ref)).when(ref != "", F.try_element_at(names, ref))
-        rest = F.substr(piece, F.length(ref) + 2)
-        return F.when(char.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(char, rest))
-
-    parts = F.split(c, "&")
-    tail = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decode)
-    return F.when(F.contains(c, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))).otherwise(c)
+    """Decode XML's own references; the ampersand comes last."""
+    out = c
+    for name in ("lt", "gt", "quot", "apos", "amp"):
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(_KEPT[name]))
+    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
 
 
 def escape(c: Column) -> Column:

@@ -11,13 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import to_measure
-from tallyloom.functions.text import drop_brackets, strip, unescape
+from tallyloom.functions.text import drop_brackets, resolve_references, strip, unescape
 from tallyloom.plans.specs import ReportSpec
+from tallyloom.plans.staging import computed_once, exploded
 
 # The inside of an opening tag; a quoted value may hold '>'.
 _TAG = r"""(?:[^'">]+|"[^"]*"|'[^']*')*"""
-_STRUCTURE = r"(?:t[rhd]|table|thead|tbody|tfoot)(?=[\s/>])"
-_FOREIGN = rf"(?i)<(?!/?{_STRUCTURE})/?[a-z!?]{_TAG}>"
+_TABLE = r"[tT][aA][bB][lL][eE](?=[\s/>])"
+# Tags that are not part of the table's own structure.
+_FOREIGN = (
+    r"<(?!/?(?:[tT][rRhHdD]|[tT][aA][bB][lL][eE]|[tT][hH][eE][aA][dD]|[tT][bB][oO][dD][yY]|[tT][fF][oO][oO][tT])[\s/>])"
+    rf"/?[a-zA-Z!?]{_TAG}>"
+)
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -52,20 +57,25 @@ def _without_comments(doc: Column) -> Column:
     return F.when(F.contains(doc, F.lit("<!--")), F.regexp_replace(doc, r"(?s)<!--.*?-->", "")).otherwise(doc)
 
 
-def _nested_table(doc: Column) -> Column:
-    """The first table element up to its own closing tag, when it holds further tables."""
-    opened = F.regexp_extract(doc, r"(?is)<table(?=[\s/>]).*", 0)
+def _first_table(pieces: Column) -> Column:
+    """The first table, from the text cut before every opening and closing table tag.
+
+    Normally that is the second piece; with tables inside, the pieces up to the tag that closes the first one.
+    """
 
     def step(acc: Column, piece: Column) -> Column:
-        delta = F.when(piece.rlike(r"(?i)^<table"), 1).when(piece.rlike(r"(?i)^</table"), -1).otherwise(0)
+        depth = acc["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
         return F.struct(
-            (acc["depth"] + delta).alias("depth"),
-            (acc["done"] | ((acc["depth"] + delta <= 0) & (F.length(piece) > 0))).alias("done"),
+            depth.alias("depth"),
+            (acc["done"] | (depth <= 0)).alias("done"),
             F.when(acc["done"], acc["text"]).otherwise(F.concat(acc["text"], piece)).alias("text"),
         )
 
     start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
-    return F.aggregate(F.split(opened, r"(?i)(?=</?table[\s/>])"), start, step, lambda acc: acc["text"])
+    tail = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    nested = F.aggregate(tail, start, step, lambda acc: acc["text"])
+    plain = F.coalesce(F.get(pieces, F.lit(2)).startswith("</"), F.lit(True))
+    return F.when(plain, F.get(pieces, F.lit(1))).otherwise(nested)
 
 
 def with_table_rows(docs: DataFrame, payload: str = "payload") -> DataFrame:
@@ -75,21 +85,19 @@ def with_table_rows(docs: DataFrame, payload: str = "payload") -> DataFrame:
     """
     carried = [c for c in docs.columns if c != payload]
     text = F.col("_text")
-    simple = F.regexp_extract("_text", r"(?is)<table(?=[\s/>]).*?(?:</table\s*>|$)", 0)
-    steps = docs.select(*carried, _without_comments(F.col(payload)).alias("_text"))
-    steps = steps.select(*carried, "_text", simple.alias("_table"))
-    nested = F.col("_table").rlike(r"(?is)^.+<table(?=[\s/>])")
-    steps = steps.select(*carried, F.when(nested, _nested_table(text)).otherwise(F.col("_table")).alias("_text"))
+    cut = F.split(F.concat(F.lit(" "), _without_comments(F.col(payload))), rf"(?=</?{_TABLE})")
+    steps = docs.select(*carried, cut.alias("_pieces"))
+    steps = steps.select(*carried, _first_table(F.col("_pieces")).alias("_text"))
     steps = steps.select(
         *carried, F.when(text.rlike(_FOREIGN), F.regexp_replace(text, _FOREIGN, "")).otherwise(text).alias("_text")
     )
-    steps = steps.select(*carried, F.split(text, r"(?i)<tr(?=[\s/>])").alias("_pieces"))
+    steps = steps.select(*carried, F.split(text, r"<[tT][rR](?=[\s/>])").alias("_pieces"))
     n = F.greatest(F.size("_pieces") - 1, F.lit(0))
     return steps.select(*carried, F.slice("_pieces", F.lit(2), n).alias("table_rows"))
 
 
 def _cells(row: Column, group: int) -> Column:
-    return F.regexp_extract_all(row, F.lit(rf"(?i)<td(?=[\s/>])({_TAG})>([^<]*)"), F.lit(group))
+    return F.regexp_extract_all(row, F.lit(rf"<[tT][dD](?=[\s/>])({_TAG})>([^<]*)"), F.lit(group))
 
 
 def cell_texts(row: Column) -> Column:
@@ -145,7 +153,8 @@ def parse_tables(landing: DataFrame, spec: ReportSpec, payload: str = "payload")
     carried = [c for c in landing.columns if c != payload]
     h = spec.header_rows
     target = summary_target(F.col(payload)) if spec.has_target else F.lit(None).cast("string")
-    tables = with_table_rows(landing.select(*carried, target.alias("demographic"), payload), payload)
+    docs = landing.withColumn(payload, resolve_references(F.col(payload)))
+    tables = with_table_rows(docs.select(*carried, target.alias("demographic"), payload), payload)
     header_row = F.get("table_rows", F.lit(h - 1))
     top_row = F.get("table_rows", F.lit(0)) if spec.top else F.lit(None).cast("string")
     header_width = F.size("header")
@@ -185,19 +194,13 @@ def parse_rows(landing: DataFrame, spec: ReportSpec, payload: str = "payload") -
 
     All other columns of the landing frame are carried along; ``reject_reason`` is null for rows that can be read.
     """
-    tables = parse_tables(landing, spec, payload)
-    carried = [c for c in tables.columns if c != "data_rows"]
-    rows = tables.select(*carried, F.posexplode("data_rows").alias("row_no", "row"))
+    rows = exploded(parse_tables(landing, spec, payload), "data_rows", "row", "row_no").drop("data_rows")
     tag = _label_tag(F.col("row"))
-    rows = rows.select(
-        *carried, "row_no",
-        row_label(F.col("row")).alias("label"),
-        *[attribute(tag, a).alias(c) for c, a in spec.attributes.items()],
-        cell_texts(F.col("row")).alias("cells"),
-        _layout_number(spec).alias("layout"),
-    )
-    if "media_type" in spec.attributes:
-        rows = rows.withColumn("media_type", drop_brackets(F.col("media_type")))
+    parsed = {"label": row_label(F.col("row")), "cells": cell_texts(F.col("row"))}
+    for column, name in spec.attributes.items():
+        value = attribute(tag, name)
+        parsed[column] = drop_brackets(value) if column == "media_type" else value
+    rows = computed_once(rows, parsed).drop("row").withColumn("layout", _layout_number(spec))
     return rows.withColumn("reject_reason", _reject_reason(spec))
 
 
@@ -238,11 +241,11 @@ def long_facts(rows: DataFrame, spec: ReportSpec, null_attribute: bool = False,
     for i, name in enumerate(key_names):
         missing = F.lit(None if null_attribute else "None").cast("string")
         keys.append(F.when(n_keys > i, F.get("cells", F.lit(i))).otherwise(missing).alias(name))
-    entry = F.explode(F.when(n_keys < F.col("width"), entries)).alias("entry")
     facts = rows.filter(F.col("reject_reason").isNull()).select(
         *carried, *keep, F.col("label").alias(spec.label), *spec.attributes, *keys,
-        *(["demographic"] if spec.has_target else []), entry,
-    )
+        *(["demographic"] if spec.has_target else []),
+        F.explode_outer(F.when(n_keys < F.col("width"), entries)).alias("entry"),
+    ).filter(F.col("entry").isNotNull())
     return facts.select(
         *[c for c in facts.columns if c != "entry"],
         "entry.metric", "entry.metric_id", to_measure(F.col("entry.value")).alias("metric_value"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,10 +27,6 @@ def data_row(label: Column, attributes: dict[str, Column], cells: Column) -> Col
     )
 
 
-def top_row(labels: Column) -> Column:
-    return F.concat(F.lit("<tr><th></th>"), F.array_join(F.transform(labels, _cell), ""), F.lit("</tr>"))
-
-
 def header_row(label: str, metrics: Column) -> Column:
     """``metrics`` is an array of structs (metric, metric_id)."""
     cell = lambda m: F.concat(
@@ -40,8 +37,11 @@ def header_row(label: str, metrics: Column) -> Column:
     return F.concat(F.lit(f"<tr><th>{label}</th>"), F.array_join(F.transform(metrics, cell), ""), F.lit("</tr>"))
 
 
-def metric_list(pairs: Sequence[tuple[str, str | None]]) -> Column:
-    return F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(i).cast("string").alias("metric_id")) for m, i in pairs])
+def fixed_row(cells: Sequence[tuple[str, str | None]], label: str = "") -> Column:
+    """A header row that is the same for all documents: (text, id) pairs."""
+    quote = lambda t: html.escape(t, quote=True)
+    tds = "".join(f"<td>{quote(t)}</td>" if i is None else f'<td id="{quote(i)}">{quote(t)}</td>' for t, i in cells)
+    return F.lit(f"<tr><th>{quote(label)}</th>{tds}</tr>")
 
 
 def document(rows_markup: Column, *headers: Column, target: Column | None = None) -> Column:

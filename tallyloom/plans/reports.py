@@ -25,6 +25,7 @@ from tallyloom.operators.parse import (
 from tallyloom.operators.quality import conform
 from tallyloom.operators.reshape import is_member
 from tallyloom.plans.joins import broadcast_if_small
+from tallyloom.plans.staging import computed_once, exploded
 from tallyloom.plans.specs import (
     AUDIENCE_DUPLICATION,
     CORRECTED_NAMES,
@@ -113,8 +114,7 @@ def _pair_rows(landing: DataFrame, spec: ReportSpec, strict: bool) -> DataFrame:
     docs = docs.withColumn("unique", F.size(F.array_distinct("keys")) == F.size("keys"))
     own = key(F.col("r"))
     repeated = ~F.col("unique") & (F.size(F.filter("keys", lambda k: k == own)) > 1)
-    exploded = docs.withColumn("r", F.explode("rows")).withColumn("is_duplicate", repeated)
-    return exploded.drop("rows", "keys", "unique")
+    return exploded(docs, "rows", "r").withColumn("is_duplicate", repeated).drop("rows", "keys", "unique")
 
 
 def cross_visiting(
@@ -126,12 +126,6 @@ def cross_visiting(
     All measures of a pair stand in one table row, so the pivot reads them there and moves no data.
     ``on_duplicate='quarantine'`` leaves out repeated keys, which ``cross_visiting_duplicates`` lists.
     """
-    rows = _pair_rows(landing, spec, strict)
-    if on_duplicate == "fail":
-        stop = F.raise_error(F.lit("duplicate key in pair matrix")).cast("boolean")
-        rows = rows.filter(F.when(F.col("is_duplicate"), stop).otherwise(True))
-    else:
-        rows = rows.filter(~F.col("is_duplicate"))
     first_value = len(spec.layouts[0].key_cells)
     entries = F.transform(
         F.sequence(F.lit(first_value), F.col("width") - 1),
@@ -140,10 +134,15 @@ def cross_visiting(
             to_measure(F.get("r.cells", j)).alias("value"),
         ),
     )
-    rows = rows.filter(F.col("width") > first_value).withColumn("entries", entries)
-    rows = rows.withColumn(
-        "comparison_media", F.explode(F.array_distinct(F.transform("entries", lambda e: e["media"])))
-    )
+    rows = _pair_rows(landing, spec, strict)
+    if on_duplicate == "fail":
+        stop = F.raise_error(F.lit("duplicate key in pair matrix")).cast("boolean")
+        usable = F.when(F.col("is_duplicate"), stop).otherwise(F.lit(True))
+    else:
+        usable = ~F.col("is_duplicate")
+    rows = computed_once(rows, {"entries": F.when(usable & (F.col("width") > first_value), entries)})
+    compared = F.array_distinct(F.transform("entries", lambda e: F.struct(e["media"].alias("name"))))
+    rows = exploded(rows, compared, "compared").withColumn("comparison_media", F.col("compared.name"))
 
     def value_of(label: str) -> Column:
         same = lambda e: e["media"].eqNullSafe(F.col("comparison_media")) & (e["metric"] == label)
@@ -187,13 +186,13 @@ def audience_duplication(
         return _only(F.transform(found, lambda r: r["cells"]), name, "array<string>").alias(name)
 
     docs = docs.select("*", *[summary_cells(n) for n in DUPLICATION_SUMMARIES[1:]])
-    docs = docs.select("*", F.posexplode("media").alias("media_no", "r"))
+    docs = exploded(docs, "media", "r", "media_no")
     if pairing == "reversed":
         docs = docs.withColumn("comparision_media", F.get("media", F.size("media") - 1 - F.col("media_no"))["label"])
     else:
         rest = F.filter("media", lambda m: m["benchmark_media_id"] != F.col("r.benchmark_media_id"))
         docs = docs.withColumn("comparision_media", F.explode_outer(F.transform(rest, lambda m: m["label"])))
-    docs = docs.filter(F.col("width") > 0).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("width") - 1)))
+    docs = exploded(docs, F.when(F.col("width") > 0, F.sequence(F.lit(0), F.col("width") - 1)), "j")
     j = F.col("j")
     return _finish(
         docs.select(
