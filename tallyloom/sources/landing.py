@@ -22,7 +22,7 @@ def read_landing(spark: SparkSession, path: str, report: str | None = None) -> D
 
 def read_landing_files(spark: SparkSession, path: str) -> DataFrame:
     """Documents landed one per file below ``report=…/data_date=…/request_id=…/attempt=…`` directories."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(
         F.col("request_id").cast("string"),
         F.col("report").cast("string"),
