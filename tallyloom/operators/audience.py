@@ -46,21 +46,23 @@ def cross_visit(visits: DataFrame, media: str, user: str, comparison: Sequence)
     """Shared audience of every media with every listed comparison media.
 
     ``visits`` may hold a (user, media) pair any number of times; it is reduced to distinct pairs first. The listed
-    media a user visited become the bits of masks (62 to a mask), which a window puts beside each of the user's media.
-    A media then adds up the bits of its users. No pair of visits is ever formed, and the list may have any length.
-    Pairs without shared users are left out.
+    media a user visited become the bits of masks (62 to a mask), combined on the map side and joined back to the
+    user's media; adaptive execution splits that join for a user with very many media. A media then adds up the bits
+    of its users. No pair of visits is ever formed, and the list may have any length. Pairs without shared users are
+    left out.
     """
     listed = list(comparison)
     pairs = visits.select(user, media).distinct()
     total = pairs.select(user).distinct().agg(F.count(user).alias("total"))
-    of_user = Window.partitionBy(user)
-    masks = {
-        f"_mask{i}": F.bit_or(_bit(F.col(media), listed[i : i + MASK_BITS])).over(of_user)
-        for i in range(0, len(listed), MASK_BITS)
-    }
+    masks = pairs.groupBy(user).agg(
+        *[
+            F.bit_or(_bit(F.col(media), listed[i : i + MASK_BITS])).alias(f"_mask{i}")
+            for i in range(0, len(listed), MASK_BITS)
+        ]
+    )
     bit = lambda i: F.shiftright(f"_mask{i - i % MASK_BITS}", i % MASK_BITS).bitwiseAND(F.lit(1))
     per_media = (
-        pairs.withColumns(masks)
+        pairs.join(masks, user)
         .groupBy(media)
         .agg(F.count(F.lit(1)).alias("audience"), *[F.sum(bit(i)).alias(f"_{i}") for i in range(len(listed))])
     )

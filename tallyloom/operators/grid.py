@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.plans.joins import broadcast_if_small
+from tallyloom.plans.specs import ReportSpec
 
 
 def _literal_structs(rows: Sequence[dict]) -> Column:
@@ -65,6 +66,30 @@ def report_query(
     return fact
 
 
+def request_parameters(spec: ReportSpec, period_id: int, **chosen: object) -> dict[str, object]:
+    """All parameters of one request: the report's fixed ones, the period and what the caller chose.
+
+    ``chosen`` uses the parameter names of the report surface, such as timeType, mediaSet, csMarket or target.
+    """
+    return {**dict(spec.parameters), "timePeriod": period_id, **chosen}
+
+
+def ask(
+    fact: DataFrame, spec: ReportSpec, parameters: dict[str, object], columns: dict[str, str],
+    media_set: DataFrame | None = None,
+) -> DataFrame:
+    """Answer one report request from a fact table.
+
+    ``columns`` names the fact column behind each parameter; a parameter with a list of values (media, mediaColumn)
+    tests membership. Parameters without a column are constant over the fact and are skipped. ``media_set`` holds the
+    members of the requested set in the fact's own media column.
+    """
+    lists = {columns[p]: v for p, v in parameters.items() if p in columns and isinstance(v, (list, tuple))}
+    equals = {columns[p]: v for p, v in parameters.items() if p in columns and columns[p] not in lists}
+    sets = {} if media_set is None else {media_set.columns[0]: media_set}
+    return report_query(fact, equals, lists, sets, spec.measures)
+
+
 def decorate_measures(fact: DataFrame, dictionary: dict[str, str], column: str = "metric_id") -> DataFrame:
     """Add the measure's name from its id and say whether the id is known."""
     names = F.create_map(*[F.lit(x) for pair in dictionary.items() for x in pair])

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.plans.joins import null_safe_join
+from tallyloom.plans.staging import computed_once
+
 
 def unpivot(df: DataFrame, keys: Sequence[str], values: Sequence[str], name: str = "metric", value: str = "metric_value") -> DataFrame:
     """Wide to long; rows with a null value stay."""
@@ -46,17 +49,21 @@ def is_member(c: Column, members: Column) -> Column:
 
 
 def split_by_member(df: DataFrame, column: str, members: Sequence | Column) -> tuple[DataFrame, DataFrame]:
-    """Rows in the list and rows not in it; rows with a null belong to the second part."""
+    """Rows in the list and rows not in it; rows with a null belong to the second part.
+
+    The test is computed above the frame, not pushed into it, so that both parts share the shuffles that made it.
+    """
     if isinstance(members, Column):
         inside = is_member(F.col(column), members)
     else:
         inside = F.coalesce(F.col(column).isin(*members), F.lit(False))
-    return df.filter(inside), df.filter(~inside)
+    flagged = computed_once(df, {"_inside": inside})
+    return flagged.filter("_inside").drop("_inside"), flagged.filter("NOT _inside").drop("_inside")
 
 
 def attach_summary(media: DataFrame, summary: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Left join of the summary values; every media row stays."""
-    return media.join(summary.select(*on, *columns), list(on), "left")
+    return null_safe_join(media, summary.select(*on, *columns), on, "left")
 
 
 def pair_up(df: DataFrame, group: Sequence[str], member: str, members: Sequence | Column, value: str) -> DataFrame:
@@ -69,17 +76,22 @@ def pair_up(df: DataFrame, group: Sequence[str], member: str, members: Sequence
     own = F.col(member)
     wanted = df.withColumn("companion", F.explode(F.filter(listed, lambda m: m != own)))
     partner = df.select(*group, F.col(member).alias("companion"), F.col(value).alias(f"companion_{value}"))
-    return wanted.join(partner, [*group, "companion"], "inner")
+    return null_safe_join(wanted, partner, [*group, "companion"])
 
 
-def pair_reversed(df: DataFrame, group: Sequence[str], position: str, columns: Sequence[str]) -> DataFrame:
+def pair_reversed(
+    df: DataFrame, group: Sequence[str], position: str, columns: Sequence[str], block: int = 65_536
+) -> DataFrame:
     """Each row with the row at the mirrored position of its group; positions run from 0 without gaps.
 
-    The group size is a combined count. The mirrored position makes an equi-join on group and position, so a large
-    group spreads over many tasks.
+    The group size is a combined count. It is joined per block of positions, so that a group of many rows spreads over
+    as many tasks as it has blocks while small groups keep one row of size. The mirrored position then makes an
+    equi-join on group and position.
     """
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    left = df.join(sizes, list(group)).withColumn("_at", F.col("_n") - 1 - F.col(position)).drop("_n")
+    sizes = sizes.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / block).cast("int"))))
+    left = df.withColumn("_block", F.floor(F.col(position) / block).cast("int")).join(sizes, [*group, "_block"])
+    left = left.withColumn("_at", F.col("_n") - 1 - F.col(position)).drop("_n", "_block")
     right = df.select(*group, F.col(position).alias("_at"), *[F.col(c).alias(f"mirrored_{c}") for c in columns])
     return left.join(right, [*group, "_at"], "left").drop("_at")
 

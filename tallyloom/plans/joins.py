@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,3 +18,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     keys. The check reads at most ``max_rows + 1`` rows.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet each other.
+
+    No null filter is inferred for either side, so two branches of one frame keep the same plan below their shuffles
+    and the shuffles are done once.
+    """
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys])
+    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])

@@ -68,3 +68,8 @@ def publish(df: DataFrame, base: str, table: str, catalog_table: str | None = No
         spark.sql(f"ALTER TABLE {_identifier(catalog_table)} RECOVER PARTITIONS")
         spark.catalog.refreshTable(catalog_table)
     return path
+
+
+def preview(df: DataFrame, n: int = 20) -> None:
+    """Print the first rows in full width; for interactive use."""
+    df.show(n, truncate=False)

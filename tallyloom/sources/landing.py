@@ -62,6 +62,7 @@ def pending(grid: DataFrame, log: DataFrame, request: list[str], ready: str = "i
 
 
 def with_readiness(landing: DataFrame) -> DataFrame:
+    """Mark ready answers. Stored with the landing table, the mark spares later look-ups the document text."""
     return landing if "is_ready" in landing.columns else landing.withColumn("is_ready", ~has_errors(F.col("payload")))
 
 
