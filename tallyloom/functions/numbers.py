@@ -12,15 +12,22 @@ from tallyloom.functions.text import strip
 NUMBER = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)$"
 
 
-def to_number(c: Column) -> Column:
-    """Text to double; whatever is not a number becomes null."""
-    text = strip(c)
+def stripped_to_number(text: Column) -> Column:
+    """Text without surrounding white space to double; whatever is not a number becomes null."""
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
+def stripped_to_measure(text: Column) -> Column:
+    """The same in the 32-bit measure type, parsed as 64-bit first."""
+    return stripped_to_number(text).cast("float")
+
+
+def to_number(c: Column) -> Column:
+    return stripped_to_number(strip(c))
+
+
 def to_measure(c: Column) -> Column:
-    """Text to the 32-bit measure type, parsed as 64-bit first."""
-    return to_number(c).cast("float")
+    return stripped_to_measure(strip(c))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def unescape(c: Column) -> Column:
 
 
 def escape(c: Column) -> Column:
-    """The inverse used when a table is rendered as markup."""
-    for raw, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+    """The inverse: text that can stand in a cell or in a quoted attribute."""
+    for raw, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")):
         c = F.replace(c, F.lit(raw), F.lit(ref))
     return c

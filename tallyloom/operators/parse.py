@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.numbers import to_measure
+from tallyloom.functions.numbers import stripped_to_measure
 from tallyloom.functions.text import drop_brackets, resolve_references, strip, unescape
 from tallyloom.plans.specs import ReportSpec
 from tallyloom.plans.staging import computed_once, exploded
@@ -28,7 +28,8 @@ _FOREIGN = (
 def attribute(tag: Column, name: str) -> Column:
     """Value of one attribute of an opening tag's text, null when the tag lacks it."""
     raw = F.nullif(F.regexp_extract(tag, rf"""(?i)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>/]+)""", 1), F.lit(""))
-    return unescape(F.btrim(raw, F.lit("\"'")))
+    quoted = raw.startswith('"') | raw.startswith("'")
+    return unescape(F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
 
 
 def element_text(doc: Column, name: str) -> Column:
@@ -122,8 +123,9 @@ def row_label(row: Column) -> Column:
     return F.when(row.rlike(pattern), strip(unescape(F.regexp_extract(row, pattern, 1))))
 
 
-def _top_cells(row: Column) -> Column:
-    return F.transform(cell_texts(row), lambda x: F.when(~x.isin("Category", "Attribute"), x))
+def _top_cells(row: Column, spec: ReportSpec) -> Column:
+    cells = cell_texts(row)
+    return F.transform(cells, lambda x: F.when(~x.isin(*spec.top_blanks), x)) if spec.top_blanks else cells
 
 
 def _layout_number(spec: ReportSpec) -> Column:
@@ -164,7 +166,7 @@ def parse_tables(landing: DataFrame, spec: ReportSpec, payload: str = "payload")
         "demographic",
         header_cells(header_row).alias("header"),
         F.lower(row_label(header_row)).alias("header_label"),
-        _top_cells(top_row).alias("top"),
+        _top_cells(top_row, spec).alias("top"),
         F.size(_cells(F.get("table_rows", F.lit(h)), 1)).alias("first_width"),
         F.slice("table_rows", F.lit(h + 1), F.greatest(F.size("table_rows") - h, F.lit(0))).alias("data_rows"),
     ).select(
@@ -248,6 +250,6 @@ def long_facts(rows: DataFrame, spec: ReportSpec, null_attribute: bool = False,
     ).filter(F.col("entry").isNotNull())
     return facts.select(
         *[c for c in facts.columns if c != "entry"],
-        "entry.metric", "entry.metric_id", to_measure(F.col("entry.value")).alias("metric_value"),
+        "entry.metric", "entry.metric_id", stripped_to_measure(F.col("entry.value")).alias("metric_value"),
         *([F.col("entry.top").alias(spec.top)] if spec.top else []),
     )

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.numbers import nan_to_null, to_measure
+from tallyloom.functions.numbers import nan_to_null, stripped_to_measure
 from tallyloom.functions.periods import period_labels
 from tallyloom.functions.text import last_two, slug
 from tallyloom.operators.parse import (
@@ -43,12 +43,12 @@ PARTITION = "data_date"
 
 
 def attach_requests(landing: DataFrame, requests: DataFrame) -> DataFrame:
-    """Label every document with the columns of its request.
+    """Label every document with the columns of its request; a document without a known request keeps null labels.
 
     The grid is broadcast when it is checked to be small, which leaves the document text where it was read.
     """
     labels = [c for c in requests.columns if c == "request_id" or c not in landing.columns]
-    return landing.join(broadcast_if_small(requests.select(*labels)), "request_id", "inner")
+    return landing.join(broadcast_if_small(requests.select(*labels)), "request_id", "left")
 
 
 def _finish(facts: DataFrame, spec: ReportSpec, corrected_names: bool = False) -> DataFrame:
@@ -131,7 +131,7 @@ def cross_visiting(
         F.sequence(F.lit(first_value), F.col("width") - 1),
         lambda j: F.struct(
             F.get("top", j).alias("media"), F.get("header", j)["metric"].alias("metric"),
-            to_measure(F.get("r.cells", j)).alias("value"),
+            stripped_to_measure(F.get("r.cells", j)).alias("value"),
         ),
     )
     rows = _pair_rows(landing, spec, strict)
@@ -201,8 +201,8 @@ def audience_duplication(
             F.col("r.benchmark_media_id").alias("benchmark_media_id"),
             F.get("header", j)["metric"].alias("metrics"),
             F.get("header", j)["metric_id"].alias("metric_id"),
-            to_measure(F.get("r.cells", j)).alias("benchmark_metric_value"),
-            *[to_measure(F.get(n, j)).alias(n) for n in DUPLICATION_SUMMARIES[1:]],
+            stripped_to_measure(F.get("r.cells", j)).alias("benchmark_metric_value"),
+            *[stripped_to_measure(F.get(n, j)).alias(n) for n in DUPLICATION_SUMMARIES[1:]],
         ),
         spec,
         corrected_names,

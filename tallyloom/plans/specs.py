@@ -31,6 +31,7 @@ class ReportSpec:
 
     ``ragged`` says what happens to a row whose width differs from the expected one: ``drop`` rejects it, ``pad``
     fills short rows with null and cuts long ones, ``strict`` cuts long rows and rejects short ones.
+    ``top`` names the column the upper header row fills; labels in ``top_blanks`` count as null there.
     ``width_from`` takes the expected width from the header or, for compatibility, from the first data row.
     """
 
@@ -42,6 +43,7 @@ class ReportSpec:
     ragged: str
     schema: T.StructType
     top: str | None = None
+    top_blanks: tuple[str, ...] = ()
     constants: tuple[tuple[str, str], ...] = ()
     parameters: tuple[tuple[str, int], ...] = ()
     measures: tuple[int, ...] = ()
@@ -109,6 +111,7 @@ MULTI_PLATFORM = ReportSpec(
     ),
     ragged="drop",
     top="platform",
+    top_blanks=("Category", "Attribute"),
     schema=_schema(
         "media media_type company_id parent_company_id category attribute metric metric_id metric_value:float "
         "platform month year:int report_type categories"

@@ -67,7 +67,7 @@ def with_readiness(landing: DataFrame) -> DataFrame:
 
 
 def ready_documents(landing: DataFrame) -> DataFrame:
-    """The newest ready document of every request.
+    """The newest ready document of every request; attempt numbers are unique within a request.
 
     Only requests with several ready attempts need a look-up; that list holds ids and attempt numbers, is broadcast
     when it is checked to be small, and so the document text is not shuffled.

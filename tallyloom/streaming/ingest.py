@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.landing import LANDING_SCHEMA
 from tallyloom.sources.lake import touched_months, write_months
 
 PARTITION = "data_date"
 
 
+def landing_source(spark: SparkSession, path: str) -> DataFrame:
+    """Answers that arrive as parquet files, as a stream."""
+    return spark.readStream.schema(LANDING_SCHEMA).parquet(path)
+
+
 def land_batch(batch: DataFrame, landing_path: str, batch_id: int) -> None:
     """Store one micro-batch under its own id; a repeated batch replaces itself."""
     (

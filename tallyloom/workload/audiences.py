@@ -17,8 +17,8 @@ BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 
 def _brand_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(customer, brand) pairs; repeats are taken out before each join."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
+    """(customer, brand) pairs; an order keeps each brand once before it meets its customer."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand"))
     brands = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "brand").distinct()
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("customer"))

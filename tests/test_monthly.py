@@ -8,6 +8,7 @@ from tallyloom.operators.reshape import pair_reversed
 from tallyloom.plans.monthly import build_report, run_month, stream_report
 from tallyloom.plans.specs import DESKTOP, REPORTS
 from tallyloom.plans.workspace import new_folder
+from tallyloom.streaming.ingest import landing_source
 
 SCHEMA = "request_id string, report string, data_date date, attempt int, payload string"
 HEAD = header(["Category", "Attribute", ("Visitors", "1")])
@@ -41,9 +42,8 @@ def test_stream_of_answers_equals_the_batch(spark):
     folder = new_folder(spark, "answers")
 
     def run():
-        stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in")
         stream_report(
-            spark, stream, "desktop", f"{folder}/landing", f"{folder}/lake", "desktop", f"{folder}/checkpoint",
+            spark, landing_source(spark, f"{folder}/in"), "desktop", f"{folder}/landing", f"{folder}/lake", "desktop", f"{folder}/checkpoint",
             requests(spark),
         )
         return months(spark, f"{folder}/lake/desktop")

@@ -1,3 +1,6 @@
+import html
+import random
+
 import pytest
 from payloads import doc, header, landing, row, rows_of
 from pyspark.sql import functions as F
@@ -12,7 +15,7 @@ from tallyloom.operators.parse import (
     summary_target,
 )
 from tallyloom.plans import reports
-from tallyloom.plans.specs import DESKTOP, LOCAL_MARKET, MOBILE, MULTI_PLATFORM, Layout
+from tallyloom.plans.specs import AUDIENCE_DUPLICATION, DESKTOP, LOCAL_MARKET, MOBILE, MULTI_PLATFORM, Layout
 
 DESKTOP_HEADER = header(["Category", "Attribute", ("Visitors", "1"), ("Minutes", "2")])
 
@@ -174,3 +177,28 @@ def test_small_texts(spark):
 def test_parse_needs_no_python_and_no_shuffle(spark):
     plan = reports.desktop(landing(spark, "<r/>"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_random_tables_survive_the_round_trip(spark):
+    rng = random.Random(11)
+    alphabet = ["a", "B", "7", ".", "&", "<", ">", '"', "'", " ", "é", "ß", "漢", "&amp;", "&eacute;", "<td>", "</tr>", "\n", "=", "/"]
+    text = lambda: "".join(rng.choice(alphabet) for _ in range(rng.randrange(9)))
+    payloads, expected = [], []
+    for d in range(150):
+        n = rng.randrange(1, 6)
+        rows, heads = [], [(text(), text() or None) for _ in range(n)]
+        for r in range(rng.randrange(6)):
+            label, wid, cells = text(), rng.choice([None, text()]), [text() for _ in range(rng.choice([n, n, n, n + 1, max(n - 1, 0)]))]
+            tag = "" if wid is None else f' web_id="{html.escape(wid)}"'
+            rows.append(f"<tr><th{tag}>{html.escape(label)}</th>{''.join(f'<td>{html.escape(c)}</td>' for c in cells)}</tr>")
+            reason = "short_row" if len(cells) < n else "long_row" if len(cells) > n else None
+            expected.append((f"r{d}", r, label.strip(), wid, [c.strip() for c in cells], [(m.strip(), i) for m, i in heads], reason))
+        head = "".join(f"<td{'' if i is None else f' id={chr(34)}{html.escape(i)}{chr(34)}'}>{html.escape(m)}</td>" for m, i in heads)
+        payloads.append(f"<e><table><thead><tr><th>x</th>{head}</tr></thead><tbody>{''.join(rows)}</tbody></table></e>")
+    spec = AUDIENCE_DUPLICATION
+    parsed = parse_rows(landing(spark, *payloads), spec)
+    got = [
+        (r.request_id, r.row_no, r.label, r.benchmark_media_id, r.cells, [(h.metric, h.metric_id) for h in r.header], r.reject_reason)
+        for r in parsed.collect()
+    ]
+    assert sorted(got, key=lambda r: r[:2]) == sorted(expected, key=lambda r: r[:2])

@@ -19,6 +19,8 @@ def test_query_agrees_with_sql(spark, con, name):
         assert df.count() > 0
     else:
         assert difference(df, con, sql) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(bad in plan for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"))
 
 
 def test_entry(spark):
