@@ -11,21 +11,34 @@ from pyspark.sql import functions as F
 MASK_BITS = 62
 
 
-def key_measures(events: DataFrame, period: str, media: str, user: str, value: str) -> DataFrame:
+def key_measures(
+    events: DataFrame, period: str, media: str, user: str, value: str, scaled: bool = False
+) -> DataFrame:
     """Unique visitors, pages, minutes and reach per period and media.
 
-    Users are reduced to one row per (period, media, user) before anything meets on the smaller keys.
+    Users are reduced to one row per (period, media, user) before anything meets on the smaller keys. ``scaled`` gives
+    visitors in thousands, pages and minutes in millions.
     """
     per_user = events.groupBy(period, media, user).agg(F.count(F.lit(1)).alias("pages"), F.sum(value).alias("minutes"))
     per_media = per_user.groupBy(period, media).agg(
         F.count(user).alias("unique_visitors"), F.sum("pages").alias("pages"), F.sum("minutes").alias("minutes")
     )
     totals = events.select(period, user).distinct().groupBy(period).agg(F.count(user).alias("_total"))
+    return _with_reach(per_media, totals, period, scaled)
+
+
+def _with_reach(per_media: DataFrame, totals: DataFrame, period: str, scaled: bool) -> DataFrame:
     reach = F.col("unique_visitors").cast("double") * 100 / F.col("_total")
-    return per_media.join(totals, period).withColumn("reach", reach).drop("_total")
+    out = per_media.join(totals, period).withColumn("reach", reach).drop("_total")
+    if scaled:
+        units = {"unique_visitors": 1_000, "pages": 1_000_000, "minutes": 1_000_000}
+        out = out.withColumns({c: F.col(c).cast("double") / unit for c, unit in units.items()})
+    return out
 
 
-def key_measures_approx(events: DataFrame, period: str, media: str, user: str, value: str) -> DataFrame:
+def key_measures_approx(
+    events: DataFrame, period: str, media: str, user: str, value: str, scaled: bool = False
+) -> DataFrame:
     """The same with sketched user counts: one pass, one small shuffle."""
     per_media = events.groupBy(period, media).agg(
         F.approx_count_distinct(user).alias("unique_visitors"),
@@ -33,8 +46,7 @@ def key_measures_approx(events: DataFrame, period: str, media: str, user: str, v
         F.sum(value).alias("minutes"),
     )
     totals = events.groupBy(period).agg(F.approx_count_distinct(user).alias("_total"))
-    reach = F.col("unique_visitors").cast("double") * 100 / F.col("_total")
-    return per_media.join(totals, period).withColumn("reach", reach).drop("_total")
+    return _with_reach(per_media, totals, period, scaled)
 
 
 def _bit(media: Column, listed: Sequence) -> Column:
@@ -42,8 +54,10 @@ def _bit(media: Column, listed: Sequence) -> Column:
     return F.coalesce(F.try_element_at(bits, media), F.lit(0).cast("bigint"))
 
 
-def cross_visit(visits: DataFrame, media: str, user: str, comparison: Sequence) -> DataFrame:
-    """Shared audience of every media with every listed comparison media.
+def cross_visit(
+    visits: DataFrame, media: str, user: str, comparison: Sequence, by: Sequence[str] = ()
+) -> DataFrame:
+    """Shared audience of every media with every listed comparison media, separately per ``by`` (month, target …).
 
     ``visits`` may hold a (user, media) pair any number of times; it is reduced to distinct pairs first. The listed
     media a user visited become the bits of masks (62 to a mask), combined on the map side and joined back to the
@@ -51,10 +65,9 @@ def cross_visit(visits: DataFrame, media: str, user: str, comparison: Sequence)
     of its users. No pair of visits is ever formed, and the list may have any length. Pairs without shared users are
     left out.
     """
-    listed = list(comparison)
-    pairs = visits.select(user, media).distinct()
-    total = pairs.select(user).distinct().agg(F.count(user).alias("total"))
-    masks = pairs.groupBy(user).agg(
+    listed, by = list(comparison), list(by)
+    pairs = visits.select(*by, user, media).distinct()
+    masks = pairs.groupBy(*by, user).agg(
         *[
             F.bit_or(_bit(F.col(media), listed[i : i + MASK_BITS])).alias(f"_mask{i}")
             for i in range(0, len(listed), MASK_BITS)
@@ -62,61 +75,68 @@ def cross_visit(visits: DataFrame, media: str, user: str, comparison: Sequence)
     )
     bit = lambda i: F.shiftright(f"_mask{i - i % MASK_BITS}", i % MASK_BITS).bitwiseAND(F.lit(1))
     per_media = (
-        pairs.join(masks, user)
-        .groupBy(media)
+        pairs.join(masks, [*by, user])
+        .groupBy(*by, media)
         .agg(F.count(F.lit(1)).alias("audience"), *[F.sum(bit(i)).alias(f"_{i}") for i in range(len(listed))])
     )
     entries = [F.struct(F.lit(m).alias("comparison"), F.col(f"_{i}").alias("shared")) for i, m in enumerate(listed)]
-    found = per_media.select(F.col(media).alias("benchmark"), "audience", F.inline(F.array(*entries)))
+    found = per_media.select(*by, F.col(media).alias("benchmark"), "audience", F.inline(F.array(*entries)))
     sizes = found.filter(F.col("benchmark") == F.col("comparison")).select(
-        "comparison", F.col("audience").alias("comparison_audience")
+        *by, "comparison", F.col("audience").alias("comparison_audience")
     )
-    out = found.filter((F.col("benchmark") != F.col("comparison")) & (F.col("shared") > 0)).join(sizes, "comparison")
+    out = found.filter((F.col("benchmark") != F.col("comparison")) & (F.col("shared") > 0)).join(sizes, [*by, "comparison"])
+    users = pairs.select(*by, user).distinct().groupBy(*by).agg(F.count(user).alias("_total"))
+    out = out.join(users, by) if by else out.withColumn("_total", users.scalar())
     shared = F.col("shared").cast("double")
     expected = F.col("audience").cast("double") * F.col("comparison_audience")
     return out.select(
-        "benchmark", "comparison", "shared",
+        *by, "benchmark", "comparison", "shared",
         (shared * 100 / F.col("audience")).alias("horizontal"),
         (shared * 100 / F.col("comparison_audience")).alias("vertical"),
         # Observed over expected overlap; 100 for independent audiences.
-        (shared * 100 * total.scalar() / expected).alias("index"),
+        (shared * 100 * F.col("_total") / expected).alias("index"),
     )
 
 
-def cross_visit_approx(visits: DataFrame, media: str, user: str, comparison: Sequence, log2_size: int = 12) -> DataFrame:
+def cross_visit_approx(
+    visits: DataFrame, media: str, user: str, comparison: Sequence, log2_size: int = 12, by: Sequence[str] = ()
+) -> DataFrame:
     """Shared audience from one sketch per media; error about 2 / sqrt(2 ** log2_size) of the larger audience."""
-    sketches = visits.groupBy(media).agg(F.theta_sketch_agg(user, log2_size).alias("sketch"))
-    left = sketches.select(
-        F.col(media).alias("benchmark"), "sketch", F.explode(F.array(*[F.lit(m) for m in comparison])).alias("comparison")
-    ).filter(F.col("benchmark") != F.col("comparison"))
+    by = list(by)
+    sketches = visits.groupBy(*by, media).agg(F.theta_sketch_agg(user, log2_size).alias("sketch"))
+    names = F.array(*[F.lit(m) for m in comparison])
+    left = sketches.select(*by, F.col(media).alias("benchmark"), "sketch", F.explode(names).alias("comparison"))
+    left = left.filter(F.col("benchmark") != F.col("comparison"))
     right = sketches.filter(F.col(media).isin(*comparison)).select(
-        F.col(media).alias("comparison"), F.col("sketch").alias("other")
+        *by, F.col(media).alias("comparison"), F.col("sketch").alias("other")
     )
-    shared = F.theta_sketch_estimate(F.theta_intersection("sketch", "other"))
-    return left.join(right, "comparison").select(
-        "benchmark", "comparison",
-        shared.alias("shared"),
+    return left.join(right, [*by, "comparison"]).select(
+        *by, "benchmark", "comparison",
+        F.theta_sketch_estimate(F.theta_intersection("sketch", "other")).alias("shared"),
         F.theta_sketch_estimate("sketch").alias("audience"),
         F.theta_sketch_estimate("other").alias("comparison_audience"),
     )
 
 
-def duplication(visits: DataFrame, media: str, user: str, sets: dict[str, Sequence]) -> DataFrame:
-    """Net reach and duplicated audience of configured sets of media.
+def duplication(
+    visits: DataFrame, media: str, user: str, sets: dict[str, Sequence], by: Sequence[str] = ()
+) -> DataFrame:
+    """Net reach and duplicated audience of configured sets of media, separately per ``by``.
 
     ``sets`` maps a name to its media. A visit is tagged with the sets that hold its media; per set and user only a
     count remains.
     """
+    by = list(by)
     names: dict = {}
     for name, members in sets.items():
         for m in members:
             names.setdefault(m, []).append(name)
     tags = F.create_map(*[x for m, ns in names.items() for x in (F.lit(m), F.array(*[F.lit(n) for n in ns]))])
     size = F.create_map(*[x for n, ms in sets.items() for x in (F.lit(n), F.lit(len(set(ms))))])
-    listed = visits.filter(F.col(media).isin(*names)).select(user, media).distinct()
-    tagged = listed.select(user, F.explode(F.try_element_at(tags, F.col(media))).alias("media_set"))
-    per_user = tagged.groupBy("media_set", user).agg(F.count(F.lit(1)).alias("_n"))
-    return per_user.groupBy("media_set").agg(
+    listed = visits.filter(F.col(media).isin(*names)).select(*by, user, media).distinct()
+    tagged = listed.select(*by, user, F.explode(F.try_element_at(tags, F.col(media))).alias("media_set"))
+    per_user = tagged.groupBy(*by, "media_set", user).agg(F.count(F.lit(1)).alias("_n"))
+    return per_user.groupBy(*by, "media_set").agg(
         F.count_if(F.col("_n") == F.try_element_at(size, F.col("media_set"))).alias("duplicated_all_sites"),
         F.count_if(F.col("_n") >= 2).alias("duplicated_2_or_more_sites"),
         F.count(F.lit(1)).alias("unduplicated"),

@@ -64,6 +64,46 @@ def duplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audience.duplication(_brand_visits(spark, sf_dir), "brand", "customer", BRAND_SETS)
 
 
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+_BY_YEAR = """
+    p AS (SELECT DISTINCT year(o_orderdate) AS year, o_custkey AS u, o_orderpriority AS m FROM orders)"""
+
+
+def _priority_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("year"), F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("priority")
+    )
+
+
+@query(f"""
+    WITH {_BY_YEAR},
+    aud AS (SELECT year, m, count(*) AS n FROM p GROUP BY ALL),
+    total AS (SELECT year, count(DISTINCT u) AS n FROM p GROUP BY ALL),
+    s AS (SELECT a.year, a.m AS a, b.m AS b, count(*) AS n
+          FROM p a JOIN p b ON a.year = b.year AND a.u = b.u AND a.m <> b.m GROUP BY ALL)
+    SELECT s.year, a AS benchmark, b AS comparison, s.n AS shared, s.n::DOUBLE * 100 / x.n AS horizontal,
+           s.n::DOUBLE * 100 / y.n AS vertical, s.n::DOUBLE * 100 * total.n / (x.n::DOUBLE * y.n) AS "index"
+    FROM s JOIN aud x ON x.year = s.year AND x.m = a JOIN aud y ON y.year = s.year AND y.m = b
+    JOIN total ON total.year = s.year""")
+def cross_visit_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pair matrix, year by year."""
+    return audience.cross_visit(_priority_visits(spark, sf_dir), "priority", "customer", PRIORITIES, by=["year"])
+
+
+@query(f"""
+    WITH {_BY_YEAR},
+    sets(media_set, m, size) AS (VALUES ('urgent', '1-URGENT', 2), ('urgent', '2-HIGH', 2),
+      ('extremes', '1-URGENT', 2), ('extremes', '5-LOW', 2)),
+    c AS (SELECT year, media_set, size, u, count(*) AS n FROM p JOIN sets USING (m) GROUP BY ALL)
+    SELECT year, media_set, count(CASE WHEN n = size THEN 1 END) AS duplicated_all_sites,
+           count(CASE WHEN n >= 2 THEN 1 END) AS duplicated_2_or_more_sites, count(*) AS unduplicated
+    FROM c GROUP BY ALL""")
+def duplication_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sets = {"urgent": ["1-URGENT", "2-HIGH"], "extremes": ["1-URGENT", "5-LOW"]}
+    return audience.duplication(_priority_visits(spark, sf_dir), "priority", "customer", sets, by=["year"])
+
+
 @query("""
     WITH e AS (SELECT ts::DATE::VARCHAR AS day, event_type, user_id, round(value * 100)::BIGINT AS v FROM events),
     t AS (SELECT day, count(DISTINCT user_id) AS n FROM e GROUP BY ALL),
