@@ -196,7 +196,7 @@ def parse_rows(landing: DataFrame, spec: ReportSpec, payload: str = "payload") -
 
     All other columns of the landing frame are carried along; ``reject_reason`` is null for rows that can be read.
     """
-    rows = exploded(parse_tables(landing, spec, payload), "data_rows", "row", "row_no").drop("data_rows")
+    rows = exploded(parse_tables(landing, spec, payload), "data_rows", "row", "row_no")
     tag = _label_tag(F.col("row"))
     parsed = {"label": row_label(F.col("row")), "cells": cell_texts(F.col("row"))}
     for column, name in spec.attributes.items():
@@ -243,11 +243,13 @@ def long_facts(rows: DataFrame, spec: ReportSpec, null_attribute: bool = False,
     for i, name in enumerate(key_names):
         missing = F.lit(None if null_attribute else "None").cast("string")
         keys.append(F.when(n_keys > i, F.get("cells", F.lit(i))).otherwise(missing).alias(name))
+    # Keys and entries are made first, so that the explode repeats only the keys and not the whole row.
     facts = rows.filter(F.col("reject_reason").isNull()).select(
         *carried, *keep, F.col("label").alias(spec.label), *spec.attributes, *keys,
         *(["demographic"] if spec.has_target else []),
-        F.explode_outer(F.when(n_keys < F.col("width"), entries)).alias("entry"),
-    ).filter(F.col("entry").isNotNull())
+        F.when(n_keys < F.col("width"), entries).alias("entries"),
+    )
+    facts = exploded(facts, "entries", "entry")
     return facts.select(
         *[c for c in facts.columns if c != "entry"],
         "entry.metric", "entry.metric_id", stripped_to_measure(F.col("entry.value")).alias("metric_value"),

@@ -114,7 +114,7 @@ def _pair_rows(landing: DataFrame, spec: ReportSpec, strict: bool) -> DataFrame:
     docs = docs.withColumn("unique", F.size(F.array_distinct("keys")) == F.size("keys"))
     own = key(F.col("r"))
     repeated = ~F.col("unique") & (F.size(F.filter("keys", lambda k: k == own)) > 1)
-    return exploded(docs, "rows", "r").withColumn("is_duplicate", repeated).drop("rows", "keys", "unique")
+    return exploded(docs, "rows", "r").withColumn("is_duplicate", repeated).drop("keys", "unique")
 
 
 def cross_visiting(
@@ -186,7 +186,7 @@ def audience_duplication(
         return _only(F.transform(found, lambda r: r["cells"]), name, "array<string>").alias(name)
 
     docs = docs.select("*", *[summary_cells(n) for n in DUPLICATION_SUMMARIES[1:]])
-    docs = exploded(docs, "media", "r", "media_no")
+    docs = exploded(docs, F.col("media"), "r", "media_no")
     if pairing == "reversed":
         docs = docs.withColumn("comparision_media", F.get("media", F.size("media") - 1 - F.col("media_no"))["label"])
     else:

@@ -10,18 +10,25 @@ def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns behind a one-row generator.
 
     The optimizer moves filters below projections and repeats the projected expressions in them. It does not move
-    them below a generator that makes the columns, so these are evaluated a single time per row.
+    them below a generator that makes the columns, so these are evaluated a single time per row. The expressions
+    themselves are projected first, which compiles them; a generator would interpret them.
     """
     fields = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select("*", F.inline_outer(F.array(fields)))
+    return df.withColumn("_once", F.array(fields)).select(*df.columns, F.inline_outer("_once"))
 
 
 def exploded(df: DataFrame, array: Column | str, name: str, position: str | None = None) -> DataFrame:
-    """Explode without the size filter that an inner explode adds below itself, for arrays that are costly to make."""
+    """Explode without the size filter that an inner explode adds below itself, for arrays that are costly to make.
+
+    The array is projected first and leaves the frame with the explode, so that no row carries it along.
+    """
+    source = array if isinstance(array, str) else "_items"
+    made = df if isinstance(array, str) else df.withColumn(source, array)
+    kept = [c for c in made.columns if c != source]
     if position:
-        out = df.select("*", F.posexplode_outer(array).alias(position, name))
+        out = made.select(*kept, F.posexplode_outer(source).alias(position, name))
     else:
-        out = df.select("*", F.explode_outer(array).alias(name))
+        out = made.select(*kept, F.explode_outer(source).alias(name))
     return out.filter(F.col(name).isNotNull())
 
 
