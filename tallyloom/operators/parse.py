@@ -15,13 +15,13 @@ from tallyloom.functions.text import drop_brackets, resolve_references, strip, u
 from tallyloom.plans.specs import ReportSpec
 from tallyloom.plans.staging import computed_once, exploded
 
-# The inside of an opening tag; a quoted value may hold '>'.
-_TAG = r"""(?:[^'">]+|"[^"]*"|'[^']*')*"""
+# The inside of an opening tag; a quoted value may hold '>'. Possessive, so that it needs no stack however long it is.
+TAG = r"""(?:[^'">]++|"[^"]*+"|'[^']*+'|['"])*+"""
 _TABLE = r"[tT][aA][bB][lL][eE](?=[\s/>])"
 # Tags that are not part of the table's own structure.
 _FOREIGN = (
     r"<(?!/?(?:[tT][rRhHdD]|[tT][aA][bB][lL][eE]|[tT][hH][eE][aA][dD]|[tT][bB][oO][dD][yY]|[tT][fF][oO][oO][tT])[\s/>])"
-    rf"/?[a-zA-Z!?]{_TAG}>"
+    rf"/?[a-zA-Z!?]{TAG}>"
 )
 
 
@@ -34,14 +34,14 @@ def attribute(tag: Column, name: str) -> Column:
 
 def element_text(doc: Column, name: str) -> Column:
     """Text of the first element of that name, null when there is none."""
-    pattern = rf"(?is)<{name}(?=[\s/>]){_TAG}>(.*?)</{name}\s*>"
+    pattern = rf"(?is)<{name}(?=[\s/>]){TAG}>(.*?)</{name}\s*>"
     inner = F.regexp_replace(F.regexp_extract(doc, pattern, 1), r"<[^>]*>", "")
     return F.when(doc.rlike(pattern), strip(unescape(inner)))
 
 
 def summary_target(doc: Column) -> Column:
     """The target named inside the first summary element."""
-    return element_text(F.regexp_extract(doc, rf"(?is)<summary(?=[\s/>]){_TAG}>(.*?)</summary\s*>", 1), "target")
+    return element_text(F.regexp_extract(doc, rf"(?is)<summary(?=[\s/>]){TAG}>(.*?)</summary\s*>", 1), "target")
 
 
 def has_errors(doc: Column) -> Column:
@@ -98,7 +98,7 @@ def with_table_rows(docs: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def _cells(row: Column, group: int) -> Column:
-    return F.regexp_extract_all(row, F.lit(rf"<[tT][dD](?=[\s/>])({_TAG})>([^<]*)"), F.lit(group))
+    return F.regexp_extract_all(row, F.lit(rf"<[tT][dD](?=[\s/>])({TAG})>([^<]*)"), F.lit(group))
 
 
 def cell_texts(row: Column) -> Column:
@@ -114,12 +114,12 @@ def header_cells(row: Column) -> Column:
 
 
 def _label_tag(row: Column) -> Column:
-    return F.regexp_extract(row, rf"(?i)<th(?=[\s/>])({_TAG})>", 1)
+    return F.regexp_extract(row, rf"(?i)<th(?=[\s/>])({TAG})>", 1)
 
 
 def row_label(row: Column) -> Column:
     """Text of the first label cell, null when the row has none."""
-    pattern = rf"(?i)<th(?=[\s/>]){_TAG}>([^<]*)"
+    pattern = rf"(?i)<th(?=[\s/>]){TAG}>([^<]*)"
     return F.when(row.rlike(pattern), strip(unescape(F.regexp_extract(row, pattern, 1))))
 
 

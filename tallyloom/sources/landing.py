@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import resolve_references
-from tallyloom.operators.parse import attribute, has_errors
+from tallyloom.operators.parse import TAG, attribute, has_errors
 from tallyloom.plans.joins import broadcast_if_small
 
 LANDING_SCHEMA = (
@@ -36,7 +36,7 @@ def read_landing_files(spark: SparkSession, path: str) -> DataFrame:
 def markets(discovery: DataFrame, payload: str = "payload") -> DataFrame:
     """Market dimension from discovery responses: every ``enumvalue`` element's id and value."""
     carried = [c for c in discovery.columns if c != payload]
-    tag = r"""(?i)<enumvalue(?=[\s/>])((?:[^'">]+|"[^"]*"|'[^']*')*)>"""
+    tag = rf"(?i)<enumvalue(?=[\s/>])({TAG})>"
     tags = F.regexp_extract_all(resolve_references(F.col(payload)), F.lit(tag), F.lit(1))
     found = discovery.select(*carried, F.explode(tags).alias("tag"))
     region = attribute(F.col("tag"), "value")

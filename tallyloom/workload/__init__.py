@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from tallyloom.workload import audiences, documents, facts  # noqa: F401
+from tallyloom.workload import facts, documents, audiences  # noqa: F401
 from tallyloom.workload.registry import ORACLES, QUERIES  # noqa: F401

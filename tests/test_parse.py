@@ -108,6 +108,15 @@ def test_first_row_compatibility_of_drifting_layouts_drops_well_formed_rows(spar
     assert sorted(rows_of(parsed, "label", "reject_reason")) == [("ok", "long_row"), ("ragged", "unknown_layout")]
 
 
+def test_unbalanced_quotes_in_a_long_document(spark):
+    quotes = "say \"hi\" and it's " * 100_000
+    payload = doc(DESKTOP_HEADER, f'<tr><th web_id="1" note=it\'s>A</th><td>c</td><td>a</td><td>1</td><td>2</td></tr>') + quotes
+    assert rows_of(parse_rows(landing(spark, payload + "<b " + quotes), DESKTOP), "reject_reason") == [(None,)]
+    long_tag = "<i " + "x='1' " * 50_000 + ">"
+    inside = doc(DESKTOP_HEADER, row("A", ["c", "a", f"{long_tag}1</i>", "2"]))
+    assert sorted(rows_of(reports.desktop(landing(spark, inside)), "metric_value")) == [(1.0,), (2.0,)]
+
+
 def test_empty_and_missing_tables(spark):
     out = reports.desktop(landing(spark, doc(DESKTOP_HEADER), "<Envelope/>", None, "<table></table>"))
     assert out.count() == 0
