@@ -119,12 +119,13 @@ def _pair_rows(landing: DataFrame, spec: ReportSpec, strict: bool) -> DataFrame:
 
 def cross_visiting(
     landing: DataFrame, spec: ReportSpec = CROSS_VISITING, strict: bool = False, on_duplicate: str = "fail",
-    corrected_names: bool = False,
+    corrected_names: bool = False, require_metrics: bool = False,
 ) -> DataFrame:
     """One row per benchmark media, comparison media and target, four measures wide.
 
     All measures of a pair stand in one table row, so the pivot reads them there and moves no data.
-    ``on_duplicate='quarantine'`` leaves out repeated keys, which ``cross_visiting_duplicates`` lists.
+    ``on_duplicate='quarantine'`` leaves out repeated keys, which ``cross_visiting_duplicates`` lists. A measure the
+    table lacks is null, or stops the job with ``require_metrics``.
     """
     first_value = len(spec.layouts[0].key_cells)
     entries = F.transform(
@@ -140,6 +141,11 @@ def cross_visiting(
         usable = F.when(F.col("is_duplicate"), stop).otherwise(F.lit(True))
     else:
         usable = ~F.col("is_duplicate")
+    if require_metrics:
+        labels = F.array(*[F.lit(m) for m in CROSS_VISITING_METRICS])
+        lacking = F.size(F.array_except(labels, F.transform("header", lambda h: h["metric"]))) > 0
+        halt = F.raise_error(F.lit("measure missing from pair matrix")).cast("boolean")
+        usable = F.when(lacking, halt).otherwise(usable)
     rows = computed_once(rows, {"entries": F.when(usable & (F.col("width") > first_value), entries)})
     compared = F.array_distinct(F.transform("entries", lambda e: F.struct(e["media"].alias("name"))))
     rows = exploded(rows, compared, "compared").withColumn("comparison_media", F.col("compared.name"))

@@ -34,6 +34,11 @@ def test_cross_visiting_with_an_absent_metric_gives_null(spark):
     top, head = header(["", "Beta", "Beta"], ""), header(["T", ("Index", "54"), ("% Vertical", "52")])
     out = reports.cross_visiting(landing(spark, doc(top, head, row("Alpha", ["Total", "1", "2"]), summary=target("t"))))
     assert rows_of(out, "index", "per_comparision_media_visit_benchmark_media", "shared_audience_000") == [(1.0, 2.0, None)]
+    frame = landing(spark, doc(top, head, row("Alpha", ["Total", "1", "2"]), summary=target("t")))
+    with pytest.raises(Exception, match="measure missing"):
+        reports.cross_visiting(frame, require_metrics=True).collect()
+    whole = visiting(spark, row("Alpha", ["Total", *"12345678"]))
+    assert reports.cross_visiting(whole, require_metrics=True).count() == 2
 
 
 def test_cross_visiting_duplicates(spark):
