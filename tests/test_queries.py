@@ -2,6 +2,7 @@ import pytest
 from compare import difference, oracle
 
 import __spark_entry__ as entry
+from tallyloom.workload import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,10 +12,10 @@ def con():
     return oracle(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    df = entry.queries()[name](spark, SF)
-    sql = entry.oracle_sql().get(name)
+    df = QUERIES[name](spark, SF)
+    sql = ORACLES.get(name)
     if sql is None:
         assert df.count() > 0
     else:
