@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import simhash, toxicity
+from tallyloom.llm import repeats, simhash, toxicity
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -18,3 +18,32 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query(
+    "op3_suffix_array_dedup",
+    """
+    WITH d AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS h FROM documents),
+    w AS (
+        SELECT doc_id, unnest(range(length(h) // 2 - 49)) AS p, h FROM d WHERE length(h) >= 100
+    ),
+    s AS (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 100)) AS k FROM w),
+    f AS (SELECT k, min(doc_id) AS first_id FROM s GROUP BY k HAVING min(doc_id) < max(doc_id)),
+    hit AS (SELECT DISTINCT s.doc_id, s.p FROM s JOIN f USING (k) WHERE f.first_id < s.doc_id),
+    seen AS (SELECT *, max(p) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM hit),
+    cut AS (SELECT *, sum(CASE WHEN prev IS NULL OR p > prev + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM seen),
+    span AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM cut GROUP BY doc_id, run),
+    edge AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
+    piece AS (
+        SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS stop,
+            string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+        FROM edge JOIN d USING (doc_id) GROUP BY doc_id
+    )
+    SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+        sha256(unhex(coalesce(kept || substr(h, 2 * stop + 1), h))) AS kept_sha256
+    FROM d LEFT JOIN piece USING (doc_id)
+    """,
+)
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))

@@ -56,11 +56,11 @@ def _fingerprints(texts: list[str], width: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
     """``(doc_id, fp)`` with the fingerprint of every whole text as a signed long."""
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": _fingerprints(frame["text"].tolist(), width).view(np.int64)})
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(_fingerprints(texts.tolist(), width).view(np.int64))
 
-    return documents_of(docs).mapInPandas(batches, "doc_id long, fp long")
+    return documents_of(docs).select("doc_id", fp("text").alias("fp"))
 
 
 def pivot_table() -> np.ndarray:
