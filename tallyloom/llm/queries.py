@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import repeats, simhash, toxicity
+from tallyloom.llm import decontaminate, repeats, simhash, toxicity
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -47,3 +47,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op6_benchmark_decontamination")
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
