@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, grouping, repeats, simhash, tokens, toxicity
+from tallyloom.llm import decontaminate, grouping, lines, repeats, simhash, tokens, toxicity
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -57,3 +58,28 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping.pack(table(spark, sf_dir, "documents"), tokens.default_path(), limit=2048)
+
+
+@query(
+    "op10_line_dedup",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM d),
+    n AS (
+        SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\r]+', ' ', 'g'), ' ') AS norm,
+            sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS stop
+        FROM l
+    ),
+    r AS (
+        SELECT *, len(string_split(norm, ' ')) >= 5 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM n
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+        CAST(coalesce(sum(length(line)) FILTER (gone), 0) AS BIGINT) AS n_chars_removed,
+        coalesce(string_agg((stop - length(line)) || '-' || stop, ',' ORDER BY pos) FILTER (gone), '') AS removed_spans,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM r GROUP BY doc_id
+    """,
+)
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
