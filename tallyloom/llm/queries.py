@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, grouping, lines, maxscore, repeats, simhash, tokens, toxicity
+from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, repeats, simhash, tokens, toxicity
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -104,3 +104,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
