@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, repeats, simhash, tokens, toxicity
+from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, repeats, simhash, tokens, toxicity, urls
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -110,3 +110,12 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
+
+
+#: Fixed rules of the query.
+URL_RULES = [urls.Rule("block", "net/"), urls.Rule("allow", "example.net/en/"), urls.Rule("block", "example.com/de/"), urls.Rule("allow", "org/fr/")]
+
+
+@query("op1_url_filters")
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
