@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, repeats, simhash, tokens, toxicity, urls
+from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, repeats, simhash, tokenpack, tokens, toxicity, urls
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -119,3 +119,8 @@ URL_RULES = [urls.Rule("block", "net/"), urls.Rule("allow", "example.net/en/"),
 @query("op1_url_filters")
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op4_token_id_output")
+def op4_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenpack.packed(table(spark, sf_dir, "documents"), tokens.default_path())
