@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,23 +20,21 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(low, r"[ \t\r]+", " "))
 
 
-@F.pandas_udf("struct<kept: string, spans: string, n_chars: long>")
-def _without(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    """A text without the lines at the given positions, and their offsets in it."""
-    for texts, removed in parts:
-        out = []
-        for text, at in zip(texts, removed, strict=True):
-            if at is None or not len(at):
-                out.append((text, "", 0))
-                continue
-            lines = text.split("\n")
-            stops = np.cumsum([len(x) + 1 for x in lines]) - 1
-            gone = sorted(at)
-            spans = [(int(stops[k]) - len(lines[k]), int(stops[k])) for k in gone]
-            away = set(gone)
-            kept = "\n".join(x for k, x in enumerate(lines) if k not in away)
-            out.append((kept, ",".join(f"{a}-{b}" for a, b in spans), sum(b - a for a, b in spans)))
-        yield pd.DataFrame(out, columns=["kept", "spans", "n_chars"])
+def _without(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
+    """Texts without the lines at the given positions, and the offsets of these."""
+    out = []
+    for text, at in zip(texts, removed, strict=True):
+        if at is None or not len(at):
+            out.append((text, "", 0))
+            continue
+        lines = text.split("\n")
+        stops = np.cumsum([len(x) + 1 for x in lines]) - 1
+        gone = sorted(at)
+        spans = [(int(stops[k]) - len(lines[k]), int(stops[k])) for k in gone]
+        away = set(gone)
+        kept = "\n".join(x for k, x in enumerate(lines) if k not in away)
+        out.append((kept, ",".join(f"{a}-{b}" for a, b in spans), sum(b - a for a, b in spans)))
+    return pd.DataFrame(out, columns=["kept", "spans", "n_chars"])
 
 
 def without_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -60,5 +56,5 @@ def without_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> D
     gone = units.join(first, "digest").where("place > first").select("place.*")
     removed = gone.groupBy("id", "row").agg(F.collect_set("pos").alias("at"))
     joined = rows.join(removed, (F.coalesce(rows.doc_id, F.lit(NO_ID)) == removed.id) & (rows.row == removed.row), "left")
-    done = joined.select("doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"), F.coalesce(F.size("at"), F.lit(0)).alias("n"), _without("text", "at").alias("out"))
+    done = joined.select("doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"), F.coalesce(F.size("at"), F.lit(0)).alias("n"), F.pandas_udf(_without, "struct<kept: string, spans: string, n_chars: long>")("text", "at").alias("out"))
     return done.select("doc_id", "n_lines", F.greatest("n", F.lit(0)).cast("long").alias("n_removed"), F.col("out.n_chars").alias("n_chars_removed"), F.col("out.spans").alias("removed_spans"), F.col("out.kept").alias("text"))
