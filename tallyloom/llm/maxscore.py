@@ -36,7 +36,7 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 def search(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(query number, vec_id, score)`` of each query's ``k`` best candidates of other ids; ties to the smaller id.
 
-    Sums stay below 2**53, so the floating-point products are exact.
+    While sums stay below 2**53, the floating-point products are exact.
     """
     order = np.argsort(ids, kind="stable")
     candidates, ids = candidates[order].astype(np.float64), ids[order]
@@ -80,13 +80,13 @@ def _packed(rows: DataFrame, key: str) -> DataFrame:
         table = table.combine_chunks().sort_by("vec_id")
         ids = table.column("vec_id").to_numpy()
         flat = np.concatenate([x.values.to_numpy() for x in table.column("v").chunks]) if len(table) else np.zeros(0, np.int64)
-        return pa.table({key: table.column(key)[:1], "dims": table.column("dims")[:1], "ids": pa.array([ids.tobytes()], pa.binary()), "body": pa.array([flat.astype("<i4").tobytes()], pa.binary())})
+        return pa.table({key: table.column(key)[:1], "dims": table.column("dims")[:1], "ids": pa.array([ids.tobytes()], pa.binary()), "body": pa.array([flat.astype("<i8").tobytes()], pa.binary())})
 
     return rows.groupBy("dims", key).applyInArrow(pack, f"{key} int, dims int, ids binary, body binary")
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the ``k`` candidates with the highest integer inner products for every query.
+    """``(query_id, rank, vec_id, score)``, exact while scores stay below 2**53: the ``k`` candidates with the highest integer inner products for every query.
 
     Queries are the rows whose ``vec_id`` is divisible by ``every``; candidates all rows but those of the query's own id. Fewer
     candidates give fewer ranks. Vectors meet those of their own length only. Rows that repeat a vec_id are each a
@@ -108,8 +108,9 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE)
         for batch in batches:
             for row in batch.to_pylist():
                 q, c = np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
-                shape = (-1, row["dims"])
-                number, ids, score = search(np.frombuffer(row["query_body"], "<i4").reshape(shape), q, np.frombuffer(row["body"], "<i4").reshape(shape), c, k)
+                left = np.frombuffer(row["query_body"], "<i8").reshape(len(q), row["dims"])
+                right = np.frombuffer(row["body"], "<i8").reshape(len(c), row["dims"])
+                number, ids, score = search(left, q, right, c, k)
                 yield pa.RecordBatch.from_arrays([pa.array(q[number]), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
 
     found = pairs.mapInArrow(find, "query_id long, vec_id long, score long")
