@@ -40,6 +40,10 @@ SLICE = 1 << 20  # bytes that are looked at together
 HOT_GROUPS = 512
 NO_ID = np.iinfo(np.int64).max  # rows without an id come after all others
 
+MASK = (1 << 48) - 1
+PARTS = 256  # a shard's strings are dealt on by the same key, so that what is sorted together fits a processor's cache
+TOGETHER = 2000  # strings
+
 KEY, MESSAGE = "__group", "shard int, __group int, body binary"
 
 
@@ -134,7 +138,7 @@ def _ids(table: pa.Table) -> np.ndarray:
 def _dealt(shards: np.ndarray, group: int, *arrays: np.ndarray) -> pa.Table:
     """One message for each shard, of the rows of ``arrays`` that belong to it; sorted by shard already."""
     which, starts = np.unique(shards, return_index=True)
-    stops = np.append(starts[1:], len(shards))
+    stops = np.append(starts, len(shards))[1:]
     bodies = [_pack(*(a[s:e] for a in arrays)) for s, e in zip(starts.tolist(), stops.tolist(), strict=True)]
     return pa.table({"shard": pa.array(which, pa.int32()), KEY: pa.array([group] * len(which), pa.int32()), "body": pa.array(bodies, pa.binary())})
 
@@ -179,7 +183,7 @@ def _repeated(hot_groups: int) -> Callable:
         kept, hot, owner, grams = kept[at], (n > hot_groups)[at][kept[at]], owner[kept[at]], grams[kept[at]]
         order = np.argsort(owner, kind="stable")
         out = _dealt(owner[order], 0, grams[order], hot[order])
-        return pa.table({"shard": table.column("shard")[:1].take(pa.array([0] * len(out))), KEY: out.column("shard"), "body": out.column("body")})
+        return pa.table({"shard": pa.array([0] * len(out), pa.int32()), KEY: out.column("shard"), "body": out.column("body")})
 
     return run
 
@@ -199,25 +203,26 @@ def _strings(shards: int) -> Callable:
             g, part, begin, n = _runs(data, ends)
             at = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
             keep = np.flatnonzero(grams[at] == g)
-            for s, w, d, to, cut in zip(begin[keep].tolist(), n[keep].tolist(), ids[which[part[keep]]].tolist(), (g[keep] % np.uint64(shards)).tolist(), hot[at[keep]].tolist(), strict=True):
+            for s, w, d, to, cut in zip(begin[keep].tolist(), n[keep].tolist(), ids[which[part[keep]]].tolist(), g[keep].tolist(), hot[at[keep]].tolist(), strict=True):
                 for i, m in ((i, 1) for i in range(s, s + w)) if cut else ((s, w),):
                     string = raw[i : i + m + WINDOW - 1]
                     seen = found.get(string)
                     if seen is None:
-                        found[string] = [xxhash.xxh64_intdigest(string, 7) % shards if cut else to, d, d]
+                        found[string] = [xxhash.xxh64_intdigest(string, 7) & MASK if cut else to, d, d]
                     elif d < seen[1]:
                         seen[1] = d
                     elif d > seen[2]:
                         seen[2] = d
-        rows = sorted(((v[0], k, v[1], v[2]) for k, v in found.items()))
+        rows = sorted((v[0] % shards, k, v[1], v[2], v[0] // shards % PARTS) for k, v in found.items())
         shard = np.array([r[0] for r in rows], np.int64)
         group, out = docs.column(KEY)[0].as_py(), []
         which, starts = np.unique(shard, return_index=True)
-        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True):
+        for s, e in zip(starts.tolist(), [*starts.tolist(), len(rows)][1:], strict=True):
             mine = rows[s:e]
             size = np.array([len(r[1]) for r in mine], np.uint8)
             low, high = np.array([r[2] for r in mine], np.int64), np.array([r[3] for r in mine], np.int64)
-            out.append(_pack(np.frombuffer(b"".join(r[1] for r in mine), np.uint8), size, low, high))
+            part = np.array([r[4] for r in mine], np.uint8)
+            out.append(_pack(np.frombuffer(b"".join(r[1] for r in mine), np.uint8), size, low, high, part))
         return pa.table({"shard": pa.array(which, pa.int32()), KEY: pa.array([group] * len(which), pa.int32()), "body": pa.array(out, pa.binary())})
 
     return run
@@ -234,8 +239,8 @@ def transform(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarr
     bwt, place, live = data[ends - 1].copy(), np.arange(n), np.arange(n)
     for j in range(1, int(sizes.max(initial=0)) + 1):
         order = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(bwt))
+        rank = np.empty(len(bwt), np.int32)
+        rank[order] = np.arange(len(bwt), dtype=np.int32)
         going = sizes[live] >= j
         place, live = place[going], live[going]
         place = n + rank[place] - np.count_nonzero(bwt == 0)
@@ -268,58 +273,68 @@ def sorted_windows(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, window
     return string[kept], offset[kept]
 
 
-def _answers(shards: int) -> Callable:
-    def run(table: pa.Table) -> pa.Table:
-        groups, owner, strings, low, high = table.column(KEY).to_pylist(), [], [], [], []
-        for group, body in zip(groups, table.column("body"), strict=True):
-            raw, size, a, b = _unpack(body.as_py(), "u1", "u1", "i8", "i8")
-            raw, end = raw.tobytes(), np.cumsum(size, dtype=np.int64)
-            strings += [raw[e - s : e] for e, s in zip(end.tolist(), size.tolist(), strict=True)]
-            owner.append(np.full(len(size), group, np.int64))
-            low.append(a)
-            high.append(b)
-        owner, low, high = np.concatenate(owner), np.concatenate(low), np.concatenate(high)
-        number: dict[bytes, int] = {}
-        which = np.array([number.setdefault(s, len(number)) for s in strings], np.int64)
-        distinct = list(number)
-        least, most = np.full(len(distinct), NO_ID, np.int64), np.full(len(distinct), np.iinfo(np.int64).min, np.int64)
-        np.minimum.at(least, which, low)
-        np.maximum.at(most, which, high)
-        sizes = np.array([len(s) for s in distinct], np.int64)
-        ends = np.cumsum(sizes)
-        data = np.frombuffer(b"".join(distinct) + bytes(8), np.uint8)
-        # byte 0 ends strings in the transform, so texts that hold it are shifted into the free byte 255 of UTF-8
-        plain = np.where(data == 0, 255, data).astype(np.uint8)
-        string, offset = sorted_windows(plain, ends, sizes, WINDOW)
-        start, eight = (ends - sizes)[string] + offset, _words(data)
-        # neighbours in the order share a prefix of WINDOW bytes or are different
-        same = np.ones(len(start) - 1, bool)
-        for k in (*range(0, WINDOW - 7, 8), WINDOW - 8):
-            same &= eight[start[1:] + k] == eight[start[:-1] + k]
-        first = np.flatnonzero(np.append(True, ~same))
-        cls = np.cumsum(np.append(True, ~same)) - 1
-        smallest = np.minimum.reduceat(least[string], first)[cls]
-        repeated = smallest < np.maximum.reduceat(most[string], first)[cls]
-        # per distinct string its windows in order, as runs of one smallest document
-        string, offset, smallest = string[repeated], offset[repeated], smallest[repeated]
-        order = np.lexsort((offset, string))
-        string, offset, smallest = string[order], offset[order], smallest[order]
-        new = np.append(True, (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1) | (smallest[1:] != smallest[:-1]))[: len(string)]
-        begin = np.flatnonzero(new)
-        length = np.diff(np.append(begin, len(string)))
-        string, offset, smallest = string[begin], offset[begin], smallest[begin]
-        digest = np.array([xxhash.xxh64_intdigest(s) for s in distinct], np.uint64)
-        # every group that sent a string gets its runs
-        at, stop = np.searchsorted(string, which), np.searchsorted(string, which, side="right")
-        n = stop - at
-        run_of = np.repeat(at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        to = np.repeat(owner, n)
-        order = np.argsort(to, kind="stable")
-        run_of, to = run_of[order], to[order]
-        out = _dealt(to, 0, digest[string[run_of]], offset[run_of].astype(np.uint8), length[run_of].astype(np.uint8), smallest[run_of])
-        return pa.table({"shard": table.column("shard")[:1].take(pa.array([0] * len(out))), KEY: out.column("shard"), "body": out.column("body")})
-
-    return run
+def _classes(strings: list[bytes], least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(string, offset, smallest document)`` of every window that several documents have."""
+    sizes = np.array([len(s) for s in strings], np.int64)
+    ends = np.cumsum(sizes)
+    data = np.frombuffer(b"".join(strings) + bytes(8), np.uint8)
+    # byte 0 ends strings in the transform, so texts that hold it are shifted into the free byte 255 of UTF-8
+    string, offset = sorted_windows(np.where(data == 0, 255, data).astype(np.uint8), ends, sizes, WINDOW)
+    start, eight = (ends - sizes)[string] + offset, _words(data)
+    # neighbours in the order share a prefix of WINDOW bytes or are different
+    same = np.ones(len(start) - 1, bool)
+    for k in (*range(0, WINDOW - 7, 8), WINDOW - 8):
+        same &= eight[start[1:] + k] == eight[start[:-1] + k]
+    new = np.append(True, ~same)
+    first, cls = np.flatnonzero(new), np.cumsum(new) - 1
+    smallest = np.minimum.reduceat(least[string], first)[cls]
+    repeated = smallest < np.maximum.reduceat(most[string], first)[cls]
+    return string[repeated], offset[repeated], smallest[repeated]
+
+
+def _answers(table: pa.Table) -> pa.Table:
+    groups, owner, strings, low, high, parts = table.column(KEY).to_pylist(), [], [], [], [], []
+    for group, body in zip(groups, table.column("body"), strict=True):
+        raw, size, a, b, part = _unpack(body.as_py(), "u1", "u1", "i8", "i8", "u1")
+        raw, end = raw.tobytes(), np.cumsum(size, dtype=np.int64)
+        strings += [raw[e - s : e] for e, s in zip(end.tolist(), size.tolist(), strict=True)]
+        owner.append(np.full(len(size), group, np.int64))
+        low.append(a)
+        high.append(b)
+        parts.append(part)
+    owner, low, high, parts = (np.concatenate(x) for x in (owner, low, high, parts))
+    number: dict[bytes, int] = {}
+    which = np.array([number.setdefault(s, len(number)) for s in strings], np.int64)
+    distinct = list(number)
+    least, most = np.full(len(distinct), NO_ID, np.int64), np.full(len(distinct), np.iinfo(np.int64).min, np.int64)
+    np.minimum.at(least, which, low)
+    np.maximum.at(most, which, high)
+    part = np.zeros(len(distinct), np.int64)
+    part[which] = parts
+    part %= min(PARTS, -(-len(distinct) // TOGETHER))
+    found = [(np.zeros(0, np.int64),) * 3]
+    for k in np.unique(part):
+        mine = np.flatnonzero(part == k)
+        string, offset, smallest = _classes([distinct[i] for i in mine.tolist()], least[mine], most[mine])
+        found.append((mine[string], offset, smallest))
+    string, offset, smallest = (np.concatenate(x) for x in zip(*found, strict=True))
+    # per distinct string its windows in order, as runs of one smallest document
+    order = np.lexsort((offset, string))
+    string, offset, smallest = string[order], offset[order], smallest[order]
+    new = np.append(True, (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1) | (smallest[1:] != smallest[:-1]))[: len(string)]
+    begin = np.flatnonzero(new)
+    length = np.diff(np.append(begin, len(string)))
+    string, offset, smallest = string[begin], offset[begin], smallest[begin]
+    digest = np.array([xxhash.xxh64_intdigest(s) for s in distinct], np.uint64)
+    # every group that sent a string gets its runs
+    at, stop = np.searchsorted(string, which), np.searchsorted(string, which, side="right")
+    n = stop - at
+    run_of = np.repeat(at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    to = np.repeat(owner, n)
+    order = np.argsort(to, kind="stable")
+    run_of, to = run_of[order], to[order]
+    out = _dealt(to, 0, digest[string[run_of]], offset[run_of].astype(np.uint8), length[run_of].astype(np.uint8), smallest[run_of])
+    return pa.table({"shard": pa.array([0] * len(out), pa.int32()), KEY: out.column("shard"), "body": out.column("body")})
 
 
 def _marks(docs: pa.Table, told: pa.Table) -> Iterator[tuple[bytes, np.ndarray]]:
@@ -389,7 +404,7 @@ def _each_group(docs: DataFrame, last: Callable, schema, hot_groups: int, group_
     grams = dealt.groupBy(KEY).applyInArrow(_anchors(shards), MESSAGE)
     told = grams.groupBy("shard").applyInArrow(_repeated(hot_groups), MESSAGE)
     strings = dealt.groupBy(KEY).cogroup(told.groupBy(KEY)).applyInArrow(_strings(shards), MESSAGE)
-    answers = strings.groupBy("shard").applyInArrow(_answers(shards), MESSAGE)
+    answers = strings.groupBy("shard").applyInArrow(_answers, MESSAGE)
     hot = told.withColumn("shard", F.lit(-1))
     return dealt.groupBy(KEY).cogroup(answers.unionAll(hot).groupBy(KEY)).applyInArrow(last, schema)
 
