@@ -15,8 +15,8 @@ WHITESPACE = (
 
 # References that stay escaped until a cell's text is taken, so that markup is never made out of text.
 _KEPT = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
-_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-_RESOLVABLE = r"&(?!(?:amp|lt|gt|quot|apos);)(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_REFERENCE = r"^(#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_RESOLVABLE = r"&(?!(?:amp|lt|gt|quot|apos);)(?:#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def strip(c: Column) -> Column:
@@ -53,12 +53,12 @@ def resolve_references(doc: Column) -> Column:
     parts = F.split(doc, "&")
     tail = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
     named = F.transform(tail, lambda p: F.struct(p.alias("p"), F.regexp_extract(p, _REFERENCE, 1).alias("ref")))
-    hexadecimal = lambda ref: F.conv(F.substring(ref, 3, 6), 16, 10)
+    hexadecimal = lambda ref: F.conv(F.regexp_replace(ref, "^#[xX]0*", ""), 16, 10)
     coded = F.transform(
         named,
         lambda x: F.struct(
             x["p"].alias("p"), x["ref"].alias("ref"),
-            F.when(x["ref"].rlike("^#[xX]"), hexadecimal(x["ref"])).when(x["ref"].startswith("#"), F.substring(x["ref"], 2, 7))
+            F.when(x["ref"].rlike("^#[xX]"), hexadecimal(x["ref"])).when(x["ref"].startswith("#"), F.regexp_replace(x["ref"], "^#0*", ""))
             .try_cast("int").alias("code"),
         ),
     )

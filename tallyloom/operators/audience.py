@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.plans.joins import null_safe_join
+
 # Bits of one non-negative 64-bit mask.
 MASK_BITS = 62
 
@@ -23,13 +25,14 @@ def key_measures(
     per_media = per_user.groupBy(period, media).agg(
         F.count(user).alias("unique_visitors"), F.sum("pages").alias("pages"), F.sum("minutes").alias("minutes")
     )
-    totals = events.select(period, user).distinct().groupBy(period).agg(F.count(user).alias("_total"))
+    # from the reduced rows: the events are read and shuffled once
+    totals = per_user.select(period, user).distinct().groupBy(period).agg(F.count(user).alias("_total"))
     return _with_reach(per_media, totals, period, scaled)
 
 
 def _with_reach(per_media: DataFrame, totals: DataFrame, period: str, scaled: bool) -> DataFrame:
     reach = F.col("unique_visitors").cast("double") * 100 / F.col("_total")
-    out = per_media.join(totals, period).withColumn("reach", reach).drop("_total")
+    out = null_safe_join(per_media, totals, [period]).withColumn("reach", reach).drop("_total")
     if scaled:
         units = {"unique_visitors": 1_000, "pages": 1_000_000, "minutes": 1_000_000}
         out = out.withColumns({c: F.col(c).cast("double") / unit for c, unit in units.items()})

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.plans.joins import broadcast_if_small
 from tallyloom.plans.specs import ReportSpec
 
 
@@ -62,7 +61,7 @@ def report_query(
     if tests:
         fact = fact.filter(reduce(lambda a, b: a & b, tests))
     for column, allowed in (member_sets or {}).items():
-        fact = fact.join(broadcast_if_small(allowed.select(column).distinct()), column, "left_semi")
+        fact = fact.join(allowed.select(column).distinct(), column, "left_semi")
     return fact
 
 
@@ -76,18 +75,25 @@ def request_parameters(spec: ReportSpec, period_id: int, **chosen: object) -> di
 
 def ask(
     fact: DataFrame, spec: ReportSpec, parameters: dict[str, object], columns: dict[str, str],
-    media_set: DataFrame | None = None,
+    media_set: DataFrame | None = None, measures: Sequence | None = None,
 ) -> DataFrame:
     """Answer one report request from a fact table.
 
     ``columns`` names the fact column behind each parameter; a parameter with a list of values (media, mediaColumn)
-    tests membership. Parameters without a column are constant over the fact and are skipped. ``media_set`` holds the
-    members of the requested set in the fact's own media column.
+    tests membership. The report's own fixed parameters may be without a column, as they are constant over its fact; any
+    other parameter without one is an error, since it would silently filter nothing. A requested ``mediaSet`` is answered by
+    ``media_set``, its members in the fact's own media column. ``measures`` is the configured list, such as
+    ``load_config`` reads it; without it the report's fixed list holds.
     """
+    fixed = dict(spec.parameters)
+    by_members = {"mediaSet", "mediaSetType"} if media_set is not None else set()
+    unknown = [p for p, v in parameters.items() if p not in columns and p not in by_members and not (p in fixed and fixed[p] == v)]
+    if unknown:
+        raise ValueError(f"no column for the parameters {unknown}")
     lists = {columns[p]: v for p, v in parameters.items() if p in columns and isinstance(v, (list, tuple))}
     equals = {columns[p]: v for p, v in parameters.items() if p in columns and columns[p] not in lists}
     sets = {} if media_set is None else {media_set.columns[0]: media_set}
-    return report_query(fact, equals, lists, sets, spec.measures)
+    return report_query(fact, equals, lists, sets, spec.measures if measures is None else measures)
 
 
 def decorate_measures(fact: DataFrame, dictionary: dict[str, str], column: str = "metric_id") -> DataFrame:

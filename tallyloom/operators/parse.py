@@ -27,7 +27,9 @@ _FOREIGN = (
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of one attribute of an opening tag's text, null when the tag lacks it."""
-    raw = F.nullif(F.regexp_extract(tag, rf"""(?i)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>/]+)""", 1), F.lit(""))
+    # whole attributes are stepped over, so that the name is never found inside another one's quoted value
+    other = rf"""(?:(?!(?<=\s|^){name}\s*=)(?:"[^"]*+"|'[^']*+'|[^"']))*+"""
+    raw = F.nullif(F.regexp_extract(tag, rf"""(?is)^{other}{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1), F.lit(""))
     quoted = raw.startswith('"') | raw.startswith("'")
     return unescape(F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.plans.joins import null_safe_join
@@ -48,15 +48,20 @@ def is_member(c: Column, members: Column) -> Column:
     return F.coalesce(F.array_contains(members, c), F.lit(False))
 
 
-def split_by_member(df: DataFrame, column: str, members: Sequence | Column) -> tuple[DataFrame, DataFrame]:
+def split_by_member(
+    df: DataFrame, column: str, members: Sequence | Column, shared: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Rows in the list and rows not in it; rows with a null belong to the second part.
 
-    The test is computed above the frame, not pushed into it, so that both parts share the shuffles that made it.
+    Both are plain filters, which reach the scan. ``shared`` hides the test from the optimizer, so that both parts keep the same
+    plan below and share a shuffle that made the frame.
     """
     if isinstance(members, Column):
         inside = is_member(F.col(column), members)
     else:
         inside = F.coalesce(F.col(column).isin(*members), F.lit(False))
+    if not shared:
+        return df.filter(inside), df.filter(~inside)
     flagged = computed_once(df, {"_inside": inside})
     return flagged.filter("_inside").drop("_inside"), flagged.filter("NOT _inside").drop("_inside")
 
@@ -82,18 +87,29 @@ def pair_up(df: DataFrame, group: Sequence[str], member: str, members: Sequence
 def pair_reversed(
     df: DataFrame, group: Sequence[str], position: str, columns: Sequence[str], block: int = 65_536
 ) -> DataFrame:
-    """Each row with the row at the mirrored position of its group; positions run from 0 without gaps.
+    """Each row with the row at the mirrored position of its group; null keys form a group like any other.
 
-    The group size is a combined count. It is joined per block of positions, so that a group of many rows spreads over
-    as many tasks as it has blocks while small groups keep one row of size. The mirrored position then makes an
-    equi-join on group and position.
+    Positions run from 0 without gaps; anything else stops the job, as rows would meet the wrong partners
+    (``ranked_positions`` closes gaps). The group size is a combined count. It is joined per block of positions, so
+    that a group of many rows spreads over as many tasks as it has blocks while small groups keep one row of size. The
+    mirrored position then makes an equi-join on group and position.
     """
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    at = F.col(position).cast("bigint")
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(at).alias("_last"), F.min(at).alias("_first"))
+    gap = F.raise_error(F.lit("positions have gaps")).cast("bigint")
+    size = F.when((F.col("_last") + 1 == F.col("_n")) & (F.col("_first") == 0), F.col("_n")).otherwise(gap)
+    sizes = sizes.select(*group, size.alias("_n"))
     sizes = sizes.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / block).cast("int"))))
-    left = df.withColumn("_block", F.floor(F.col(position) / block).cast("int")).join(sizes, [*group, "_block"])
-    left = left.withColumn("_at", F.col("_n") - 1 - F.col(position)).drop("_n", "_block")
-    right = df.select(*group, F.col(position).alias("_at"), *[F.col(c).alias(f"mirrored_{c}") for c in columns])
-    return left.join(right, [*group, "_at"], "left").drop("_at")
+    left = null_safe_join(df.withColumn("_block", F.floor(at / block).cast("int")), sizes, [*group, "_block"])
+    left = left.withColumn("_at", F.col("_n") - 1 - at).drop("_n", "_block")
+    right = df.select(*group, at.alias("_at"), *[F.col(c).alias(f"mirrored_{c}") for c in columns])
+    return null_safe_join(left, right, [*group, "_at"], "left").drop("_at")
+
+
+def ranked_positions(df: DataFrame, group: Sequence[str], order: str, name: str) -> DataFrame:
+    """Positions 0, 1, 2 … of the rows of each group by ``order``, whatever gaps it has. The rows of one group are a request's
+    own media list, which fits a task."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(order)) - 1)
 
 
 def concat_reports(first: DataFrame, *others: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Join helpers that look at sizes before choosing a strategy."""
+"""Join helpers. No strategy is hinted: Spark chooses by the size in bytes and adaptive execution."""
 
 from __future__ import annotations
 
@@ -6,20 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-MAX_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the frame is known to hold few rows.
-
-    Beyond the bound the frame is returned unhinted, so the join shuffles and adaptive execution splits skewed
-    keys. The check reads at most ``max_rows + 1`` rows.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys meet each other.
 

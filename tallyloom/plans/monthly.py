@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.periods import month_start
 from tallyloom.plans.reports import BUILDERS, attach_requests
 from tallyloom.sources.landing import ready_documents, with_readiness
 from tallyloom.sources.lake import publish, table_path
@@ -27,8 +28,9 @@ def run_month(
     catalog_table: str | None = None, **options,
 ) -> str:
     """Build one month of one report and replace its partition; any day of the month may be given."""
-    of_month = landing.filter(F.col("data_date") == month_start(F.lit(month)))
-    return publish(build_report(of_month, report, requests, **options), base, table, catalog_table)
+    first = date.fromisoformat(month).replace(day=1)
+    of_month = landing.filter(F.col("data_date") == F.lit(first))
+    return publish(build_report(of_month, report, requests, **options), base, table, [first], catalog_table)
 
 
 def stream_report(

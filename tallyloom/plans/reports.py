@@ -7,6 +7,7 @@ Every function takes a landing frame whose rows are ready documents, already joi
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,9 @@ from tallyloom.operators.parse import (
 )
 from tallyloom.operators.quality import conform
 from tallyloom.operators.reshape import is_member
-from tallyloom.plans.joins import broadcast_if_small
+from tallyloom.plans.joins import null_safe_join
 from tallyloom.plans.staging import computed_once, exploded
+from tallyloom.sources.landing import request_key
 from tallyloom.plans.specs import (
     AUDIENCE_DUPLICATION,
     CORRECTED_NAMES,
@@ -45,10 +47,15 @@ PARTITION = "data_date"
 def attach_requests(landing: DataFrame, requests: DataFrame) -> DataFrame:
     """Label every document with the columns of its request; a document without a known request keeps null labels.
 
-    The grid is broadcast when it is checked to be small, which leaves the document text where it was read.
+    Requests are named by id, and by report and month where their frame has these. A request that stands in the frame twice stops
+    the job, as it would multiply its report's rows.
     """
-    labels = [c for c in requests.columns if c == "request_id" or c not in landing.columns]
-    return landing.join(broadcast_if_small(requests.select(*labels)), "request_id", "left")
+    key = [c for c in request_key(landing) if c in requests.columns]
+    labels = [c for c in requests.columns if c not in landing.columns]
+    grouped = requests.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in labels])
+    stop = F.raise_error(F.lit("repeated request")).cast("boolean")
+    once = grouped.filter(F.when(F.col("_n") > 1, stop).otherwise(F.lit(True))).drop("_n")
+    return null_safe_join(landing, once, key, "left")
 
 
 def _finish(facts: DataFrame, spec: ReportSpec, corrected_names: bool = False) -> DataFrame:
@@ -107,14 +114,50 @@ def _documents(landing: DataFrame, spec: ReportSpec, strict: bool) -> DataFrame:
     return tables.withColumn("rows", _readable(F.col("rows"), strict))
 
 
-def _pair_rows(landing: DataFrame, spec: ReportSpec, strict: bool) -> DataFrame:
-    """Benchmark rows with ``is_duplicate``: the same media, id and audience occur twice in the document."""
+def _neighbour(items: str, at: Column, field: str) -> Column:
+    return F.get(items, at)[field]
+
+
+def _pair_rows(docs: DataFrame) -> DataFrame:
+    """Benchmark rows with ``is_duplicate``: the same media, id and audience occur twice in the document.
+
+    The keys are sorted within the document, where equal ones become neighbours; a row carries its flag only.
+    """
     key = lambda r: F.struct(r["label"], r["benchmark_media_id"], F.get(r["cells"], F.lit(0)))
-    docs = _documents(landing, spec, strict).withColumn("keys", F.transform("rows", key))
-    docs = docs.withColumn("unique", F.size(F.array_distinct("keys")) == F.size("keys"))
-    own = key(F.col("r"))
-    repeated = ~F.col("unique") & (F.size(F.filter("keys", lambda k: k == own)) > 1)
-    return exploded(docs, "rows", "r").withColumn("is_duplicate", repeated).drop("keys", "unique")
+    placed = F.array_sort(F.transform("rows", lambda r, i: F.struct(key(r).alias("key"), i.alias("i"))))
+    docs = computed_once(docs, {"placed": placed})
+    same = lambda j, p: _neighbour("placed", j, "key").eqNullSafe(p["key"])
+    flags = F.array_sort(F.transform("placed", lambda p, j: F.struct(p["i"], (same(j - 1, p) | same(j + 1, p)).alias("twice"))))
+    docs = computed_once(docs, {"flags": flags}).drop("placed")
+    joined = F.transform("rows", lambda r, i: F.struct(r.alias("r"), F.get("flags", i)["twice"].alias("twice")))
+    rows = exploded(docs.withColumn("rows", joined).drop("flags"), "rows", "x")
+    return rows.select(*[c for c in rows.columns if c != "x"], F.col("x.r").alias("r"), F.col("x.twice").alias("is_duplicate"))
+
+
+def _compared(first_value: int) -> tuple[Column, Column]:
+    """``entries``: a document's measure cells, sorted by comparison media and measure; ``compared``: one struct for each
+    comparison media with the positions of its measures and whether one of them stands there twice.
+
+    Equal media are neighbours in the sorted entries, and no media has more than the known measures, so each struct
+    looks at as many entries as there are measures.
+    """
+    labels = list(CROSS_VISITING_METRICS)
+    number = lambda j: F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(m) for m in labels]), F.get("header", j)["metric"]), F.lit(0)), F.lit(len(labels) + 1))
+    positions = F.when(F.col("width") > first_value, F.sequence(F.lit(first_value), F.col("width") - 1))
+    entries = F.array_sort(F.transform(positions, lambda j: F.struct(F.get("top", j).alias("media"), number(j).alias("n"), j.alias("j"))))
+    starts = F.filter(
+        F.transform("entries", lambda e, i: F.when((i == 0) | ~_neighbour("entries", i - 1, "media").eqNullSafe(e["media"]), i)),
+        lambda i: i.isNotNull(),
+    )
+
+    def group(i: Column) -> Column:
+        near = [F.get("entries", i + d) for d in range(len(labels) + 1)]
+        inside = [(i + d < F.size("entries")) & e["media"].eqNullSafe(near[0]["media"]) for d, e in enumerate(near)]
+        place = lambda k: F.coalesce(*[F.when(ok & (e["n"] == k), e["j"]) for ok, e in zip(inside, near)])
+        twice = [ok & (near[d]["n"] == near[d + 1]["n"]) & (near[d]["n"] <= len(labels)) for d, ok in enumerate(inside[1:])]
+        return F.struct(near[0]["media"].alias("name"), *[place(k + 1).alias(f"p{k}") for k in range(len(labels))], reduce(lambda a, b: a | b, twice).alias("twice"))
+
+    return entries, F.transform(starts, group)
 
 
 def cross_visiting(
@@ -127,15 +170,9 @@ def cross_visiting(
     ``on_duplicate='quarantine'`` leaves out repeated keys, which ``cross_visiting_duplicates`` lists. A measure the
     table lacks is null, or stops the job with ``require_metrics``.
     """
-    first_value = len(spec.layouts[0].key_cells)
-    entries = F.transform(
-        F.sequence(F.lit(first_value), F.col("width") - 1),
-        lambda j: F.struct(
-            F.get("top", j).alias("media"), F.get("header", j)["metric"].alias("metric"),
-            stripped_to_measure(F.get("r.cells", j)).alias("value"),
-        ),
-    )
-    rows = _pair_rows(landing, spec, strict)
+    entries, compared = _compared(len(spec.layouts[0].key_cells))
+    docs = computed_once(_documents(landing, spec, strict), {"entries": entries})
+    rows = _pair_rows(computed_once(docs, {"compared": compared}).drop("entries"))
     if on_duplicate == "fail":
         stop = F.raise_error(F.lit("duplicate key in pair matrix")).cast("boolean")
         usable = F.when(F.col("is_duplicate"), stop).otherwise(F.lit(True))
@@ -146,27 +183,29 @@ def cross_visiting(
         lacking = F.size(F.array_except(labels, F.transform("header", lambda h: h["metric"]))) > 0
         halt = F.raise_error(F.lit("measure missing from pair matrix")).cast("boolean")
         usable = F.when(lacking, halt).otherwise(usable)
-    rows = computed_once(rows, {"entries": F.when(usable & (F.col("width") > first_value), entries)})
-    compared = F.array_distinct(F.transform("entries", lambda e: F.struct(e["media"].alias("name"))))
-    rows = exploded(rows, compared, "compared").withColumn("comparison_media", F.col("compared.name"))
-
-    def value_of(label: str) -> Column:
-        same = lambda e: e["media"].eqNullSafe(F.col("comparison_media")) & (e["metric"] == label)
-        return _only(F.transform(F.filter("entries", same), lambda e: e["value"]), label, "float")
-
-    wide = rows.select(
-        "*",
+    twice = F.raise_error(F.lit("duplicate key: a measure stands twice")).cast("string")
+    values = F.transform(
+        F.when(usable, F.col("compared")),
+        lambda m: F.struct(
+            m["name"].alias("name"),
+            *[F.when(m["twice"], twice).otherwise(F.get("r.cells", m[f"p{k}"])).alias(f"v{k}") for k in range(len(CROSS_VISITING_METRICS))],
+        ),
+    )
+    carried = [c for c in rows.columns if c not in ("r", "compared", "header", "top", "width", "is_duplicate")]
+    rows = rows.select(
+        *carried,
         F.col("r.label").alias("benchmark_media"),
         F.col("r.benchmark_media_id").alias("benchmark_media_id"),
         F.get("r.cells", F.lit(0)).alias("media_target_audience"),
-        *[value_of(label).alias(column) for label, column in CROSS_VISITING_METRICS.items()],
+        values.alias("values"),
     )
-    return _finish(wide, spec, corrected_names)
+    measures = {column: stripped_to_measure(F.col(f"v.v{k}")) for k, column in enumerate(CROSS_VISITING_METRICS.values())}
+    return _finish(exploded(rows, "values", "v").withColumns({"comparison_media": F.col("v.name"), **measures}), spec, corrected_names)
 
 
 def cross_visiting_duplicates(landing: DataFrame, spec: ReportSpec = CROSS_VISITING) -> DataFrame:
     """Quarantine of benchmark rows whose key occurs twice in a document."""
-    return _pair_rows(landing, spec, False).filter("is_duplicate").select(
+    return _pair_rows(_documents(landing, spec, False)).filter("is_duplicate").select(
         "request_id", PARTITION, F.col("r.row_no").alias("row_no"), F.col("r.label").alias("benchmark_media"),
         F.col("r.benchmark_media_id").alias("benchmark_media_id"), F.lit("duplicate_key").alias("reject_reason"),
     )

@@ -30,9 +30,3 @@ def exploded(df: DataFrame, array: Column | str, name: str, position: str | None
     else:
         out = made.select(*kept, F.explode_outer(source).alias(name))
     return out.filter(F.col(name).isNotNull())
-
-
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """Spread a scan of few files over all cores before costly row-wise work; a scan of many files stays in place."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

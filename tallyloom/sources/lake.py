@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PARTITION = "data_date"
 
@@ -20,12 +21,26 @@ def _identifier(name: str) -> str:
     return name
 
 
-def write_months(df: DataFrame, path: str) -> None:
-    """Replace the months the frame touches and leave all others alone.
+def _month_files(spark: SparkSession, path: str, month: str) -> tuple:
+    """The folder of a month, its file system, and the names of the files in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION}={month}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = {str(f.getPath().getName()) for f in fs.listStatus(folder)} if fs.exists(folder) else set()
+    return fs, folder, names
 
-    The rebalance hint gathers each month into files of the advisory size; a month that is far larger than the others
-    is split over several tasks.
+
+def write_months(df: DataFrame, path: str, months: Iterable | None = None) -> list[str]:
+    """Replace months and leave all others alone; gives the named months that hold no rows now.
+
+    With ``months``, exactly these are replaced: one for which the frame has no rows ends empty. Without, the months the
+    frame touches are. The rebalance hint gathers each month into files of the advisory size; a month that is far
+    larger than the others is split over several tasks.
     """
+    spark = df.sparkSession
+    named = sorted({str(m) for m in months or ()})
+    if months is not None:
+        df = df.filter(F.col(PARTITION).cast("string").isin(*named))
+    before = {m: _month_files(spark, path, m)[2] for m in named}
     (
         df.hint("rebalance", PARTITION)
         .write.mode("overwrite")
@@ -34,6 +49,19 @@ def write_months(df: DataFrame, path: str) -> None:
         .partitionBy(PARTITION)
         .parquet(path)
     )
+    empty = []
+    for month in named:
+        fs, folder, now = _month_files(spark, path, month)
+        if now == before[month]:  # the write put no new file there
+            fs.delete(folder, True)
+            empty.append(month)
+    return empty
+
+
+def _text(value: str) -> str:
+    """A string as an SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def create_table(spark: SparkSession, table: str, path: str, df: DataFrame) -> None:
@@ -41,35 +69,40 @@ def create_table(spark: SparkSession, table: str, path: str, df: DataFrame) -> N
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_identifier(table)} ({columns}) USING parquet "
-        f"PARTITIONED BY ({PARTITION}) LOCATION '{path}'"
+        f"PARTITIONED BY ({PARTITION}) LOCATION {_text(path)}"
     )
 
 
 def register_months(spark: SparkSession, table: str, path: str, months: Iterable) -> None:
     """Add the months' partitions to the catalog; months that are there already stay."""
-    specs = " ".join(f"PARTITION ({PARTITION}='{m}') LOCATION '{path}/{PARTITION}={m}'" for m in sorted(set(months)))
+    specs = " ".join(
+        f"PARTITION ({PARTITION}={_text(m)}) LOCATION {_text(f'{path}/{PARTITION}={m}')}" for m in sorted({str(m) for m in months})
+    )
     if specs:
         spark.sql(f"ALTER TABLE {_identifier(table)} ADD IF NOT EXISTS {specs}")
     spark.catalog.refreshTable(table)
 
 
+def drop_months(spark: SparkSession, table: str, months: Iterable) -> None:
+    """Take the months' partitions out of the catalog; months that are not there are passed over."""
+    specs = ", ".join(f"PARTITION ({PARTITION}={_text(m)})" for m in sorted({str(m) for m in months}))
+    if specs:
+        spark.sql(f"ALTER TABLE {_identifier(table)} DROP IF EXISTS {specs}")
+
+
 def touched_months(df: DataFrame) -> list:
-    """The distinct months of a frame; a calendar bounds their number."""
-    return sorted(str(r[0]) for r in df.select(PARTITION).distinct().collect())
+    """The distinct months of a frame, without null; a calendar bounds their number."""
+    return sorted(str(r[0]) for r in df.select(PARTITION).where(F.col(PARTITION).isNotNull()).distinct().collect())
 
 
-def publish(df: DataFrame, base: str, table: str, catalog_table: str | None = None) -> str:
-    """Write the touched months and, when a catalog table is named, register them."""
-    spark = df.sparkSession
+def publish(df: DataFrame, base: str, table: str, months: Iterable, catalog_table: str | None = None) -> str:
+    """Replace exactly ``months`` and, when a catalog table is named, bring its partitions in line. Other months are neither
+    read nor listed."""
+    spark, named = df.sparkSession, sorted({str(m) for m in months})
     path = table_path(base, table)
-    write_months(df, path)
+    empty = write_months(df, path, named)
     if catalog_table:
         create_table(spark, catalog_table, path, df)
-        spark.sql(f"ALTER TABLE {_identifier(catalog_table)} RECOVER PARTITIONS")
-        spark.catalog.refreshTable(catalog_table)
+        drop_months(spark, catalog_table, empty)
+        register_months(spark, catalog_table, path, set(named) - set(empty))
     return path
-
-
-def preview(df: DataFrame, n: int = 20) -> None:
-    """Print the first rows in full width; for interactive use."""
-    df.show(n, truncate=False)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import resolve_references
 from tallyloom.operators.parse import TAG, attribute, has_errors
-from tallyloom.plans.joins import broadcast_if_small
+from tallyloom.plans.joins import null_safe_join
 
 LANDING_SCHEMA = (
     "request_id string, report string, data_date date, attempt int, received_at timestamp_ntz, payload string"
@@ -66,18 +68,29 @@ def with_readiness(landing: DataFrame) -> DataFrame:
     return landing if "is_ready" in landing.columns else landing.withColumn("is_ready", ~has_errors(F.col("payload")))
 
 
+#: What names a request: the same id comes back every month.
+REQUEST_KEY = ("report", "data_date", "request_id")
+
+
+def request_key(landing: DataFrame) -> list[str]:
+    """The columns of ``REQUEST_KEY`` that the frame has."""
+    return [c for c in REQUEST_KEY if c in landing.columns]
+
+
 def ready_documents(landing: DataFrame) -> DataFrame:
-    """The newest ready document of every request; attempt numbers are unique within a request.
+    """The newest ready document of every request of every report and month, exactly one of each.
 
-    Only requests with several ready attempts need a look-up; that list holds ids and attempt numbers, is broadcast
-    when it is checked to be small, and so the document text is not shuffled.
+    Of several rows of one attempt (an answer that was landed again) the last received counts, then the last batch's.
+    The look-up reads ids and attempt numbers only, and requests with one ready row need none of it; the document text is
+    shuffled for those rows alone that agree in all of these.
     """
-    log = with_readiness(landing).filter("is_ready")
-    repeated = (
-        log.groupBy("request_id")
-        .agg(F.max("attempt").alias("_latest"), F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-        .select("request_id", "_latest")
-    )
-    picked = log.join(broadcast_if_small(repeated), "request_id", "left")
-    return picked.filter(F.col("_latest").isNull() | (F.col("attempt") == F.col("_latest"))).drop("_latest", "is_ready")
+    log, key = with_readiness(landing).filter("is_ready"), request_key(landing)
+    order = [c for c in ("attempt", "received_at", "first_batch") if c in landing.columns]
+    ties = log.groupBy(*key, *order).agg(F.count(F.lit(1)).alias("_n"))
+    best = ties.groupBy(*key).agg(F.max(F.struct(*order, "_n")).alias("_best"), F.sum("_n").alias("_all"))
+    picked = null_safe_join(log, best.filter("_all > 1"), key, "left")
+    same = [F.col(c).eqNullSafe(F.col(f"_best.{c}")) for c in order]
+    picked = picked.filter(F.col("_best").isNull() | reduce(lambda a, b: a & b, same))
+    once = picked.filter("_best IS NULL OR _best._n = 1").drop("_best", "_all", "is_ready")
+    again = picked.filter("_best._n > 1").drop("_best", "_all", "is_ready").dropDuplicates(key)
+    return once.unionAll(again)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +11,11 @@ from tallyloom.functions.periods import month_start
 from tallyloom.functions.text import strip
 from tallyloom.operators.audience import cross_visit, duplication
 from tallyloom.operators.grid import request_grid, with_request_id
-from tallyloom.operators.parse import has_errors, job_id, parse_rows
+from tallyloom.operators.parse import TAG, attribute, has_errors, job_id, parse_rows, rejected_rows
+from tallyloom.operators.quality import reconcile
 from tallyloom.operators.render import collect_documents, data_row, document, fixed_row, header_row
 from tallyloom.plans import reports
 from tallyloom.plans.specs import CROSS_VISITING_MEASURES, LOCAL_MARKET, Layout, ReportSpec
-from tallyloom.plans.staging import spread_scan
 from tallyloom.sources.config import CATEGORY_SETS, TARGETS, TIMEFRAMES
 from tallyloom.sources.landing import markets, ready_documents as pick_ready
 from tallyloom.workload.registry import amount_text, as_double, as_text, cents, query, table
@@ -22,7 +24,7 @@ CATEGORY_ROWS = [{"categories": c} for c in CATEGORY_SETS]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
-def _finish(df: DataFrame, *doubles: str) -> DataFrame:
+def finish(df: DataFrame, *doubles: str) -> DataFrame:
     return as_text(as_double(df, *doubles), "data_date")
 
 
@@ -45,6 +47,11 @@ def _finish(df: DataFrame, *doubles: str) -> DataFrame:
     FROM m CROSS JOIN c""")
 def roundtrip_one_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Desktop report: orders by month, priority and status."""
+    return finish(reports.desktop(desktop_landing(spark, sf_dir, ["data_date", "categories"])), "metric_value")
+
+
+def desktop_landing(spark: SparkSession, sf_dir: str, request: list[str]) -> DataFrame:
+    """One document for each month and category set, with the request's labels; ``request`` names what the id is made of."""
     counted = (
         table(spark, sf_dir, "orders")
         .groupBy(month_start(F.col("o_orderdate")).alias("data_date"), "o_orderpriority", "o_orderstatus")
@@ -74,8 +81,7 @@ def roundtrip_one_header(spark: SparkSession, sf_dir: str) -> DataFrame:
         "data_date", document(F.col("rows_markup"), header).alias("payload")
     )
     grid = request_grid(docs, timeframes=TIMEFRAMES, categories=CATEGORY_ROWS)
-    landing = with_request_id(grid, "desktop", ["data_date", "categories"])
-    return _finish(reports.desktop(landing), "metric_value")
+    return with_request_id(grid, "desktop", request)
 
 
 @query("""
@@ -118,7 +124,7 @@ def roundtrip_two_header(spark: SparkSession, sf_dir: str) -> DataFrame:
         document(F.col("rows_markup"), top, header).alias("payload"),
     )
     landing = with_request_id(docs, "mobile_web_and_app", ["categories"])
-    return _finish(reports.mobile_web_and_app(landing), "metric_value")
+    return finish(reports.mobile_web_and_app(landing), "metric_value")
 
 
 @query("""
@@ -173,7 +179,7 @@ def roundtrip_local_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     landed = with_request_id(request_grid(docs, categories=CATEGORY_ROWS), "local_market", ["region_id", "categories"])
     landing = reports.attach_requests(landed.select("request_id", "data_date", "payload"), requests)
-    return _finish(reports.local_market(landing, LOCAL_MARKET), "metric_value")
+    return finish(reports.local_market(landing, LOCAL_MARKET), "metric_value")
 
 
 @query("""
@@ -216,7 +222,7 @@ def layout_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
         document(F.col("rows_markup"), headers).alias("payload"),
     )
     landing = with_request_id(docs, "multi_platform", ["categories"])
-    return _finish(reports.multi_platform(landing), "metric_value")
+    return finish(reports.multi_platform(landing), "metric_value")
 
 
 TEXT_LINES = ReportSpec(
@@ -237,20 +243,43 @@ TEXT_LINES = ReportSpec(
     FROM w GROUP BY ALL""")
 def ragged_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a table: lines are rows, words are cells, the first line sets the width."""
+    parsed = parse_rows(_line_tables(spark, sf_dir), TEXT_LINES)
+    chars = F.length(F.array_join("cells", ""))
+    return parsed.groupBy("doc_id", "reject_reason").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("cells")).alias("n_cells"),
+        F.sum(chars).alias("n_chars"),
+    )
+
+
+def _line_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.split("text", "\n")
     words = lambda line: F.split(line, " ")
     first = F.transform(words(F.get(lines, F.lit(0))), lambda x: F.struct(x.alias("metric"), F.lit(None).cast("string").alias("metric_id")))
     rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
     rows = F.transform(rest, lambda line, i: data_row(i.cast("string"), {}, words(line)))
-    docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    docs = table(spark, sf_dir, "documents").select(
+       
         "doc_id", document(F.array_join(rows, ""), header_row("line", first)).alias("payload")
     )
-    parsed = parse_rows(docs, TEXT_LINES)
-    chars = F.length(F.array_join("cells", ""))
-    return parsed.groupBy("doc_id", "reject_reason").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("cells")).alias("n_cells"),
-        F.sum(chars).alias("n_chars"),
-    )
+    return docs
+
+
+@query("""
+    WITH l AS (
+      SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE len(string_split(text, chr(10))) > 1),
+    w AS (SELECT doc_id, len(string_split(lines[2], ' ')) AS expected, len(string_split(unnest(lines[2:]), ' ')) AS n FROM l)
+    SELECT doc_id, count(*) AS scanned, count(*) FILTER (n >= expected) AS kept, count(*) FILTER (n < expected) AS rejected,
+           coalesce(sum(expected - n) FILTER (n < expected), 0)::BIGINT AS n_lacking
+    FROM w GROUP BY ALL""")
+def first_row_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tables under the older rule, where the first data row's width is the guard and longer rows pass: scanned,
+    kept and quarantined rows of each, and the cells the quarantined ones lack."""
+    older = replace(TEXT_LINES, ragged="strict").with_width_from("first_row")
+    parsed = parse_rows(_line_tables(spark, sf_dir), older)
+    guard = F.first(F.when(F.col("row_no") == 0, F.size("cells")), ignorenulls=True).alias("guard")
+    firsts = parsed.groupBy("doc_id").agg(guard)
+    lacking = rejected_rows(parsed).join(firsts, "doc_id").groupBy("doc_id").agg(F.sum(F.col("guard") - F.size("cells")).alias("n_lacking"))
+    return reconcile(parsed, ["doc_id"]).join(lacking, "doc_id", "left").na.fill(0, ["n_lacking"])
 
 
 @query(r"""
@@ -263,21 +292,11 @@ def ragged_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM p""")
 def attribute_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of raw pages: text and attribute, with an attribute that may be absent."""
-    pattern = F.lit(r'(?is)<a\s+href="([^"]*)"[^>]*>(.*?)</a>')
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id",
-        F.posexplode(
-            F.arrays_zip(
-                F.regexp_extract_all("html", pattern, F.lit(1)).alias("href"),
-                F.regexp_extract_all("html", pattern, F.lit(2)).alias("label"),
-            )
-        ).alias("pos", "link"),
-    )
-    href = F.col("link.href")
-    return pages.select(
-        "page_id", "pos", href.alias("href"), strip(F.col("link.label")).alias("label"),
-        F.when(~href.startswith("/"), href).alias("absolute"),
-    )
+    links = F.regexp_extract_all("html", F.lit(r"(?is)<a(\s+[^>]*>.*?)</a>"), F.lit(1))
+    found = table(spark, sf_dir, "pages").select("page_id", F.posexplode(links).alias("pos", "link"))
+    href = attribute(F.regexp_extract("link", f"^({TAG})>", 1), "href")
+    label = strip(F.regexp_replace("link", f"^{TAG}>", ""))
+    return found.select("page_id", "pos", href.alias("href"), label.alias("label"), F.when(~href.startswith("/"), href).alias("absolute"))
 
 
 @query("""
@@ -344,7 +363,7 @@ def report_cross_visiting(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = with_request_id(grid, "cross_visiting", ["target_key", "target_value"]).select(
         "request_id", "data_date", "timeframe", document(F.col("rows_markup"), top, header, target=target).alias("payload")
     )
-    return _finish(
+    return finish(
         reports.cross_visiting(landing), "per_benchmark_media_visit_comparison_media",
         "per_comparision_media_visit_benchmark_media", "index", "shared_audience_000",
     )
@@ -415,6 +434,6 @@ def report_audience_duplication(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.try_element_at(ids, F.col("media_set")).alias("media_ids"),
         document(F.col("rows_markup"), header, target=F.col("media_set")).alias("payload"),
     )
-    return _finish(
+    return finish(
         reports.audience_duplication(landing), "benchmark_metric_value", "duplicated_all_sites", "unduplicated"
     )

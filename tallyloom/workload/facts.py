@@ -16,6 +16,7 @@ from tallyloom.operators.reshape import (
     pair_reversed,
     pair_up as make_pairs,
     pivot_strict,
+    ranked_positions,
     split_by_member,
     unpivot,
 )
@@ -201,7 +202,7 @@ def pivot_summary_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("media"), F.col("o_orderstatus").alias("metric"))
         .agg(F.count(F.lit(1)).alias("v"))
     )
-    listed, rest = split_by_member(facts, "media", ["1-URGENT", "2-HIGH"])
+    listed, rest = split_by_member(facts, "media", ["1-URGENT", "2-HIGH"], shared=True)
     names = {"3-MEDIUM": "medium", "4-NOT SPECIFIED": "unspecified", "5-LOW": "low"}
     summary = pivot_strict(rest, ["year", "metric"], "media", "v", names)
     return attach_summary(listed, summary, ["year", "metric"], list(names.values()))
@@ -248,6 +249,22 @@ def pair_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_reversed(turns, ["conv_id"], "turn", ["role", "n_chars"]).drop("n_chars")
 
 
+@query("""
+    WITH p AS (
+      SELECT nullif(conv_id // 10, 0) AS g, conv_id * 1000 + turn AS place, role,
+             row_number() OVER (PARTITION BY nullif(conv_id // 10, 0) ORDER BY conv_id, turn) AS fwd,
+             row_number() OVER (PARTITION BY nullif(conv_id // 10, 0) ORDER BY conv_id DESC, turn DESC) AS bwd
+      FROM conversations WHERE turn % 3 <> 1)
+    SELECT a.g, a.place, a.role, b.role AS mirrored_role
+    FROM p a JOIN p b ON a.g IS NOT DISTINCT FROM b.g AND a.fwd = b.bwd""")
+def pair_reverse_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over turns with gaps, where the places are ranked first; the first ten conversations have no group."""
+    turns = table(spark, sf_dir, "conversations").where("turn % 3 <> 1").select(
+        F.expr("nullif(conv_id div 10, 0)").alias("g"), (F.col("conv_id") * 1000 + F.col("turn")).alias("place"), "role"
+    )
+    return pair_reversed(ranked_positions(turns, ["g"], "place", "at"), ["g"], "at", ["role"]).drop("at")
+
+
 @query("""
     SELECT CASE WHEN coalesce(nullif(c_mktsegment, 'HOUSEHOLD') IN ('BUILDING', 'MACHINERY'), false)
                 THEN 'in' ELSE 'out' END AS part,
@@ -260,7 +277,7 @@ def not_in_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     counted = per_customer.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     counted = counted.groupBy("segment").agg(F.sum("n").alias("n"))
-    inside, outside = split_by_member(counted, "segment", ["BUILDING", "MACHINERY"])
+    inside, outside = split_by_member(counted, "segment", ["BUILDING", "MACHINERY"], shared=True)
     return concat_reports(inside.withColumn("part", F.lit("in")), outside.withColumn("part", F.lit("out")))
 
 

@@ -1,5 +1,7 @@
 import datetime
+from pathlib import Path
 
+import pytest
 from payloads import doc, header, row, rows_of
 from pyspark.sql import functions as F
 
@@ -57,6 +59,13 @@ def test_stream_of_answers_equals_the_batch(spark):
     assert sorted((str(d), m, v) for d, m, v in rows_of(batch, "data_date", "media", "metric_value")) == expected
 
 
+def test_a_newer_empty_answer_takes_its_month_back(spark):
+    base = new_folder(spark, "lake")
+    run_month(log(spark, ("q1", 3, 1, answer("A", 1))), "desktop", "2019-03-05", base, "desktop", requests(spark))
+    path = run_month(log(spark, ("q1", 3, 1, answer("A", 1)), ("q1", 3, 2, doc(HEAD))), "desktop", "2019-03-05", base, "desktop", requests(spark))
+    assert not list(Path(path).glob("data_date=*"))
+
+
 def test_one_month_is_published_alone(spark):
     base = new_folder(spark, "lake")
     landing = log(spark, *FIRST, *SECOND)
@@ -74,7 +83,11 @@ def test_request_answered_from_facts(spark):
     parameters = request_parameters(DESKTOP, 231, timeType=1, media=["m1", "m2"])
     assert parameters["geo"] == 840 and parameters["targetGroup"] == 15 and parameters["timePeriod"] == 231
     columns = {"geo": "geo", "timePeriod": "period", "media": "media"}
+    with pytest.raises(ValueError, match="timeType"):
+        ask(fact, DESKTOP, parameters, columns)
+    del parameters["timeType"]
     assert rows_of(ask(fact, DESKTOP, parameters, columns), "v") == [(1.0,)]
+    assert rows_of(ask(fact, DESKTOP, parameters, columns, measures=["4"]), "v") == [(2.0,)]
     members = spark.createDataFrame([("m3",)], "media string")
     assert rows_of(ask(fact, DESKTOP, request_parameters(DESKTOP, 231), columns, members), "v") == [(4.0,)]
 

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from payloads import doc, header, landing, row, rows_of, target
 from pyspark.sql import functions as F
@@ -51,6 +53,20 @@ def test_cross_visiting_duplicates(spark):
     assert sorted(rows_of(reports.cross_visiting_duplicates(twice), "row_no", "benchmark_media")) == [(0, "Alpha"), (1, "Alpha")]
 
 
+def test_large_pair_matrices_take_linear_time(spark):
+    def seconds(rows, columns):
+        top, head = header(["", *[f"m{i}" for i in range(columns) for _ in METRICS]], ""), header(["T", *[(m, str(i)) for _ in range(columns) for i, m in enumerate(METRICS)]])
+        text = doc(top, head, *[row(f"b{k}", ["Total", *["1"] * (4 * columns)]) for k in range(rows)], summary=target("t"))
+        frame = landing(spark, text)
+        start = time.perf_counter()
+        assert reports.cross_visiting(frame).count() == rows * columns
+        return time.perf_counter() - start
+
+    seconds(10, 2)
+    assert seconds(50_000, 1) < 12 * seconds(12_500, 1) + 5
+    assert seconds(10, 800) < 12 * seconds(10, 200) + 5
+
+
 def test_cross_visiting_repeated_metric_in_a_row(spark):
     top, head = header(["", "Beta", "Beta"], ""), header(["T", ("Index", "54"), ("Index", "54")])
     frame = landing(spark, doc(top, head, row("Alpha", ["Total", "1", "2"]), summary=target("t")))

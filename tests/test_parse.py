@@ -6,6 +6,7 @@ from payloads import doc, header, landing, row, rows_of
 from pyspark.sql import functions as F
 
 from tallyloom.operators.parse import (
+    attribute,
     fail_on_reject,
     has_errors,
     job_id,
@@ -211,3 +212,11 @@ def test_random_tables_survive_the_round_trip(spark):
         for r in parsed.collect()
     ]
     assert sorted(got, key=lambda r: r[:2]) == sorted(expected, key=lambda r: r[:2])
+
+
+def test_attribute_names_inside_other_values(spark):
+    tags = {
+        """title="see web_id='9' here" web_id="5" """: "5", " web_id=a/b x=1": "a/b", " data-web_id='1' web_id = '2'": "2", " x='web_id=3'": None, " Web_Id='4 > 3'": "4 > 3",
+    }
+    for tag, value in tags.items():
+        assert spark.createDataFrame([(tag,)], "t string").select(attribute(F.col("t"), "web_id")).first()[0] == value, tag
