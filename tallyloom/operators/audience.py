@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.plans.joins import null_safe_join
@@ -52,73 +52,83 @@ def key_measures_approx(
     return _with_reach(per_media, totals, period, scaled)
 
 
-def _bit(media: Column, listed: Sequence) -> Column:
-    bits = F.create_map(*[x for i, m in enumerate(listed) for x in (F.lit(m), F.lit(1 << i).cast("bigint"))])
-    return F.coalesce(F.try_element_at(bits, media), F.lit(0).cast("bigint"))
+def _listed(spark: SparkSession, comparison: Sequence) -> DataFrame:
+    """``(comparison, _no)``: the listed media with their places, as a frame made of one literal."""
+    entries = F.array(*[F.lit(m) for m in dict.fromkeys(comparison)])
+    return spark.range(1).select(F.posexplode(entries).alias("_no", "comparison"))
 
 
-def cross_visit(
-    visits: DataFrame, media: str, user: str, comparison: Sequence, by: Sequence[str] = ()
-) -> DataFrame:
-    """Shared audience of every media with every listed comparison media, separately per ``by`` (month, target …).
-
-    ``visits`` may hold a (user, media) pair any number of times; it is reduced to distinct pairs first. The listed
-    media a user visited become the bits of masks (62 to a mask), combined on the map side and joined back to the
-    user's media; adaptive execution splits that join for a user with very many media. A media then adds up the bits
-    of its users. No pair of visits is ever formed, and the list may have any length. Pairs without shared users are
-    left out.
-    """
-    listed, by = list(comparison), list(by)
-    pairs = visits.select(*by, user, media).distinct()
-    masks = pairs.groupBy(*by, user).agg(
-        *[
-            F.bit_or(_bit(F.col(media), listed[i : i + MASK_BITS])).alias(f"_mask{i}")
-            for i in range(0, len(listed), MASK_BITS)
-        ]
-    )
-    bit = lambda i: F.shiftright(f"_mask{i - i % MASK_BITS}", i % MASK_BITS).bitwiseAND(F.lit(1))
-    per_media = (
-        pairs.join(masks, [*by, user])
-        .groupBy(*by, media)
-        .agg(F.count(F.lit(1)).alias("audience"), *[F.sum(bit(i)).alias(f"_{i}") for i in range(len(listed))])
-    )
-    entries = [F.struct(F.lit(m).alias("comparison"), F.col(f"_{i}").alias("shared")) for i, m in enumerate(listed)]
-    found = per_media.select(*by, F.col(media).alias("benchmark"), "audience", F.inline(F.array(*entries)))
-    sizes = found.filter(F.col("benchmark") == F.col("comparison")).select(
-        *by, "comparison", F.col("audience").alias("comparison_audience")
-    )
-    out = found.filter((F.col("benchmark") != F.col("comparison")) & (F.col("shared") > 0)).join(sizes, [*by, "comparison"])
-    users = pairs.select(*by, user).distinct().groupBy(*by).agg(F.count(user).alias("_total"))
-    out = out.join(users, by) if by else out.withColumn("_total", users.scalar())
+def _measures(found: DataFrame, by: list[str], kept: Sequence[str] = ()) -> DataFrame:
+    """The pair measures from shared and single audiences and the number of users."""
     shared = F.col("shared").cast("double")
     expected = F.col("audience").cast("double") * F.col("comparison_audience")
-    return out.select(
+    return found.select(
         *by, "benchmark", "comparison", "shared",
         (shared * 100 / F.col("audience")).alias("horizontal"),
         (shared * 100 / F.col("comparison_audience")).alias("vertical"),
         # Observed over expected overlap; 100 for independent audiences.
         (shared * 100 * F.col("_total") / expected).alias("index"),
+        *kept,
     )
 
 
+def cross_visit(
+    visits: DataFrame, media: str, user: str, comparison: Sequence, by: Sequence[str] = ()
+) -> DataFrame:
+    """Shared audience of every media with every listed comparison media, separately per ``by`` (month, target …).
+
+    ``visits`` may hold a (user, media) pair any number of times; it is reduced to distinct pairs first. The listed
+    media a user visited become the bits of numbered masks (62 to a mask), combined on the map side and joined back to
+    the user's media; adaptive execution splits that join for a user with very many media. Users of a media with the
+    same mask are then one row with a count, and only those rows are unfolded into bits. No pair of visits is ever
+    formed, and the plan is the same whatever the length of the list. Pairs without shared users are left out.
+    """
+    by = list(by)
+    listed = _listed(visits.sparkSession, comparison)
+    pairs = visits.select(*by, F.col(user).alias("_user"), F.col(media).alias("benchmark")).distinct()
+    known = pairs.join(listed, F.col("benchmark") == F.col("comparison"))
+    bit = F.expr(f"shiftleft(1L, _no % {MASK_BITS})")
+    masks = known.groupBy(*by, "_user", F.floor(F.col("_no") / MASK_BITS).alias("_part")).agg(F.bit_or(bit).alias("_mask"))
+    groups = pairs.join(masks, [*by, "_user"]).groupBy(*by, "benchmark", "_part", "_mask").agg(F.count(F.lit(1)).alias("_n"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(MASK_BITS - 1)), lambda i: F.call_function("getbit", F.col("_mask"), i) == 1)
+    unfolded = groups.select(*by, "benchmark", "_part", "_n", F.explode(bits).alias("_bit"))
+    unfolded = unfolded.withColumn("_no", F.col("_part") * MASK_BITS + F.col("_bit"))
+    shared = unfolded.groupBy(*by, "benchmark", "_no").agg(F.sum("_n").alias("shared"))
+    named = shared.join(listed, "_no").filter(F.col("benchmark") != F.col("comparison"))
+    audience = pairs.groupBy(*by, "benchmark").agg(F.count("_user").alias("audience"))
+    other = audience.select(*by, F.col("benchmark").alias("comparison"), F.col("audience").alias("comparison_audience"))
+    found = named.join(audience, [*by, "benchmark"]).join(other, [*by, "comparison"])
+    users = pairs.groupBy(*by, "_user").agg(F.count(F.lit(1))).groupBy(*by).agg(F.count("_user").alias("_total"))
+    return _measures(found.join(users, by) if by else found.withColumn("_total", users.scalar()), by)
+
+
+#: A listed media's sketch is met by very many others; it is copied so often, and they are dealt among the copies.
+COPIES = 32
+
+
 def cross_visit_approx(
     visits: DataFrame, media: str, user: str, comparison: Sequence, log2_size: int = 12, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Shared audience from one sketch per media; error about 2 / sqrt(2 ** log2_size) of the larger audience."""
+    """The same measures from one sketch per media, plus the estimated audiences; pairs with nothing shared are left out.
+
+    The error is about 2 / sqrt(2 ** log2_size) of the larger audience.
+    """
     by = list(by)
-    sketches = visits.groupBy(*by, media).agg(F.theta_sketch_agg(user, log2_size).alias("sketch"))
-    names = F.array(*[F.lit(m) for m in comparison])
-    left = sketches.select(*by, F.col(media).alias("benchmark"), "sketch", F.explode(names).alias("comparison"))
-    left = left.filter(F.col("benchmark") != F.col("comparison"))
-    right = sketches.filter(F.col(media).isin(*comparison)).select(
-        *by, F.col(media).alias("comparison"), F.col("sketch").alias("other")
+    sketches = visits.groupBy(*by, F.col(media).alias("benchmark")).agg(F.theta_sketch_agg(user, log2_size).alias("sketch"))
+    names = F.array(*[F.lit(m) for m in dict.fromkeys(comparison)])
+    left = sketches.withColumn("_copy", F.pmod(F.xxhash64("benchmark"), F.lit(COPIES))).withColumn("comparison", F.explode(names))
+    right = sketches.join(_listed(visits.sparkSession, comparison), F.col("benchmark") == F.col("comparison")).select(
+        *by, "comparison", F.col("sketch").alias("other"), F.explode(F.expr(f"sequence(0L, {COPIES - 1}L)")).alias("_copy")
     )
-    return left.join(right, [*by, "comparison"]).select(
-        *by, "benchmark", "comparison",
-        F.theta_sketch_estimate(F.theta_intersection("sketch", "other")).alias("shared"),
-        F.theta_sketch_estimate("sketch").alias("audience"),
-        F.theta_sketch_estimate("other").alias("comparison_audience"),
+    estimate = F.theta_sketch_estimate
+    met = left.filter(F.col("benchmark") != F.col("comparison")).join(right, [*by, "comparison", "_copy"]).select(
+        *by, "benchmark", "comparison", estimate(F.theta_intersection("sketch", "other")).alias("shared"),
+        estimate("sketch").alias("audience"), estimate("other").alias("comparison_audience"),
     )
+    total = visits.groupBy(*by).agg(estimate(F.theta_sketch_agg(user, log2_size)).alias("_total"))
+    met = met.filter("shared > 0")
+    met = met.join(total, by) if by else met.withColumn("_total", total.scalar())
+    return _measures(met, by, ["audience", "comparison_audience"])
 
 
 def duplication(

@@ -41,9 +41,19 @@ def cross_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audience.cross_visit(_brand_visits(spark, sf_dir), "brand", "customer", BRANDS)
 
 
-@query()
+@query(f"""
+    WITH {_BRANDS},
+    s AS (SELECT a.m AS a, b.m AS b, count(*) AS n FROM p a JOIN p b ON a.u = b.u AND a.m <> b.m GROUP BY ALL)
+    SELECT a AS benchmark, b AS comparison, n AS shared, true AS within_bound FROM s""")
 def cross_visit_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audience.cross_visit_approx(_brand_visits(spark, sf_dir), "brand", "customer", BRANDS)
+    """Exact overlaps beside the sketched ones: whether these keep within the stated error."""
+    visits = _brand_visits(spark, sf_dir)
+    exact = audience.cross_visit(visits, "brand", "customer", BRANDS).select("benchmark", "comparison", "shared")
+    sketched = audience.cross_visit_approx(visits, "brand", "customer", BRANDS).withColumnRenamed("shared", "sketched")
+    error = F.abs(F.col("sketched") - F.col("shared"))
+    # three standard errors, and one user for audiences of a handful
+    bound = 3 * 2 / 2**6 * F.greatest("audience", "comparison_audience") + 1
+    return exact.join(sketched, ["benchmark", "comparison"]).select("benchmark", "comparison", "shared", (error <= bound).alias("within_bound"))
 
 
 BRAND_SETS = {"first two": BRANDS[:2], "first five": BRANDS[:5], "all": BRANDS}

@@ -113,3 +113,9 @@ def test_timeframe_average_counts_gaps_as_absent(spark):
     fact = spark.createDataFrame([("a", 1, 2), ("a", 1, 4), ("a", 2, 6), ("a", 5, 8), ("a", 6, None)], "k string, p int, v long")
     out = audience.timeframe_average(fact, ["k"], "p", "v", 3)
     assert sorted(rows_of(out, "p", "average")) == [(1, 3.0), (2, 4.0), (5, 8.0), (6, 8.0)]
+
+
+def test_the_plan_does_not_grow_with_the_list(spark):
+    visits = frame(spark, [(f"m{i % 50}", i % 7) for i in range(200)])
+    size = lambda n: len(audience.cross_visit(visits, "media", "user", [f"m{i}" for i in range(n)])._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(20) == size(2000)
