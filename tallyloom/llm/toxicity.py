@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import documents_of, held_out
+from tallyloom.llm.common import documents_of, held_out, written
 
 #: At most about this many labelled documents train the voters and the classifier (chosen by a hash of their id).
 LABELLED_SAMPLE = 20_000
@@ -144,9 +144,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_SA
     n = known.count()
     share = int(1_000_000 * min(1.0, bound / max(n, 1)))
     chosen = lambda c: F.pmod(F.xxhash64(c), F.lit(1_000_000)) < share
-    # both sides are cut by the same rule before they meet, so only the sample's texts are shuffled
     known = known.where(chosen("label_id")).groupBy("label_id").agg(F.max("toxic").alias("toxic"))
-    return documents_of(docs).where(chosen("doc_id")).join(known, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+    # the bound holds for what is broadcast: an id and a label for each row of the sample
+    sample = documents_of(docs).where(chosen("doc_id")).join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
+    return written(sample.select("doc_id", "text", "toxic"), "sample")
 
 
 def _best_features(sample: DataFrame, n0: int, n1: int) -> list[str]:
@@ -249,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_SAMPLE) -> Tox
         for frame in frames:
             yield pd.DataFrame({"toxic": frame["toxic"], "hits": [sorted(find(x)) for x in frame["text"]]})
 
-    found = sample.select("text", "toxic").mapInPandas(find_all, "toxic int, hits array<int>").orderBy("toxic", "hits").collect()
+    found = sorted(sample.select("text", "toxic").mapInPandas(find_all, "toxic int, hits array<int>").collect())
     hits = [list(r["hits"]) for r in found]
     votes = np.zeros((len(hits), len(voters)))
     for i, h in enumerate(hits):
