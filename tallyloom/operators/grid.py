@@ -66,11 +66,11 @@ def report_query(
 
 
 def request_parameters(spec: ReportSpec, period_id: int, **chosen: object) -> dict[str, object]:
-    """All parameters of one request: the report's fixed ones, the period and what the caller chose.
+    """All parameters of one request: the report's fixed ones and its options, the period and what the caller chose.
 
     ``chosen`` uses the parameter names of the report surface, such as timeType, mediaSet, csMarket or target.
     """
-    return {**dict(spec.parameters), "timePeriod": period_id, **chosen}
+    return {**dict(spec.parameters), **{o: True for o in spec.options}, "timePeriod": period_id, **chosen}
 
 
 def ask(
@@ -85,7 +85,7 @@ def ask(
     ``media_set``, its members in the fact's own media column. ``measures`` is the configured list, such as
     ``load_config`` reads it; without it the report's fixed list holds.
     """
-    fixed = dict(spec.parameters)
+    fixed = dict(spec.parameters) | {o: True for o in spec.options}
     by_members = {"mediaSet", "mediaSetType"} if media_set is not None else set()
     unknown = [p for p, v in parameters.items() if p not in columns and p not in by_members and not (p in fixed and fixed[p] == v)]
     if unknown:

@@ -25,10 +25,6 @@ def missing_requests(grid: DataFrame, results: DataFrame, on: Sequence[str]) ->
     return grid.join(results.select(*on).distinct(), list(on), "left_anti")
 
 
-def reject(df: DataFrame, reason: str) -> DataFrame:
-    return df.withColumn("reject_reason", F.lit(reason))
-
-
 def reconcile(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     """Scanned, kept and rejected row counts of one parsed frame; kept + rejected = scanned."""
     return rows.groupBy(*by).agg(

@@ -73,7 +73,10 @@ def key_measures(
     landing: DataFrame, spec: ReportSpec, strict: bool = False, null_attribute: bool = False
 ) -> DataFrame:
     """Desktop, multi-platform and mobile reports: one row per media and metric."""
-    return _finish(long_facts(_rows(landing, spec, strict), spec, null_attribute), spec)
+    facts = long_facts(_rows(landing, spec, strict), spec, null_attribute)
+    absent = F.lit(None if null_attribute else "None").cast("string")
+    keys = [c for c in ("category", "attribute") if c in spec.schema.names and c not in facts.columns]
+    return _finish(facts.withColumns({c: absent for c in keys}), spec)
 
 
 def desktop(landing: DataFrame, spec: ReportSpec = DESKTOP, **options) -> DataFrame:

@@ -54,6 +54,11 @@ class ReportSpec:
     def with_width_from(self, source: str) -> "ReportSpec":
         return replace(self, width_from=source)
 
+    def without_category_columns(self) -> "ReportSpec":
+        """The report as asked for without its category columns: no key cells lead the rows."""
+        plain = tuple(dict.fromkeys(replace(x, key_cells=(), cells=None if x.cells is None else x.cells - len(x.key_cells)) for x in self.layouts))
+        return replace(self, layouts=plain, options=tuple(o for o in self.options if o != "includeCategoryColumn"))
+
     def with_layouts(self, *layouts: Layout) -> "ReportSpec":
         return replace(self, layouts=layouts)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import resolve_references
-from tallyloom.operators.parse import TAG, attribute, has_errors
+from tallyloom.operators.parse import TAG, attribute, has_errors, job_id
 from tallyloom.plans.joins import null_safe_join
 
 LANDING_SCHEMA = (
@@ -68,6 +68,16 @@ def with_readiness(landing: DataFrame) -> DataFrame:
     return landing if "is_ready" in landing.columns else landing.withColumn("is_ready", ~has_errors(F.col("payload")))
 
 
+def results_of_jobs(submitted: DataFrame, results: DataFrame, payload: str = "payload") -> DataFrame:
+    """Results with the request that submitted their job.
+
+    ``submitted`` holds the answers to submissions, whose text names the job; ``results`` has a column ``job_id``. A result of an
+    unknown job, and a submission whose answer names none, meet nothing.
+    """
+    jobs = submitted.withColumn("job_id", job_id(F.col(payload))).drop(payload).filter("job_id IS NOT NULL")
+    return results.join(jobs, "job_id")
+
+
 #: What names a request: the same id comes back every month.
 REQUEST_KEY = ("report", "data_date", "request_id")
 

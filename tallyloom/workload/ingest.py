@@ -15,7 +15,7 @@ from tallyloom.plans.specs import CROSS_VISITING
 from tallyloom.plans.workspace import new_folder
 from tallyloom.sources.config import TIMEFRAMES, load_config
 from tallyloom.sources.lake import publish, touched_months
-from tallyloom.sources.landing import read_landing, ready_documents
+from tallyloom.sources.landing import read_landing, ready_documents, results_of_jobs
 from tallyloom.streaming.ingest import ingest_stream
 from tallyloom.workload.documents import CATEGORY_ROWS, desktop_landing, finish
 from tallyloom.workload.registry import ORACLES, as_text, query, table
@@ -83,3 +83,16 @@ def configured_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = fact.withColumn("period", F.when(F.col("month") == parse_date(F.lit("1995-03-01")), 0).otherwise(1))
     asked = ask(fact, CROSS_VISITING, parameters, {"timePeriod": "period", "media": "media"}, measures=list(config["measures"]))
     return as_text(asked.drop("period"), "month")
+
+
+@query("""
+    SELECT u.conv_id, u.turn AS asked, a.turn AS answered, length(a.text) AS n_chars
+    FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+    WHERE u.role = 'user' AND a.role = 'assistant'""")
+def jobs_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turns as submissions whose answer names a job, the next assistant turn as that job's result."""
+    turns = table(spark, sf_dir, "conversations")
+    named = F.concat(F.lit("<r><jobId>"), F.concat_ws("-", "conv_id", F.col("turn") + 1), F.lit(" </jobId></r>"))
+    submitted = turns.filter("role = 'user'").select("conv_id", F.col("turn").alias("asked"), named.alias("payload"))
+    results = turns.filter("role = 'assistant'").select(F.concat_ws("-", "conv_id", "turn").alias("job_id"), F.col("turn").alias("answered"), F.length("text").alias("n_chars"))
+    return results_of_jobs(submitted, results).drop("job_id")

@@ -220,3 +220,9 @@ def test_attribute_names_inside_other_values(spark):
     }
     for tag, value in tags.items():
         assert spark.createDataFrame([(tag,)], "t string").select(attribute(F.col("t"), "web_id")).first()[0] == value, tag
+
+
+def test_desktop_without_category_columns(spark):
+    frame = landing(spark, doc(header([("v", "1"), ("w", "2")]), row("M", ["1", "2"])))
+    out = reports.desktop(frame, DESKTOP.without_category_columns())
+    assert sorted(rows_of(out, "category", "attribute", "metric", "metric_value")) == [("None", "None", "v", 1.0), ("None", "None", "w", 2.0)]
