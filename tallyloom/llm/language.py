@@ -28,6 +28,8 @@ GRAMS_PER_LANGUAGE = 20_000
 #: Words, and as many n-grams, of all languages together.
 MODEL_ITEMS = 160_000
 LONGEST = 4
+#: Texts whose words are counted together in a task, which bounds its memory.
+TOGETHER = 1000
 #: The most languages a model can tell apart; a table with more raises an error.
 LANGUAGES = 64
 UNKNOWN = "und"
@@ -102,7 +104,7 @@ def fit(docs: DataFrame, bound: int = DOCS_PER_LANGUAGE, words: int = WORDS_PER_
     column = {lang: k for k, lang in enumerate(languages)}
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in (f.iloc[at : at + TOGETHER] for f in frames for at in range(0, len(f), TOGETHER)):
             for lang, texts in frame.groupby("lang")["text"]:
                 seen = Counter(w for text in texts for w in LETTERS.findall(text.lower()))
                 parts: Counter = Counter()
@@ -130,7 +132,7 @@ def fit(docs: DataFrame, bound: int = DOCS_PER_LANGUAGE, words: int = WORDS_PER_
         for by in items.values():
             n = np.array([by.get(lang, 0) for lang in languages])
             rows.append(np.log((n + 0.5) / (totals[kind] + 0.5 * max(1, len(items)))).astype(np.float32))
-    table = np.array(rows, dtype=np.float32).reshape(-1, len(languages))
+    table = np.array(rows, dtype=np.float32).reshape(len(rows), len(languages))
     floor = np.log(0.5 / (totals["g"] + 0.5 * max(1, len(kept["g"]))))
     return LanguageModel(languages, where["w"], where["g"], table, floor)
 
