@@ -21,6 +21,8 @@ LABELLED_SAMPLE = 20_000
 #: Voters of the label model, and features of the classifier (the voters among them).
 VOTERS = 64
 FEATURES = 256
+#: Texts whose words are counted together in a task, which bounds its memory.
+TOGETHER = 400
 #: Letters of the word beginnings that can be a voter.
 STEMS = (4, 5, 6)
 #: Two voters are taken as correlated if their votes agree by more than this beyond what the label explains.
@@ -155,12 +157,12 @@ def _best_features(sample: DataFrame, n0: int, n1: int) -> list[str]:
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            seen = {0: Counter(), 1: Counter()}
-            for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
-                seen[toxic].update(_candidates(text))
-            # what no toxic text of the sample holds cannot speak for toxicity, but its clean count matters
-            names = list(seen[0] | seen[1])
-            yield pd.DataFrame({"name": names, "n0": [seen[0][x] for x in names], "n1": [seen[1][x] for x in names]})
+            for at in range(0, len(frame), TOGETHER):
+                part, seen = frame.iloc[at : at + TOGETHER], {0: Counter(), 1: Counter()}
+                for text, toxic in zip(part["text"], part["toxic"], strict=True):
+                    seen[toxic].update(_candidates(text))
+                names = list(seen[0] | seen[1])
+                yield pd.DataFrame({"name": names, "n0": [seen[0][x] for x in names], "n1": [seen[1][x] for x in names]})
 
     counts = sample.mapInPandas(count, "name string, n0 long, n1 long").groupBy("name").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     rate1, rate0 = (F.col("n1") + 0.1) / (n1 + 0.2), (F.col("n0") + 0.1) / (n0 + 0.2)
