@@ -17,13 +17,13 @@ from tallyloom.llm.tokens import Encoder, default_path
 LIMIT = 2048
 END_ID = 0
 #: Pieces that are packed together; every block is a problem of its own, with its own islands.
-BLOCK = 8192
+BLOCK = 32768
 ISLANDS = 2
 POPULATION = 5
 GENERATIONS = 8
 EPOCHS = 2
 
-Bins = list[list[int]]
+Bins = list[tuple[int, tuple[int, ...]]]  # what each bin's items add up to, and the items
 
 
 def pieces(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
@@ -47,45 +47,45 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
 
 def best_fit(order: list[int], sizes: list[int], limit: int, bins: Bins | None = None) -> Bins:
-    """Put each item of ``order`` into the fullest bin that has room, or into a new one; ``bins`` are extended."""
-    bins = [] if bins is None else bins
-    room = sorted((limit - sum(sizes[i] for i in b), k) for k, b in enumerate(bins))
+    """Put each item of ``order`` into the fullest bin that has room, or into a new one; gives ``bins`` with them."""
+    loads = [load for load, _ in bins or []]
+    items: list[list[int] | tuple[int, ...]] = [i for _, i in bins or []]
+    room = sorted((limit - load, k) for k, load in enumerate(loads) if load < limit)
     for i in order:
-        at = bisect_left(room, (sizes[i], -1))
+        size = sizes[i]
+        at = bisect_left(room, (size, -1))
         if at < len(room):
             left, k = room.pop(at)
-            bins[k].append(i)
+            items[k] = (*items[k], i)
+            loads[k] += size
         else:
-            left, k = limit, len(bins)
-            bins.append([i])
-        if left > sizes[i]:
-            insort(room, (left - sizes[i], k))
-    return bins
+            left, k = limit, len(items)
+            items.append((i,))
+            loads.append(size)
+        if left > size:
+            insort(room, (left - size, k))
+    return list(zip(loads, items, strict=True))
 
 
-def fitness(bins: Bins, sizes: list[int], limit: int) -> tuple[int, float]:
+def fitness(bins: Bins) -> tuple[int, int]:
     """Fewer bins first; of equally many, the more unequal filling, which leaves room to save another bin."""
-    return -len(bins), sum((sum(sizes[i] for i in b) / limit) ** 2 for b in bins) / max(1, len(bins))
+    return -len(bins), sum(load * load for load, _ in bins)
 
 
 def crossed(first: Bins, second: Bins, sizes: list[int], limit: int, rng: np.random.Generator) -> Bins:
     """Inject whole well-filled bins of ``second`` into ``first``, remove the bins that hold their items a second time,
     and best-fit what these held besides."""
-    fill = np.array([sum(sizes[i] for i in b) for b in second]) / limit
+    weight = np.array([load for load, _ in second], dtype=float) ** 8
     n = int(rng.integers(1, max(2, len(second) // 4)))
-    chosen = rng.choice(len(second), size=min(n, len(second)), replace=False, p=fill**8 / (fill**8).sum())
-    injected = [list(second[k]) for k in chosen]
-    taken = {i for b in injected for i in b}
-    kept, displaced = [], []
-    for b in first:
-        if taken.isdisjoint(b):
-            kept.append(list(b))
-        else:
-            displaced += [i for i in b if i not in taken]
+    chosen = rng.choice(len(second), size=min(n, len(second)), replace=False, p=weight / weight.sum())
+    injected = [second[k] for k in chosen.tolist()]
+    taken = {i for _, b in injected for i in b}
+    kept = [b for b in first if taken.isdisjoint(b[1])]
+    displaced = [i for _, b in first if not taken.isdisjoint(b) for i in b if i not in taken]
     # a few poorly filled bins are opened too, so that the rest can close up
-    kept.sort(key=lambda b: sum(sizes[i] for i in b))
+    kept.sort(key=lambda b: b[0])
     opened = int(rng.integers(0, 4))
-    displaced += [i for b in kept[:opened] for i in b]
+    displaced += [i for _, b in kept[:opened] for i in b]
     displaced.sort(key=lambda i: -sizes[i])
     return best_fit(displaced, sizes, limit, kept[opened:] + injected)
 
@@ -99,7 +99,7 @@ def evolve(sizes: list[int], limit: int, seeds: list[Bins], rng: np.random.Gener
     while len(people) < POPULATION and min(map(len, people)) > least:
         noise = (np.array(sizes) * rng.uniform(0.8, 1.2, len(sizes))).tolist()
         people.append(best_fit(sorted(range(len(sizes)), key=lambda i: -noise[i]), sizes, limit))
-    ranked = sorted(people, key=lambda b: fitness(b, sizes, limit), reverse=True)
+    ranked = sorted(people, key=fitness, reverse=True)
     for _ in range(GENERATIONS):
         if len(ranked[0]) <= least or len(ranked) < 2:
             break
@@ -107,15 +107,15 @@ def evolve(sizes: list[int], limit: int, seeds: list[Bins], rng: np.random.Gener
         for _ in range(POPULATION - 1):
             a, b = rng.choice(len(ranked), size=2, replace=False)
             children.append(crossed(ranked[min(a, b)], ranked[max(a, b)], sizes, limit, rng))
-        ranked = sorted(ranked + children, key=lambda b: fitness(b, sizes, limit), reverse=True)[:POPULATION]
+        ranked = sorted(ranked + children, key=fitness, reverse=True)[:POPULATION]
     return ranked[0]
 
 
-def _bins(numbers: np.ndarray) -> Bins:
-    bins: Bins = [[] for _ in range(int(numbers.max()) + 1)]
+def _bins(numbers: np.ndarray, sizes: list[int]) -> Bins:
+    items: list[list[int]] = [[] for _ in range(int(numbers.max()) + 1)]
     for i, k in enumerate(numbers.tolist()):
-        bins[k].append(i)
-    return [b for b in bins if b]
+        items[k].append(i)
+    return [(sum(sizes[i] for i in b), tuple(b)) for b in items if b]
 
 
 STATE = "block int, island int, row_id long, length long, own int, migrant int"
@@ -124,12 +124,13 @@ STATE = "block int, island int, row_id long, length long, own int, migrant int"
 def _epoch(limit: int, epoch: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("row_id", ignore_index=True)
-        seeds = [_bins(frame[c].to_numpy()) for c in ("own", "migrant") if (frame[c] >= 0).all()]
+        sizes = frame["length"].tolist()
+        seeds = [_bins(frame[c].to_numpy(), sizes) for c in ("own", "migrant") if (frame[c] >= 0).all()]
         rng = np.random.default_rng([int(frame["block"].iloc[0]), int(frame["island"].iloc[0]), epoch])
-        best = evolve(frame["length"].tolist(), limit, seeds, rng)
-        for k, b in enumerate(best):
-            frame.loc[b, "own"] = k
-        return frame
+        own = np.empty(len(frame), np.int64)
+        for k, (_, b) in enumerate(evolve(sizes, limit, seeds, rng)):
+            own[list(b)] = k
+        return frame.assign(own=own)
 
     return run
 
