@@ -54,15 +54,24 @@ class LanguageModel:
 
     def __post_init__(self) -> None:
         self.unseen: dict[str, np.ndarray] = {}
-
-    def _backoff(self, word: str) -> np.ndarray:
-        """Mean score of the longest known n-grams that end at each place of the word."""
-        marked, total, places = f"<{word}>", np.zeros(len(self.languages)), 0
-        for end in range(1, len(marked) + 1):
-            row = next((r for n in range(min(LONGEST, end), 0, -1) if (r := self.grams.get(marked[end - n : end])) is not None), None)
-            total += self.floor if row is None else self.table[row]
-            places += 1
-        return total / places
+        self.rows = np.vstack((self.table, self.floor))  # the last one is for a place where nothing is known
+
+    def _backoff(self, words: list[str]) -> np.ndarray:
+        """For each word the mean score of the longest known n-grams that end at each of its places."""
+        rows, sizes, get, floor = [], [], self.grams.get, len(self.table)
+        for word in words:
+            marked = f"<{word}>"
+            for end in range(1, len(marked) + 1):
+                for start in range(max(0, end - LONGEST), end):
+                    row = get(marked[start:end])
+                    if row is not None:
+                        rows.append(row)
+                        break
+                else:
+                    rows.append(floor)
+            sizes.append(len(marked))
+        starts = np.cumsum([0, *sizes[:-1]])
+        return np.add.reduceat(self.rows[rows], starts, axis=0) / np.array(sizes)[:, None]
 
     def score(self, text: str) -> tuple[str, float]:
         """The likeliest language and its share of the likelihood; the first by name of equally likely ones."""
@@ -79,8 +88,10 @@ class LanguageModel:
         if rest:
             if len(self.unseen) > 200_000:  # words that turned up once need not stay for ever
                 self.unseen.clear()
-            scores = [self.unseen.get(w) if w in self.unseen else self.unseen.setdefault(w, self._backoff(w)) for w, _ in rest]
-            total += np.array([n for _, n in rest]) @ np.array(scores)
+            new = [w for w, _ in rest if w not in self.unseen]
+            if new:
+                self.unseen.update(zip(new, self._backoff(new), strict=True))
+            total += np.array([n for _, n in rest]) @ np.array([self.unseen[w] for w, _ in rest])
         odds = np.exp(total - total.max())
         return self.languages[int(total.argmax())], float(odds.max() / odds.sum())
 

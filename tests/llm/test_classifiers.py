@@ -57,7 +57,7 @@ def test_unknown_words_fall_back_to_shorter_grams():
     model = language.LanguageModel(["x", "y"], {"known": 0}, {"ab": 1, "a": 2}, np.log(np.array([[0.5, 0.1], [0.4, 0.2], [0.1, 0.3]])), np.log(np.array([1e-3, 1e-3])))
     assert model.score("known")[0] == "x" and model.score("1 2 3") == ("und", 0.0)
     # places of <ab>: unseen, a, ab, unseen
-    assert np.allclose(model._backoff("ab"), (2 * np.log([1e-3, 1e-3]) + np.log([0.1, 0.3]) + np.log([0.4, 0.2])) / 4)
+    assert np.allclose(model._backoff(["ab"])[0], (2 * np.log([1e-3, 1e-3]) + np.log([0.1, 0.3]) + np.log([0.4, 0.2])) / 4)
 
 
 def test_toxicity_held_out_accuracy(spark, docs, labels):
