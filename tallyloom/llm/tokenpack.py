@@ -115,7 +115,7 @@ def token_pieces(docs: DataFrame, path: str, limit: int, end_id: int) -> DataFra
     def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder, end = Encoder(path), np.array([end_id], "<u2")
         for part in texts:
-            whole = [np.concatenate((ids.astype("<u2"), end)) for ids in encoder.ids(part.tolist())]
+            whole = (np.concatenate((ids.astype("<u2"), end)) for ids in encoder.ids(part.tolist()))
             yield pd.Series([[w[at : at + limit].tobytes() for at in range(0, len(w), limit)] for w in whole])
 
     found = docs.select("doc_id", "shard", F.posexplode(cut("text")).alias("piece", "ids"))

@@ -7,19 +7,20 @@ import os
 import re
 import sys
 import types
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words whose ids a worker process keeps; beyond this many they are forgotten after the batch (some 150 MB).
-CACHED_WORDS = 800_000
+#: Words whose ids a worker process keeps, in two generations: when the younger is full it becomes the older, and what was in
+#: that and not met again is forgotten (some 150 MB).
+CACHED_WORDS = 700_000
 #: Characters of text that are cut into words together.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 2 << 20
 
-#: Fixed by the tokenizer: a run of these letters is one word to it, whatever stands beside it, and these marks end one.
-LETTERS = re.compile(r"([a-zß-öø-ÿ]+)([.,]?)")
-#: Fixed: what Python takes for white space and the tokenizer does not.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Fixed by the tokenizer: a run of these letters is one word to it, a run of marks another. The apostrophe is no such mark.
+LETTERS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def default_path() -> str:
@@ -104,7 +105,7 @@ class Encoder:
     """``ids(texts)`` equals ``encode(text, add_special_tokens=False).ids`` of the tokenizer in ``path`` for each text; it
     must drop white space, lower its letters and never join anything over white space (a byte-level word BPE).
 
-    Texts are cut at white space and each different word is encoded once: words repeat so often that most of a text
+    Texts are cut at ASCII white space and each different word is encoded once: words repeat so often that most of a text
     needs no encoding. Words of plain lower-case letters go through the tokenizer's merges together; all others, and
     texts that hold a special token as it stands, through the tokenizer itself.
     """
@@ -118,15 +119,20 @@ class Encoder:
 
             tokenizer = Tokenizer.from_file(path)
             special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-            kept[path] = (tokenizer, WordMerges(tokenizer), special, {})
-        self.tokenizer, self.merges, self.special, self.words = kept[path]
+            kept[path] = (tokenizer, WordMerges(tokenizer), special, [{}, {}])
+        self.tokenizer, self.merges, self.special, self.generations = kept[path]
 
     def _one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32).tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        known, plain = self.words, {}
-        for word in new:
+    def _learn(self, words: list[str]) -> None:
+        (known, older), plain = self.generations, {}
+        for word in words:
+            if word in known:
+                continue
+            if word in older:
+                known[word] = older[word]
+                continue
             match = LETTERS.fullmatch(word.lower())
             if match:
                 plain[word] = match.groups()
@@ -134,23 +140,40 @@ class Encoder:
                 known[word] = self._one(word)
         todo = list({w for w, _ in plain.values()})
         found = dict(zip(todo, self.merges.ids([w.encode() for w in todo]), strict=True))
-        marks = {"": b"", ".": self._one("."), ",": self._one(",")}
+        for mark in {m for _, m in plain.values()}:
+            if mark not in known:
+                known[mark] = self._one(mark)
         for word, (letters, mark) in plain.items():
-            known[word] = found[letters] + marks[mark]
+            known[word] = found[letters] + known[mark] if mark else found[letters]
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        out, at = [], 0
+    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text in turn; only a part of the texts is cut into words at a time."""
+        at = 0
         while at < len(texts):
             part, size = [], 0
             while at < len(texts) and (size == 0 or size + len(texts[at]) <= BATCH_CHARS):
                 part.append(texts[at])
                 size += len(texts[at]) + 1
                 at += 1
-            whole = [any(s in t for s in self.special) or SEPARATORS.search(t) is not None for t in part]
-            words = [[] if w else t.split() for t, w in zip(part, whole, strict=True)]
-            self._learn(set(chain.from_iterable(words)).difference(self.words.keys()))
-            get = self.words.__getitem__
-            out += [np.frombuffer(self._one(t) if w else b"".join(map(get, ws)), np.uint32) for t, w, ws in zip(part, whole, words, strict=True)]
-            if len(self.words) > CACHED_WORDS:
-                self.words.clear()
-        return out
+            yield from self._part(part)
+
+    def _part(self, part: list[str]) -> Iterator[np.ndarray]:
+        alone = {k for k, t in enumerate(part) if any(s in t for s in self.special)}
+        cut = pc.ascii_split_whitespace(pa.array(["" if k in alone else t for k, t in enumerate(part)], pa.large_string()))
+        # each different word of the part is looked up once; its places are numbers from then on
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self._learn(words)
+        known = self.generations[0]
+        ids = [known[w] for w in words]
+        if len(known) > CACHED_WORDS // 2:
+            self.generations[:] = [{}, known]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, start = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
+        place = coded.indices.to_numpy()
+        n = size[place]
+        stop = np.concatenate(([0], np.cumsum(n)))
+        whole = flat[np.repeat(start[place] - stop[:-1], n) + np.arange(stop[-1])]
+        edges = stop[cut.offsets.to_numpy()].tolist()
+        for k, text in enumerate(part):
+            yield np.frombuffer(self._one(text), np.uint32) if k in alone else whole[edges[k] : edges[k + 1]]
