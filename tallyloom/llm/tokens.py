@@ -14,10 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words whose ids a worker process keeps, in two generations: when the younger is full it becomes the older, and what was in
-#: that and not met again is forgotten (some 150 MB).
-CACHED_WORDS = 700_000
+#: that and not met again is forgotten (some 50 MB).
+CACHED_WORDS = 200_000
 #: Characters of text that are cut into words together.
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 
 #: Fixed by the tokenizer: a run of these letters is one word to it, a run of marks another. The apostrophe is no such mark.
 LETTERS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
