@@ -53,6 +53,39 @@ def test_language_without_anything_to_learn(spark):
     assert {r.lang_pred for r in language.identify(docs, language.fit(docs)).collect()} == {"und"}
 
 
+def test_more_languages_do_not_cost_any_language_its_words(spark):
+    # 70 languages of 3 documents outside the held-out fold, each with 40 words of its own and one that all share
+    def own(k):
+        return [f"{a}{b}{chr(97 + k % 26) * (1 + k // 26)}" for a in "qwxz" for b in "abcdefghij"]
+
+    ids = [i for i in range(1000) if not is_held_out(i)]
+    rows = [(ids[3 * k + j], " ".join(own(k)) + " shared", f"l{k:02}") for k in range(70) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == [f"l{k:02}" for k in range(70)]
+    assert set(model.words) == {w for k in range(70) for w in own(k)} | {"shared"}
+    assert all(r.lang_pred == f"l{ids.index(r.doc_id) // 3:02}" for r in language.identify(docs, model).collect())
+    few = language.fit(docs.where("lang < 'l02'"))
+    assert set(few.words) == {w for k in range(2) for w in own(k)} | {"shared"}
+    # the most frequent words of each language are kept, the first by name of equally frequent ones
+    bounded = language.fit(docs.where("lang < 'l03'"), words=5, n_grams=7)
+    assert set(bounded.words) == {w for k in range(3) for w in sorted([*own(k), "shared"])[:5]}
+    # parts of any size give the same scores
+    whole = {w: model.score(w) for w in ("qaa", "shared", "unheard", "qaa shared unheard of")}
+    model.together = 1
+    model.unseen.clear()
+    assert {w: model.score(w)[0] for w in whole} == {w: lang for w, (lang, _) in whole.items()}
+    assert np.allclose([model.score(w)[1] for w in whole], [share for _, share in whole.values()])
+
+
+def test_sparse_frequencies_are_the_counts(spark):
+    docs = spark.createDataFrame([(1, "b b a", "x"), (2, "c a", "y"), (3, "c", "y")], "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    counts = {"a": [1, 1], "b": [2, 0], "c": [0, 2]}
+    got = model.table[[model.words[w] for w in "abc"]]
+    assert np.allclose(got, [np.log((np.array(counts[w]) + 0.5) / (3 + 0.5 * 3)) for w in "abc"])
+
+
 def test_unknown_words_fall_back_to_shorter_grams():
     model = language.LanguageModel(["x", "y"], {"known": 0}, {"ab": 1, "a": 2}, np.log(np.array([[0.5, 0.1], [0.4, 0.2], [0.1, 0.3]])), np.log(np.array([1e-3, 1e-3])))
     assert model.score("known")[0] == "x" and model.score("1 2 3") == ("und", 0.0)
