@@ -40,7 +40,8 @@ def _without(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
 def without_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``(doc_id, n_lines, n_removed, n_chars_removed, removed_spans, text)`` of every row of ``docs (doc_id, text)``.
 
-    Of every line (cut at line feeds, normalised) with ``least_words`` or more words, the occurrence that comes first
+    Of every line (cut at line feeds, normalised) with ``least_words`` or more words (1: of every line that is not
+    blank; words are cut at blanks, so a line in a script without them is one word), the occurrence that comes first
     by doc_id, then by place in its text, stays, and all later ones go. ``removed_spans`` has their offsets in the original text
     as ``start-stop`` in characters, joined by commas; the line feed of a removed line goes with it. Null texts count
     as empty. Rows without an id rank last. Rows that repeat a doc_id rank by a hash of their texts; wholly equal
@@ -48,7 +49,8 @@ def without_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> D
     """
     rows = documents_of(docs).withColumn("row", F.xxhash64("text"))
     cut = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).select("doc_id", "row", "pos", normalised(F.col("line")).alias("line"))
-    long = cut.where(F.size(F.split("line", " ")) >= least_words)
+    # one condition, as each would normalise the line again; a blank line counts as one word
+    long = cut.where(F.size(F.split("line", " ")) >= least_words if least_words > 1 else F.col("line") != "")
     units = long.select(F.unhex(F.md5(F.col("line").cast("binary"))).alias("digest"), F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "pos", "row").alias("place"))
     first = units.groupBy("digest").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
     # a table of its own, so that both sides of the join are dealt by digest and adaptive execution can split a hot line

@@ -112,3 +112,11 @@ def test_lines_against_brute_force(spark):
         assert (r.text, r.removed_spans) in options
         assert r.n_removed == len([x for x in r.removed_spans.split(",") if x])
     assert lines.without_repeated_lines(empty(docs)).count() == 0
+
+
+def test_lines_without_a_floor(spark):
+    texts = {1: "All rights reserved.\n\n版权所有,翻印必究\nonly here", 2: "x\nall  rights reserved.\n \n版权所有,翻印必究", 3: "\nX\n\ny"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r.doc_id: r for r in lines.without_repeated_lines(docs, least_words=1).collect()}
+    assert {k: r.text for k, r in out.items()} == {1: texts[1], 2: "x\n ", 3: "\n\ny"}
+    assert [(out[k].n_removed, out[k].removed_spans) for k in (1, 2, 3)] == [(0, ""), (2, "2-23,26-35"), (1, "1-2")]
