@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, repeats, simhash, tokenpack, tokens, toxicity, urls
+from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, periodic, presence, repeats, simhash, tokenpack, tokens, toxicity, urls
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -124,3 +124,54 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_id_output")
 def op4_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenpack.packed(table(spark, sf_dir, "documents"), tokens.default_path())
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents of the run query: of every tenth (by a checksum of its id; null as the empty text) the words repeat from some place on."""
+    blank = r"[\x20\x09-\x0D]+"
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = docs.select("doc_id", F.col("text").cast("string").alias("text"), checksum.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, F.filter(F.split("text", blank), lambda w: w != "")))
+    chosen = words.withColumn("g", F.floor(F.col("h") / 10).cast("long")).withColumn("n", F.size("words").cast("long")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    sized = chosen.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    moved = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return sized.select("doc_id", F.when(F.col("n") > 0, F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_run_detection")
+def op12_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")), least=6, times=4)
+    # of equally often repeated runs the first in the array stays
+    stronger = F.reduce("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    digests = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), stronger.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+    milli = F.expr("1000 * best.length div best.period")
+    return digests.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@query(
+    "op13_ranked_lexical_search",
+    r"""
+    WITH t AS (
+        SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+        FROM documents
+    ),
+    d AS (SELECT doc, doc_id, words, CAST(len(words) AS BIGINT) AS n FROM t WHERE len(words) > 0),
+    total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM d),
+    q AS (
+        SELECT item, item_id, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS word
+        FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)
+    ),
+    p AS (
+        SELECT doc, word, count(*) AS tf FROM (SELECT doc, unnest(words) AS word FROM d) WHERE word IN (SELECT word FROM q) GROUP BY doc, word
+    ),
+    w AS (SELECT word, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, total GROUP BY word, n_docs),
+    s AS (
+        SELECT item, item_id, doc, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_all)))) AS BIGINT) AS score
+        FROM q JOIN p USING (word) JOIN w USING (word) JOIN d USING (doc), total GROUP BY item, item_id, doc, doc_id
+    ),
+    r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+    """,
+)
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presence.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
