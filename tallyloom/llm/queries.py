@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, periodic, presence, repeats, simhash, tokenpack, tokens, toxicity, urls
+from tallyloom.llm import decontaminate, grouping, language, lines, maxscore, periodic, presence, repeats, simhash, tokenpack, tokens, toxicity, universe, urls
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -175,3 +175,8 @@ def op12_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presence.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query("op11_ngram_jaccard_join")
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return universe.similar_sets(table(spark, sf_dir, "documents"), width=4, percent=85)
