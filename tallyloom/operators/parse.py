@@ -7,6 +7,8 @@ reads markup with unclosed tags the same way as closed ones.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,8 +154,15 @@ def _reject_reason(spec: ReportSpec) -> Column:
     return reason.when(F.col("layout").isNull(), F.lit("unknown_layout"))
 
 
-def parse_tables(landing: DataFrame, spec: ReportSpec, payload: str = "payload") -> DataFrame:
-    """One row per document: header, upper header, expected widths and the markup of the data rows."""
+#: What a caller puts between the documents and their rows, such as an account of them.
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def parse_tables(landing: DataFrame, spec: ReportSpec, payload: str = "payload", watch: Watch | None = None) -> DataFrame:
+    """One row per document: header, upper header, expected widths and the markup of the data rows (null without a table).
+
+    ``watch`` is applied to this frame before anything reads its rows.
+    """
     carried = [c for c in landing.columns if c != payload]
     h = spec.header_rows
     target = summary_target(F.col(payload)) if spec.has_target else F.lit(None).cast("string")
@@ -163,7 +172,7 @@ def parse_tables(landing: DataFrame, spec: ReportSpec, payload: str = "payload")
     top_row = F.get("table_rows", F.lit(0)) if spec.top else F.lit(None).cast("string")
     header_width = F.size("header")
     by_first = spec.width_from == "first_row"
-    return tables.select(
+    out = tables.select(
         *carried,
         "demographic",
         header_cells(header_row).alias("header"),
@@ -178,6 +187,7 @@ def parse_tables(landing: DataFrame, spec: ReportSpec, payload: str = "payload")
         (F.col("first_width") if by_first and (len(spec.layouts) > 1 or spec.ragged == "strict") else header_width)
         .alias("guard"),
     )
+    return out if watch is None else watch(out)
 
 
 def parsed_rows(spec: ReportSpec, data_rows: str = "data_rows") -> Column:
@@ -193,12 +203,12 @@ def parsed_rows(spec: ReportSpec, data_rows: str = "data_rows") -> Column:
     )
 
 
-def parse_rows(landing: DataFrame, spec: ReportSpec, payload: str = "payload") -> DataFrame:
+def parse_rows(landing: DataFrame, spec: ReportSpec, payload: str = "payload", watch: Watch | None = None) -> DataFrame:
     """One row per data row of every document, good and bad alike.
 
     All other columns of the landing frame are carried along; ``reject_reason`` is null for rows that can be read.
     """
-    rows = exploded(parse_tables(landing, spec, payload), "data_rows", "row", "row_no")
+    rows = exploded(parse_tables(landing, spec, payload, watch), "data_rows", "row", "row_no")
     tag = _label_tag(F.col("row"))
     parsed = {"label": row_label(F.col("row")), "cells": cell_texts(F.col("row"))}
     for column, name in spec.attributes.items():

@@ -16,6 +16,7 @@ from tallyloom.functions.numbers import nan_to_null, stripped_to_measure
 from tallyloom.functions.periods import period_labels
 from tallyloom.functions.text import last_two, slug
 from tallyloom.operators.parse import (
+    Watch,
     fail_on_reject,
     long_facts,
     parse_rows,
@@ -64,16 +65,16 @@ def _finish(facts: DataFrame, spec: ReportSpec, corrected_names: bool = False) -
     return out.withColumnsRenamed(CORRECTED_NAMES) if corrected_names else out
 
 
-def _rows(landing: DataFrame, spec: ReportSpec, strict: bool) -> DataFrame:
-    rows = parse_rows(landing, spec)
+def _rows(landing: DataFrame, spec: ReportSpec, strict: bool, watch: Watch | None) -> DataFrame:
+    rows = parse_rows(landing, spec, watch=watch)
     return fail_on_reject(rows) if strict else rows
 
 
 def key_measures(
-    landing: DataFrame, spec: ReportSpec, strict: bool = False, null_attribute: bool = False
+    landing: DataFrame, spec: ReportSpec, strict: bool = False, null_attribute: bool = False, watch: Watch | None = None
 ) -> DataFrame:
     """Desktop, multi-platform and mobile reports: one row per media and metric."""
-    facts = long_facts(_rows(landing, spec, strict), spec, null_attribute)
+    facts = long_facts(_rows(landing, spec, strict, watch), spec, null_attribute)
     absent = F.lit(None if null_attribute else "None").cast("string")
     keys = [c for c in ("category", "attribute") if c in spec.schema.names and c not in facts.columns]
     return _finish(facts.withColumns({c: absent for c in keys}), spec)
@@ -91,9 +92,9 @@ def mobile_web_and_app(landing: DataFrame, spec: ReportSpec = MOBILE, **options)
     return key_measures(landing, spec, **options)
 
 
-def local_market(landing: DataFrame, spec: ReportSpec = LOCAL_MARKET, strict: bool = False) -> DataFrame:
+def local_market(landing: DataFrame, spec: ReportSpec = LOCAL_MARKET, strict: bool = False, watch: Watch | None = None) -> DataFrame:
     """Desktop measures per market; the landing frame carries ``region`` and ``region_id``."""
-    facts = long_facts(_rows(landing, spec, strict), spec)
+    facts = long_facts(_rows(landing, spec, strict, watch), spec)
     return _finish(facts.withColumn("state", last_two(F.col("region"))), spec)
 
 
@@ -112,8 +113,8 @@ def _readable(rows: Column, strict: bool) -> Column:
     return F.filter(rows, fits)
 
 
-def _documents(landing: DataFrame, spec: ReportSpec, strict: bool) -> DataFrame:
-    tables = parse_tables(landing, spec).withColumn("rows", parsed_rows(spec)).drop("data_rows")
+def _documents(landing: DataFrame, spec: ReportSpec, strict: bool, watch: Watch | None = None) -> DataFrame:
+    tables = parse_tables(landing, spec, watch=watch).withColumn("rows", parsed_rows(spec)).drop("data_rows")
     return tables.withColumn("rows", _readable(F.col("rows"), strict))
 
 
@@ -165,7 +166,7 @@ def _compared(first_value: int) -> tuple[Column, Column]:
 
 def cross_visiting(
     landing: DataFrame, spec: ReportSpec = CROSS_VISITING, strict: bool = False, on_duplicate: str = "fail",
-    corrected_names: bool = False, require_metrics: bool = False,
+    corrected_names: bool = False, require_metrics: bool = False, watch: Watch | None = None,
 ) -> DataFrame:
     """One row per benchmark media, comparison media and target, four measures wide.
 
@@ -174,7 +175,7 @@ def cross_visiting(
     table lacks is null, or stops the job with ``require_metrics``.
     """
     entries, compared = _compared(len(spec.layouts[0].key_cells))
-    docs = computed_once(_documents(landing, spec, strict), {"entries": entries})
+    docs = computed_once(_documents(landing, spec, strict, watch), {"entries": entries})
     rows = _pair_rows(computed_once(docs, {"compared": compared}).drop("entries"))
     if on_duplicate == "fail":
         stop = F.raise_error(F.lit("duplicate key in pair matrix")).cast("boolean")
@@ -216,7 +217,7 @@ def cross_visiting_duplicates(landing: DataFrame, spec: ReportSpec = CROSS_VISIT
 
 def audience_duplication(
     landing: DataFrame, spec: ReportSpec = AUDIENCE_DUPLICATION, strict: bool = False, pairing: str = "each",
-    corrected_names: bool = False,
+    corrected_names: bool = False, watch: Watch | None = None,
 ) -> DataFrame:
     """Listed media with the summary values of their metric and the other media of the request.
 
@@ -225,7 +226,7 @@ def audience_duplication(
     ``pairing='each'`` gives a row per other media; ``'reversed'`` reads the media column backwards.
     """
     listed = lambda r: is_member(r["benchmark_media_id"], F.col("media_ids"))
-    docs = _documents(landing, spec, strict).withColumns(
+    docs = _documents(landing, spec, strict, watch).withColumns(
         {"media": F.filter("rows", listed), "others": F.filter("rows", lambda r: ~listed(r))}
     )
 

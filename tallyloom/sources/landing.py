@@ -10,15 +10,25 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import resolve_references
 from tallyloom.operators.parse import TAG, attribute, has_errors, job_id
 from tallyloom.plans.joins import null_safe_join
+from tallyloom.plans.workspace import new_folder
 
 LANDING_SCHEMA = (
     "request_id string, report string, data_date date, attempt int, received_at timestamp_ntz, payload string"
 )
 
 
+#: The file and the place in it that a landed row was read from.
+LANDED = "landed"
+
+
+def with_landed_ids(stored: DataFrame) -> DataFrame:
+    """Name every row of a frame that was read from parquet files by its place, which tells equal rows apart."""
+    return stored.withColumn(LANDED, F.struct("_metadata.file_path", "_metadata.row_index"))
+
+
 def read_landing(spark: SparkSession, path: str, report: str | None = None) -> DataFrame:
-    """The landing table; report and month filters prune its directories."""
-    landing = spark.read.parquet(path)
+    """The landing table with ``landed`` ids; report and month filters prune its directories."""
+    landing = with_landed_ids(spark.read.parquet(path))
     return landing if report is None else landing.filter(F.col("report") == report)
 
 
@@ -87,20 +97,61 @@ def request_key(landing: DataFrame) -> list[str]:
     return [c for c in REQUEST_KEY if c in landing.columns]
 
 
+#: As many look-up rows, of ids and attempt numbers, go to every task at a time.
+LOOKED_UP = 100_000
+
+
+def _month_groups(newest: DataFrame, month: Column) -> list[tuple[list[str], int]]:
+    """Months whose look-up rows fit in ``LOOKED_UP`` together, or single ones that do not, with the number of their rows."""
+    groups: list[tuple[list[str], int]] = []
+    for name, n in sorted(tuple(r) for r in newest.groupBy(month.alias("month")).count().collect()):
+        if groups and groups[-1][1] + n <= LOOKED_UP:
+            groups[-1] = (groups[-1][0] + [name], groups[-1][1] + n)
+        else:
+            groups.append(([name], n))
+    return groups
+
+
+def _with_newest(log: DataFrame, newest: DataFrame, key: list[str]) -> DataFrame:
+    """The log with the look-up's ``_best``, null where it has no row; the log itself, with its texts, is not exchanged.
+
+    A look-up of at most ``LOOKED_UP`` rows is broadcast. A larger one is cut into groups of months, each of which scans its own
+    part of the log. A month has one row for each request that was asked again, and the request grid bounds these;
+    should one month still exceed the bound, Spark chooses its join.
+    """
+    if newest.count() <= LOOKED_UP:
+        return null_safe_join(log, F.broadcast(newest), key, "left")
+    if "data_date" not in key:
+        return null_safe_join(log, newest, key, "left")
+    month = F.coalesce(F.col("data_date").cast("string"), F.lit(""))
+    parts, known = [], []
+    for names, n in _month_groups(newest, month):
+        part = newest.filter(month.isin(names))
+        parts.append(null_safe_join(log.filter(month.isin(names)), F.broadcast(part) if n <= LOOKED_UP else part, key, "left"))
+        known += names
+    rest = log.filter(~month.isin(known)).withColumn("_best", F.lit(None).cast(newest.schema["_best"].dataType))
+    return reduce(DataFrame.unionByName, parts, rest)
+
+
 def ready_documents(landing: DataFrame) -> DataFrame:
     """The newest ready document of every request of every report and month, exactly one of each.
 
-    Of several rows of one attempt (an answer that was landed again) the last received counts, then the last batch's.
-    The look-up reads ids and attempt numbers only, and requests with one ready row need none of it; the document text is
-    shuffled for those rows alone that agree in all of these.
+    Of several rows of one attempt (an answer that was landed again) the last received counts, then the last batch's, then the
+    last by place (``landed``). The look-up reads ids and attempt numbers only and holds the requests with more than one
+    ready row. Texts are not exchanged; only for frames without ``landed`` ids are those rows that agree in all else.
     """
     log, key = with_readiness(landing).filter("is_ready"), request_key(landing)
-    order = [c for c in ("attempt", "received_at", "first_batch") if c in landing.columns]
+    order = [c for c in ("attempt", "received_at", "first_batch", LANDED) if c in landing.columns]
     ties = log.groupBy(*key, *order).agg(F.count(F.lit(1)).alias("_n"))
     best = ties.groupBy(*key).agg(F.max(F.struct(*order, "_n")).alias("_best"), F.sum("_n").alias("_all"))
-    picked = null_safe_join(log, best.filter("_all > 1"), key, "left")
+    folder = new_folder(landing.sparkSession, "newest")
+    best.filter("_all > 1").select(*key, "_best").write.parquet(folder)
+    newest = landing.sparkSession.read.parquet(folder)
+    picked = _with_newest(log, newest, key)
     same = [F.col(c).eqNullSafe(F.col(f"_best.{c}")) for c in order]
     picked = picked.filter(F.col("_best").isNull() | reduce(lambda a, b: a & b, same))
-    once = picked.filter("_best IS NULL OR _best._n = 1").drop("_best", "_all", "is_ready")
-    again = picked.filter("_best._n > 1").drop("_best", "_all", "is_ready").dropDuplicates(key)
+    if LANDED in order:
+        return picked.drop("_best", "is_ready", LANDED)
+    once = picked.filter("_best IS NULL OR _best._n = 1").drop("_best", "is_ready")
+    again = picked.filter("_best._n > 1").drop("_best", "is_ready").dropDuplicates(key)
     return once.unionAll(again)

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.sources.lake import PARTITION, touched_months, write_months
+from tallyloom.sources.lake import PARTITION, write_months
 from tallyloom.sources.landing import LANDING_SCHEMA
-
-BATCH = "batch_id"
+from tallyloom.streaming.runs import BATCH, add_runs, clean_up, live_runs, read_runs
 
 
 def landing_source(spark: SparkSession, path: str) -> DataFrame:
@@ -19,60 +18,32 @@ def landing_source(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(LANDING_SCHEMA).parquet(path)
 
 
-def _batches(spark: SparkSession, landing_path: str, month: str) -> dict[int, str]:
-    """The log folders of one month by batch id; only this month's folder is listed."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{landing_path}/{PARTITION}={month}")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.listStatus(folder) if fs.exists(folder) else []
-    paths = [f.getPath() for f in found if f.isDirectory() and f.getPath().getName().startswith(f"{BATCH}=")]
-    return {int(str(p.getName()).partition("=")[2]): str(p.toString()) for p in paths}
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def read_log(spark: SparkSession, landing_path: str, schema: T.StructType, paths: list[str]) -> DataFrame:
-    """Some folders of the landing log, by a fixed schema."""
-    stored = T.StructType([f for f in schema.fields if f.name != BATCH])
-    rows = spark.read.schema(stored).option("basePath", landing_path).parquet(*paths) if paths else spark.createDataFrame([], stored)
-    return rows.select(*stored.names)
-
-
 def land_batch(batch: DataFrame, landing_path: str, batch_id: int) -> list[str]:
     """Add one micro-batch to the log; gives the months it holds.
 
-    A month's newest folder holds all its rows: the batch is written together with what the folder before it held, and
-    folders older than that are removed. The last complete folder is only ever read, so a batch that is repeated
-    after a failure ends in the same state, and a month has two folders at most however many batches came. Rows
-    without a month cannot belong to any; they are kept below ``_rejected`` with the reason.
+    The batch becomes one run of each of its months (``tallyloom.streaming.runs``), so what was landed before is written again
+    only when runs are merged. A batch that is repeated after a failure, wherever that was, ends in the same state.
+    Rows without a month cannot belong to any; they are kept below ``_rejected`` with the reason.
     """
     spark = batch.sparkSession
-    (
-        batch.filter(F.col(PARTITION).isNull()).withColumn("reject_reason", F.lit("no month"))
-        .write.mode("overwrite").parquet(f"{landing_path}/_rejected/{BATCH}={batch_id}")
-    )
-    dated = batch.filter(F.col(PARTITION).isNotNull()).withColumn("first_batch", F.lit(batch_id).cast("long"))
-    months = touched_months(dated)
-    earlier = []
-    for month in months:
-        done = {k: path for k, path in _batches(spark, landing_path, month).items() if k < batch_id}
-        for k in sorted(done)[:-1]:
-            _drop(spark, done[k])
-        earlier += [done[max(done)]] if done else []
-    whole = read_log(spark, landing_path, dated.schema, earlier).unionByName(dated)
-    (
-        whole.withColumn(BATCH, F.lit(batch_id))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(landing_path)
-    )
-    return months
+    found = batch.groupBy(F.col(PARTITION).cast("string").alias("month")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {r["month"]: r["n"] for r in sorted(found, key=lambda r: r["month"] or "")}
+    if counts.pop(None, 0):
+        (
+            batch.filter(F.col(PARTITION).isNull()).withColumn("reject_reason", F.lit("no month"))
+            .write.mode("overwrite").parquet(f"{landing_path}/_rejected/{BATCH}={batch_id}")
+        )
+    if counts:
+        clean_up(spark, landing_path, list(counts), batch_id)
+        dated = batch.filter(F.col(PARTITION).isNotNull()).withColumn("first_batch", F.lit(batch_id).cast("long"))
+        add_runs(dated, landing_path, batch_id, counts)
+    return list(counts)
 
 
 def current_log(spark: SparkSession, landing_path: str, schema: T.StructType, months: list[str]) -> DataFrame:
-    """All landed rows of some months."""
-    newest = [found[max(found)] for found in (_batches(spark, landing_path, m) for m in months) if found]
-    return read_log(spark, landing_path, schema, newest)
+    """All landed rows of some months, as the newest manifest names them."""
+    runs = live_runs(spark, landing_path)
+    return read_runs(spark, landing_path, schema, {m: runs[m] for m in months if m in runs})
 
 
 def ingest_stream(

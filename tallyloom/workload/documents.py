@@ -11,8 +11,7 @@ from tallyloom.functions.periods import month_start
 from tallyloom.functions.text import strip
 from tallyloom.operators.audience import cross_visit, duplication
 from tallyloom.operators.grid import request_grid, with_request_id
-from tallyloom.operators.parse import TAG, attribute, has_errors, job_id, parse_rows, rejected_rows
-from tallyloom.operators.quality import reconcile
+from tallyloom.operators.parse import TAG, attribute, has_errors, job_id, parse_rows
 from tallyloom.operators.render import collect_documents, data_row, document, fixed_row, header_row
 from tallyloom.plans import reports
 from tallyloom.plans.specs import CROSS_VISITING_MEASURES, LOCAL_MARKET, Layout, ReportSpec
@@ -102,6 +101,11 @@ def desktop_landing(spark: SparkSession, sf_dir: str, request: list[str]) -> Dat
     FROM m""")
 def roundtrip_two_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mobile report: events by day and type under a platform header."""
+    return finish(reports.mobile_web_and_app(mobile_landing(spark, sf_dir)), "metric_value")
+
+
+def mobile_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document for each day of events, which stands for a category set."""
     value, small = F.col("value"), F.col("value") < 50
     counted = (
         table(spark, sf_dir, "events")
@@ -123,8 +127,7 @@ def roundtrip_two_header(spark: SparkSession, sf_dir: str) -> DataFrame:
         month_start(F.col("day")).alias("data_date"), F.col("day").cast("string").alias("categories"),
         document(F.col("rows_markup"), top, header).alias("payload"),
     )
-    landing = with_request_id(docs, "mobile_web_and_app", ["categories"])
-    return finish(reports.mobile_web_and_app(landing), "metric_value")
+    return with_request_id(docs, "mobile_web_and_app", ["categories"])
 
 
 @query("""
@@ -276,10 +279,11 @@ def first_row_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept and quarantined rows of each, and the cells the quarantined ones lack."""
     older = replace(TEXT_LINES, ragged="strict").with_width_from("first_row")
     parsed = parse_rows(_line_tables(spark, sf_dir), older)
-    guard = F.first(F.when(F.col("row_no") == 0, F.size("cells")), ignorenulls=True).alias("guard")
-    firsts = parsed.groupBy("doc_id").agg(guard)
-    lacking = rejected_rows(parsed).join(firsts, "doc_id").groupBy("doc_id").agg(F.sum(F.col("guard") - F.size("cells")).alias("n_lacking"))
-    return reconcile(parsed, ["doc_id"]).join(lacking, "doc_id", "left").na.fill(0, ["n_lacking"])
+    gone, lacking = F.col("reject_reason").isNotNull(), F.col("guard") - F.size("cells")
+    return parsed.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("scanned"), F.count_if(~gone).alias("kept"), F.count_if(gone).alias("rejected"),
+        F.coalesce(F.sum(F.when(gone, lacking)), F.lit(0)).alias("n_lacking"),
+    )
 
 
 @query(r"""
