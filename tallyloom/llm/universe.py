@@ -10,13 +10,14 @@ subsets. Which segments a set is searched by is a matter of cost alone: frequent
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import documents_of, written
@@ -31,6 +32,9 @@ BLOCK = 1 << 12
 #: Pairs of segments by which sets meet ahead of the join, so that a dense group becomes one component early.
 LEADS = 4
 INDEX, PROBE = 1, 2  # the parts that a row can take in the join
+#: Bits by which two sets that meet are compared before their texts are: whether a set has an odd number of n-grams there. Sets
+#: differ in at least as many n-grams as bits.
+PARITY = 1024
 WITHOUT_ONE = np.uint64(0x9E3779B97F4A7C15)  # tells neighbours from whole subsets
 
 
@@ -186,14 +190,25 @@ def _leads(grams: np.ndarray, scheme: Scheme) -> list[int]:
     return _mixed(sums[:, 0] * np.uint64(3) + sums[:, 1])[full].view(np.int64).tolist()
 
 
+def _parity(grams: np.ndarray) -> list[int]:
+    odd = np.bincount((grams >> np.uint64(54)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def _may_be_near(n_x: Column, n_y: Column, x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of these sizes and parities can be similar enough."""
+    differing = reduce(lambda a, b: a + b, [F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))) for k in range(PARITY // 64)])
+    return differing * (100 + percent) <= (n_x + n_y) * (100 - percent)
+
+
 def gram_sets(docs: DataFrame, width: int, scheme: Scheme, seed: int) -> DataFrame:
-    """``(doc_id, row, n, node, proof, leads)`` of every document: the size of its set, two digests of it, and the keys of
-    ``LEADS``. ``row`` tells rows that share an id apart."""
+    """``(doc_id, row, n, node, proof, leads, parity)`` of every document: the size of its set, two digests of it, the keys of
+    ``LEADS`` and the bits of ``PARITY``. ``row`` tells rows that share an id apart."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hasher(width, seed)
         for batch in batches:
-            sizes, nodes, proofs, leads = [], [], [], []
+            sizes, nodes, proofs, leads, parities = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 grams = hashed(text)
                 whole = xxhash.xxh3_128_intdigest(grams.tobytes(), seed)
@@ -203,11 +218,12 @@ def gram_sets(docs: DataFrame, width: int, scheme: Scheme, seed: int) -> DataFra
                 # sets that only meet their equals need no meeting
                 small = scheme.points(len(grams), 100 * len(grams) // scheme.percent) < 2
                 leads.append([] if small else _leads(grams, scheme))
-            columns = [batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(proofs, pa.int64()), pa.array(leads, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "node", "proof", "leads"])
+                parities.append([] if small else _parity(grams))
+            made = [pa.array(x, pa.int64()) for x in (sizes, nodes, proofs)] + [pa.array(x, pa.list_(pa.int64())) for x in (leads, parities)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), *made], ["doc_id", "row", "n", "node", "proof", "leads", "parity"])
 
     rows = documents_of(docs).withColumn("row", F.xxhash64("text"))
-    return rows.mapInArrow(digest, "doc_id long, row long, n long, node long, proof long, leads array<long>")
+    return rows.mapInArrow(digest, "doc_id long, row long, n long, node long, proof long, leads array<long>, parity array<long>")
 
 
 def frequencies(texts: DataFrame, width: int, scheme: Scheme, seed: int) -> np.ndarray:
@@ -302,7 +318,7 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     scheme = Scheme(percent)
     for seed in count():
         found = written(gram_sets(docs, width, scheme, seed), "sets")
-        nodes = found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "row")).alias("place"), F.first("n").alias("n"), F.first("leads").alias("leads"), F.min("proof").alias("p"), F.max("proof").alias("q"))
+        nodes = found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "row")).alias("place"), F.first("n").alias("n"), F.first("leads").alias("leads"), F.first("parity").alias("parity"), F.min("proof").alias("p"), F.max("proof").alias("q"))
         sets = written(nodes, "nodes")
         if sets.where("p != q").isEmpty():
             break
@@ -310,15 +326,16 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     least = meeting.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").select("key", "a")
     stars = meeting.join(least, "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
     near = connected_components(_verified(stars, docs, sets, width, percent))
-    named = written(sets.join(near, "node", "left").select("node", "n", F.coalesce("component", "node").alias("part_of")), "parts")
+    named = written(sets.join(near, "node", "left").select("node", "n", "parity", F.coalesce("component", "node").alias("part_of")), "parts")
 
     met = _met(documents_of(docs), width, scheme, seed).join(named, "node")
     over = Window.partitionBy("key")
     apart = met.withColumns({"lo": F.min("part_of").over(over), "hi": F.max("part_of").over(over)}).where("lo != hi").drop("lo", "hi")
     apart = written(apart, "apart")
-    left = apart.where(F.col("part").bitwiseAND(PROBE) != 0).select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("part_of").alias("px"))
-    right = apart.where(F.col("part").bitwiseAND(INDEX) != 0).select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("part_of").alias("py"))
+    left = apart.where(F.col("part").bitwiseAND(PROBE) != 0).select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("parity").alias("bx"), F.col("part_of").alias("px"))
+    right = apart.where(F.col("part").bitwiseAND(INDEX) != 0).select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("parity").alias("by"), F.col("part_of").alias("py"))
     fits = (F.col("px") != F.col("py")) & (F.col("ny") <= F.col("nx")) & (F.col("ny") * 100 >= F.col("nx") * percent)
+    fits = fits & _may_be_near(F.col("nx"), F.col("ny"), F.col("bx"), F.col("by"), percent)
     pairs = left.join(right, "key").where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     links = _verified(pairs, docs, sets, width, percent).unionAll(named.where("node != part_of").select("part_of", "node"))
     joined = connected_components(links)
