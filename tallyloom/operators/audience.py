@@ -39,19 +39,6 @@ def _with_reach(per_media: DataFrame, totals: DataFrame, period: str, scaled: bo
     return out
 
 
-def key_measures_approx(
-    events: DataFrame, period: str, media: str, user: str, value: str, scaled: bool = False
-) -> DataFrame:
-    """The same with sketched user counts: one pass, one small shuffle."""
-    per_media = events.groupBy(period, media).agg(
-        F.approx_count_distinct(user).alias("unique_visitors"),
-        F.count(F.lit(1)).alias("pages"),
-        F.sum(value).alias("minutes"),
-    )
-    totals = events.groupBy(period).agg(F.approx_count_distinct(user).alias("_total"))
-    return _with_reach(per_media, totals, period, scaled)
-
-
 def _listed(spark: SparkSession, comparison: Sequence) -> DataFrame:
     """``(comparison, _no)``: the listed media with their places, as a frame made of one literal."""
     entries = F.array(*[F.lit(m) for m in dict.fromkeys(comparison)])
