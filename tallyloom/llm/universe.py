@@ -155,8 +155,10 @@ def probes(grams: np.ndarray, band: int, scheme: Scheme, frequency: np.ndarray)
     points = scheme.points(min(len(grams), scheme.high(band)), len(grams))
     whole, neighbours = subsets.whole(), subsets.neighbours_as_whole()
     again = subsets.whole_as_neighbours()
-    one = frequency[_cell(whole)]
-    two = frequency[_cell(again)] + np.bincount(subsets.of, weights=frequency[_cell(neighbours)], minlength=subsets.n_wide)
+    # empty subsets are as frequent as any can be, though few enough of a band to stay hidden among a cell's other keys
+    one = np.where(subsets.sums == 0, np.inf, frequency[_cell(whole)])
+    alone = subsets.sums[subsets.of] == subsets.members
+    two = frequency[_cell(again)] + np.bincount(subsets.of, weights=np.where(alone, np.inf, frequency[_cell(neighbours)]), minlength=subsets.n_wide)
     # a second point stands behind the first of its segment
     cost = np.concatenate((one, np.maximum(two, one[: subsets.n_wide])))
     chosen = np.argsort(cost, kind="stable")[:points]
