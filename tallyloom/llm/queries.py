@@ -64,20 +64,41 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op10_line_dedup",
     r"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-    l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM d),
-    n AS (
-        SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\r]+', ' ', 'g'), ' ') AS norm,
-            sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS stop
-        FROM l
+    l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM d),
+    p AS (SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY no) AS BIGINT) - 1 - length(line) AS start FROM l),
+    c AS (
+        SELECT *, list_filter(regexp_extract_all(line, '[^.!?\x{3002}\x{FF01}\x{FF1F}]*(?:[.!?\x{3002}\x{FF01}\x{FF1F}]+[ \t\r]*|$)'), lambda x: x <> '') AS parts
+        FROM p
     ),
-    r AS (
-        SELECT *, len(string_split(norm, ' ')) >= 5 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM n
-    )
-    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
-        CAST(coalesce(sum(length(line)) FILTER (gone), 0) AS BIGINT) AS n_chars_removed,
-        coalesce(string_agg((stop - length(line)) || '-' || stop, ',' ORDER BY pos) FILTER (gone), '') AS removed_spans,
-        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-    FROM r GROUP BY doc_id
+    s AS (SELECT doc_id, no, start, len(parts) AS n_parts, unnest(parts) AS part, unnest(range(len(parts))) AS k FROM c),
+    t AS (SELECT *, start + CAST(sum(length(part)) OVER (PARTITION BY doc_id, no ORDER BY k) AS BIGINT) - length(part) AS place FROM s),
+    u AS (
+        SELECT doc_id, no, false AS inner_part, start AS place, line AS unit FROM p
+        UNION ALL
+        SELECT doc_id, no, true, place, part FROM t WHERE n_parts > 1
+    ),
+    n AS (SELECT *, trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\r]+', ' ', 'g'), ' ') AS norm FROM u),
+    g AS (
+        SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, place, inner_part) > 1 AS again FROM n
+        WHERE norm <> '' AND (NOT inner_part OR len(regexp_extract_all(norm, '[\x{0E00}-\x{0E7F}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}]|[^ \x{0E00}-\x{0E7F}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}]+')) >= 5)
+    ),
+    whole AS (SELECT doc_id, no FROM g WHERE again AND NOT inner_part),
+    gone AS (
+        SELECT doc_id, no, inner_part, place, unit FROM g LEFT JOIN whole w USING (doc_id, no)
+        WHERE again AND (NOT inner_part OR w.no IS NULL)
+    ),
+    rest AS (
+        SELECT t.doc_id, t.no, string_agg(part, '' ORDER BY k) FILTER (x.place IS NULL) AS kept
+        FROM t LEFT JOIN gone x ON x.inner_part AND x.doc_id = t.doc_id AND x.place = t.place GROUP BY t.doc_id, t.no
+    ),
+    kept AS (
+        SELECT p.doc_id, count(*) AS n_lines, string_agg(coalesce(r.kept, ''), chr(10) ORDER BY p.no) FILTER (w.no IS NULL) AS text
+        FROM p LEFT JOIN rest r USING (doc_id, no) LEFT JOIN whole w USING (doc_id, no) GROUP BY p.doc_id
+    ),
+    spans AS (SELECT doc_id, count(*) AS n, sum(length(unit)) AS n_chars, string_agg(place || '-' || (place + length(unit)), ',' ORDER BY place) AS spans FROM gone GROUP BY doc_id)
+    SELECT doc_id, n_lines, coalesce(n, 0) AS n_removed, CAST(coalesce(n_chars, 0) AS BIGINT) AS n_chars_removed, coalesce(spans, '') AS removed_spans,
+        sha256(coalesce(text, '')) AS kept_sha256
+    FROM kept LEFT JOIN spans USING (doc_id)
     """,
 )
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

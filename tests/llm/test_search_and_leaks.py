@@ -88,35 +88,66 @@ def test_fewer_candidates_than_ranks(spark):
     assert sorted(tuple(r) for r in maxscore.top_k(df, k=10, every=100).collect()) == [(0, 1, 1, 1024 * 2048), (0, 2, 2, -1024 * 1024)]
 
 
-def test_lines_against_brute_force(spark):
-    docs = documents(spark)
-    rows = sorted({(r.doc_id if r.doc_id is not None else lines.NO_ID, r.text or "") for r in docs.collect()})
-    seen, expected = set(), {}
-    for i, text in rows:
-        kept, spans, at = [], [], 0
-        for line in text.split("\n"):
-            norm = " ".join(x for x in line.translate({c: c + 32 for c in range(65, 91)}).replace("\t", " ").replace("\r", " ").split(" ") if x)
-            if len(norm.split(" ")) >= lines.LEAST_WORDS and norm in seen:
-                spans.append(f"{at}-{at + len(line)}")
-            else:
-                kept.append(line)
-                if len(norm.split(" ")) >= lines.LEAST_WORDS:
-                    seen.add(norm)
-            at += len(line) + 1
-        expected[i, hashlib.md5(text.encode()).hexdigest()] = ("\n".join(kept), ",".join(spans))
-    # rows without an id rank by a hash of their texts, so their order may differ; here only one of them has long lines
+def plain_units(text):
+    """Offsets, whether a sentence, the text and the normalised text of every unit, cut character by character."""
+    low = {c: c + 32 for c in range(65, 91)}
+    norm = lambda u: " ".join(x for x in u.translate(low).replace("\t", " ").replace("\r", " ").split(" ") if x)
+    out, start = [], 0
+    for line in text.split("\n"):
+        if norm(line):
+            out.append((start, 0, line, norm(line)))
+        cuts = [0]
+        for k in range(1, len(line)):
+            ended = line[:k].rstrip(" \t\r")
+            if ended and ended[-1] in ".!?。！？" and line[k] not in " \t\r.!?。！？" or line[k - 1] in " \t\r" and ended and ended[-1] in ".!?。！？" and line[k] not in " \t\r":
+                cuts.append(k)
+        parts = [line[a:b] for a, b in zip(cuts, [*cuts[1:], len(line)], strict=True) if line[a:b]]
+        if len(parts) > 1:
+            for a, part in zip(cuts, parts, strict=True):
+                n = sum(1 for k, c in enumerate(norm(part)) if c >= "\u0e00" and ("\u0e00" <= c <= "\u0e7f" or "\u3040" <= c <= "\u30ff" or "\u4e00" <= c <= "\u9fff"))
+                if (n or len(norm(part).split())) >= 5:
+                    out.append((start + a, 1, part, norm(part)))
+        start += len(line) + 1
+    return out
+
+
+def test_units_against_brute_force(spark):
+    more = [
+        (20, "A first sentence of six words. Then another one with seven words! No. 版权所有。翻印必究，违者必追。"), (21, "x. then another  ONE with seven words! 翻印必究，违者必追。 end"),
+        (22, "a first sentence of six words.\nNo.\n 3.14 is a number of this line .. and so it goes on"), (23, "No.\nand so it goes on\n A FIRST sentence of six words. again"), (24, "\n\n.\n . \n"),
+    ]
+    docs = documents(spark).unionByName(spark.createDataFrame([(i, t, "en", "s", 1, "x", "y", "z", "q", "r") for i, t in more], documents(spark).schema))
+    rows = {(lines.NO_ID if r.doc_id is None else r.doc_id, r.h): r.t for r in docs.selectExpr("doc_id", "coalesce(text, '') t", "xxhash64(coalesce(text, '')) h").collect()}
+    placed = sorted(((i, 2 * at + kind, h), norm) for (i, h), t in rows.items() for at, kind, _, norm in plain_units(t))
+    first, gone = {}, set()
+    for place, norm in placed:
+        if first.setdefault(norm, place) != place:
+            gone.add(place)
+    expected = {}
+    for (i, h), t in rows.items():
+        cut = [(at, at + len(u), kind) for at, kind, u, _ in plain_units(t) if (i, 2 * at + kind, h) in gone]
+        whole = [(a, b) for a, b, kind in cut if kind == 0]
+        inner = [(a, b) for a, b, kind in cut if kind == 1 and not any(x <= a and b <= y for x, y in whole)]
+        spans = sorted(whole + inner)
+        dropped = {k for a, b in spans for k in range(a, b)}
+        kept, start = [], 0
+        for line in t.split("\n"):
+            if (start, start + len(line)) not in whole:
+                kept.append("".join(c for k, c in enumerate(line) if start + k not in dropped))
+            start += len(line) + 1
+        expected.setdefault(i, []).append(("\n".join(kept), ",".join(f"{a}-{b}" for a, b in spans), len(spans)))
     out = lines.without_repeated_lines(docs)
     assert out.count() == docs.count()
     for r in out.collect():
-        options = [v for (i, _), v in expected.items() if i == (lines.NO_ID if r.doc_id is None else r.doc_id)]
-        assert (r.text, r.removed_spans) in options
-        assert r.n_removed == len([x for x in r.removed_spans.split(",") if x])
+        assert (r.text, r.removed_spans, r.n_removed) in expected[lines.NO_ID if r.doc_id is None else r.doc_id]
+    text = {r.doc_id: r.text for r in out.collect()}
+    assert text[21] == "x. end" and text[23] == "again" and text[22].startswith("\n") is False
     assert lines.without_repeated_lines(empty(docs)).count() == 0
 
 
 def test_lines_without_a_floor(spark):
     texts = {1: "All rights reserved.\n\n版权所有,翻印必究\nonly here", 2: "x\nall  rights reserved.\n \n版权所有,翻印必究", 3: "\nX\n\ny"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    out = {r.doc_id: r for r in lines.without_repeated_lines(docs, least_words=1).collect()}
+    out = {r.doc_id: r for r in lines.without_repeated_lines(docs).collect()}
     assert {k: r.text for k, r in out.items()} == {1: texts[1], 2: "x\n ", 3: "\n\ny"}
     assert [(out[k].n_removed, out[k].removed_spans) for k in (1, 2, 3)] == [(0, ""), (2, "2-23,26-35"), (1, "1-2")]
