@@ -11,10 +11,12 @@ from tallyloom.functions.periods import month_start
 from tallyloom.functions.text import strip
 from tallyloom.operators.audience import cross_visit, duplication
 from tallyloom.operators.grid import request_grid, with_request_id
-from tallyloom.operators.parse import TAG, attribute, has_errors, job_id, parse_rows
+from tallyloom.operators.parse import TAG, attribute, has_errors, job_id, parse_rows, parse_tables
 from tallyloom.operators.render import collect_documents, data_row, document, fixed_row, header_row
+from tallyloom.operators.signatures import only_known, register, unknown_headers
 from tallyloom.plans import reports
-from tallyloom.plans.specs import CROSS_VISITING_MEASURES, LOCAL_MARKET, Layout, ReportSpec
+from tallyloom.plans.specs import CROSS_VISITING_MEASURES, DESKTOP, LOCAL_MARKET, Layout, ReportSpec
+from tallyloom.plans.workspace import new_folder
 from tallyloom.sources.config import CATEGORY_SETS, TARGETS, TIMEFRAMES
 from tallyloom.sources.landing import markets, ready_documents as pick_ready
 from tallyloom.workload.registry import amount_text, as_double, as_text, cents, query, table
@@ -441,3 +443,34 @@ def report_audience_duplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(
         reports.audience_duplication(landing), "benchmark_metric_value", "duplicated_all_sites", "unduplicated"
     )
+
+
+@query("""
+    WITH a AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS d, o_orderpriority, o_orderstatus FROM orders),
+    m AS (SELECT d, count(*) AS n FROM a GROUP BY d),
+    c(categories) AS (VALUES ('expanded categories'), ('topline categories'), ('custom entities')),
+    x AS (SELECT d, categories, n, (month(d) % 6 = 0)::INT AS renamed, (month(d) % 4 = 0)::INT AS swapped, (month(d) % 11 = 0)::INT AS other FROM m CROSS JOIN c)
+    SELECT d::VARCHAR AS data_date, categories, CASE WHEN renamed + swapped + other > 0 THEN 'unknown_header' END AS reject_reason,
+           CASE WHEN renamed + swapped + other > 0 THEN 'january' END AS nearest,
+           CASE WHEN renamed + swapped + other > 0 THEN renamed + 2 * swapped + other END AS distance,
+           CASE WHEN renamed + swapped + other > 0 THEN 0 ELSE 3 * n END AS n_facts
+    FROM x""")
+def header_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Desktop answers whose headers change in some months but keep their width: a measure renamed, two measures swapped, another
+    row label. The headers of the Januaries are the known ones; the rest are caught with the nearest of them."""
+    month = F.month("data_date")
+    changed = lambda payload, when, old, new: F.when(when, F.replace(payload, F.lit(old), F.lit(new))).otherwise(payload)
+    first, second = '<td id="1">Orders</td>', '<td id="2">Total Price &amp; Tax</td>'
+    payload = changed(F.col("payload"), month % 6 == 0, "Largest &lt;Order&gt;", "Largest Order")
+    payload = changed(payload, month % 4 == 0, first + second, second + first)
+    payload = changed(payload, month % 11 == 0, "<THEAD><tr><th></th>", "<THEAD><tr><th>Site</th>")
+    landed = desktop_landing(spark, sf_dir, ["data_date", "categories"]).withColumns({"payload": payload, "report": F.lit("desktop")})
+    folder = new_folder(spark, "headers")
+    landed.write.parquet(f"{folder}/landing")
+    landing = spark.read.parquet(f"{folder}/landing")
+    register(parse_tables(landing.filter(month == 1), DESKTOP), "january").write.parquet(f"{folder}/registry")
+    registry = spark.read.parquet(f"{folder}/registry")
+    strange = unknown_headers(parse_tables(landing, DESKTOP), registry).select("data_date", "categories", "reject_reason", "nearest", "distance", F.lit(0).cast("bigint").alias("n_facts"))
+    facts = reports.desktop(landing, watch=only_known(registry)).groupBy("data_date", "categories").agg(F.count(F.lit(1)).alias("n_facts"))
+    blank = {c: F.lit(None).cast(t) for c, t in (("reject_reason", "string"), ("nearest", "string"), ("distance", "int"))}
+    return as_text(strange.unionByName(facts.withColumns(blank)), "data_date")

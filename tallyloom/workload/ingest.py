@@ -45,20 +45,23 @@ def landed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT d::VARCHAR AS data_date, user_id % 20 AS request, max(event_id) AS event_id, max_by(event_type, event_id) AS event_type
     FROM e WHERE day(d) <> 5 GROUP BY ALL""")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as answers that arrive in four drops: the same request ids every day, drops out of order, answers landed
-    again, and at last attempts that take the fifth of the month back."""
+    """Events as answers that arrive in 20 drops, one batch each: the same request ids every day, answers up to two drops late, some
+    landed again, and at last attempts that take the fifth of the month back."""
     events = table(spark, sf_dir, "events")
     answers = events.select(
         (F.col("user_id") % 20).cast("string").alias("request_id"), F.lit("events").alias("report"), F.col("ts").cast("date").alias("data_date"),
         F.col("event_id").alias("attempt"), F.col("ts").alias("received_at"), F.col("event_type").alias("payload"),
         (F.col("event_type") != "error").alias("is_ready"),
     )
-    part = F.pmod(F.col("attempt"), F.lit(3))
+    day, late = F.dayofmonth("data_date"), F.pmod(F.col("attempt"), F.lit(3))
+    arrival = F.floor((day - 1) * 16 / 31) + late
     taken_back = answers.filter("day(data_date) = 5 AND is_ready").withColumns({"attempt": F.lit(2**40), "payload": F.lit("")}).distinct()
     folder = new_folder(spark, "stream-ingest")
-    for drop in (answers.filter(part == 2), answers.filter(part == 0), answers.filter(part < 2), taken_back):
-        drop.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    source = spark.readStream.schema(answers.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    drops = [answers.filter(arrival == k) for k in range(18)] + [answers.filter((day < 4) & (late < 2)), taken_back]
+    for drop in drops:
+        drop.write.mode("append").parquet(f"{folder}/in")
+    files = len(spark.read.parquet(f"{folder}/in").inputFiles())
+    source = spark.readStream.schema(answers.schema).option("maxFilesPerTrigger", -(-files // len(drops))).parquet(f"{folder}/in")
 
     def build(log: DataFrame) -> DataFrame:
         newest = ready_documents(log).filter("payload <> ''")
