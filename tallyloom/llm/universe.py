@@ -16,6 +16,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,14 +24,15 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import documents_of, written
 from tallyloom.llm.components import connected_components
 
-#: Words whose hashes a task remembers, texts whose rows are handed on together.
-WORDS = 500_000
+#: Texts that are cut and whose rows are handed on together.
 TOGETHER = 256
 #: Counters of the frequencies by which costs are estimated, and those that are sent together.
 CELL_BITS = 20
 BLOCK = 1 << 12
 #: Pairs of segments by which sets meet ahead of the join, so that a dense group becomes one component early.
 LEADS = 4
+#: How often the sets of a key are compared with one of them, for the same reason.
+TURNS = 3
 INDEX, PROBE = 1, 2  # the parts that a row can take in the join
 #: Bits by which two sets that meet are compared before their texts are: whether a set has an odd number of n-grams there. Sets
 #: differ in at least as many n-grams as bits.
@@ -62,23 +64,27 @@ class Hasher:
 
     def __init__(self, width: int, seed: int):
         self.width, self.seed = width, seed
-        self.known: dict[bytes, int] = {}
 
-    def __call__(self, text: str) -> np.ndarray:
-        words, known = words_of(text), self.known
-        if not words:
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+        coded = cut.flatten().dictionary_encode()
+        hashes = np.array([xxhash.xxh3_64_intdigest(w, self.seed) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()], dtype=np.uint64)
+        place = coded.indices.to_numpy()
+        # blanks at an edge of a text leave an empty word there
+        full = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False)[place] > 0
+        words = hashes[place[full]]
+        before = np.concatenate(([0], np.cumsum(full)))[cut.offsets.to_numpy()].tolist()
+        return [self._grams(words[a:b]) for a, b in zip(before[:-1], before[1:], strict=True)]
+
+    def _grams(self, words: np.ndarray) -> np.ndarray:
+        width = min(self.width, len(words))
+        if not width:
             return np.zeros(0, dtype=np.uint64)
-        if len(known) > WORDS:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w, self.seed)
-        w = np.fromiter((known[x] for x in words), np.uint64, len(words))
-        width = min(self.width, len(w))
-        n = len(w) - width + 1
-        h = np.full(n, width, dtype=np.uint64)
-        for k in range(width):
-            h = _mixed(h * np.uint64(0x2545F4914F6CDD1D) + w[k : k + n])
-        return np.unique(h)
+        n = len(words) - width + 1
+        h = words[:n] + np.uint64(width)
+        for k in range(1, width):
+            h = h * np.uint64(0x2545F4914F6CDD1D) + words[k : k + n]
+        return np.unique(_mixed(h))
 
 
 class Scheme:
@@ -203,71 +209,75 @@ def _may_be_near(n_x: Column, n_y: Column, x: Column, y: Column, percent: int) -
     return differing * (100 + percent) <= (n_x + n_y) * (100 - percent)
 
 
+SETS = "doc_id long, row long, n long, node long, proof long, leads array<long>, parity array<long>, block long, cells binary"
+
+
+def _node(grams: np.ndarray, seed: int) -> tuple[int, int]:
+    whole = xxhash.xxh3_128_intdigest(grams.tobytes(), seed)
+    return (whole >> 64) - 2**63, (whole & (2**64 - 1)) - 2**63
+
+
 def gram_sets(docs: DataFrame, width: int, scheme: Scheme, seed: int) -> DataFrame:
     """``(doc_id, row, n, node, proof, leads, parity)`` of every document: the size of its set, two digests of it, the keys of
-    ``LEADS`` and the bits of ``PARITY``. ``row`` tells rows that share an id apart."""
+    ``LEADS`` and the bits of ``PARITY``; ``row`` tells rows that share an id apart. Rows with a ``block`` hold, for a part of
+    the cells, how many index keys of a task's sets fall into each."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = Hasher(width, seed)
-        for batch in batches:
-            sizes, nodes, proofs, leads, parities = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                grams = hashed(text)
-                whole = xxhash.xxh3_128_intdigest(grams.tobytes(), seed)
-                sizes.append(len(grams))
-                nodes.append((whole >> 64) - 2**63 if len(grams) else None)
-                proofs.append((whole & (2**64 - 1)) - 2**63)
-                # sets that only meet their equals need no meeting
-                small = scheme.points(len(grams), 100 * len(grams) // scheme.percent) < 2
-                leads.append([] if small else _leads(grams, scheme))
-                parities.append([] if small else _parity(grams))
-            made = [pa.array(x, pa.int64()) for x in (sizes, nodes, proofs)] + [pa.array(x, pa.list_(pa.int64())) for x in (leads, parities)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), *made], ["doc_id", "row", "n", "node", "proof", "leads", "parity"])
-
-    rows = documents_of(docs).withColumn("row", F.xxhash64("text"))
-    return rows.mapInArrow(digest, "doc_id long, row long, n long, node long, proof long, leads array<long>, parity array<long>")
-
-
-def frequencies(texts: DataFrame, width: int, scheme: Scheme, seed: int) -> np.ndarray:
-    """How many keys of all sets fall into each cell: an upper bound of every key's frequency, of fixed size."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, cells = Hasher(width, seed), np.zeros(1 << CELL_BITS, dtype=np.int64)
+        hashed, cells = Hasher(width, seed), np.zeros(1 << CELL_BITS, dtype=np.int32)
+        schema = _arrow_schema(SETS)
         for batch in batches:
             for at in range(0, len(batch), TOGETHER):
-                sets = [hashed(t) for t in batch.column(0).slice(at, TOGETHER).to_pylist()]
-                keys = [indexed(g, scheme) for g in sets if scheme.points(len(g), 100 * len(g) // scheme.percent) > 1]
+                part, rows, keys = batch.slice(at, TOGETHER), [], []
+                for grams in hashed(part.column("text").to_pylist()):
+                    node, proof = _node(grams, seed)
+                    leads, parity = [], []
+                    if scheme.points(len(grams), 100 * len(grams) // scheme.percent) > 1:  # smaller sets only meet their equals
+                        leads, parity = _leads(grams, scheme), _parity(grams)
+                        keys.append(indexed(grams, scheme))
+                    rows.append((len(grams), node if len(grams) else None, proof, leads, parity))
                 if keys:
-                    cells += np.bincount(_cell(np.concatenate(keys)), minlength=len(cells))
-        parts = cells.reshape(-1, BLOCK)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], ["block", "cells"])
+                    cells += np.bincount(_cell(np.concatenate(keys)), minlength=len(cells)).astype(np.int32)
+                made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types[2:7], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), *made, pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary())], schema=schema)
+        blocks = cells.reshape(-1, BLOCK)
+        held = np.flatnonzero(blocks.any(axis=1))
+        empty = [pa.nulls(len(held), t) for t in schema.types[:7]]
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(held, pa.int64()), pa.array([blocks[k].tobytes() for k in held], pa.binary())], schema=schema)
+
+    return documents_of(docs).withColumn("row", F.xxhash64("text")).mapInArrow(digest, SETS)
+
+
+def _arrow_schema(columns: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split(" ") for c in columns.split(", "))])
+
+
+def frequencies(found: DataFrame) -> np.ndarray:
+    """How many index keys of all sets fall into each cell: an upper bound of every key's frequency, of fixed size."""
 
     def added(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in table.column("cells").to_pylist())
-        return pa.table({"block": table.column("block").slice(0, 1), "cells": pa.array([total.tobytes()], pa.binary())})
+        total = sum(np.frombuffer(x, np.int32).astype(np.int64) for x in table.column("cells").to_pylist())
+        return pa.table({"block": table.column("block").slice(0, 1), "cells": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    parts = texts.select("text").mapInArrow(counted, "block long, cells binary").groupBy("block").applyInArrow(added, "block long, cells binary")
-    out = np.zeros((1 << CELL_BITS) // BLOCK * BLOCK, dtype=np.float32).reshape(-1, BLOCK)
-    for row in parts.collect():
-        out[row["block"]] = np.frombuffer(row["cells"], np.int64)
+    out = np.zeros(((1 << CELL_BITS) // BLOCK, BLOCK), dtype=np.float32)
+    for row in found.where("block IS NOT NULL").select("block", "cells").groupBy("block").applyInArrow(added, "block long, cells binary").collect():
+        out[row["block"]] = np.frombuffer(row["cells"], np.float32)
     return out.ravel()
 
 
-def _met(texts: DataFrame, width: int, scheme: Scheme, seed: int) -> DataFrame:
+def _met(texts: DataFrame, width: int, scheme: Scheme, seed: int, frequency: np.ndarray) -> DataFrame:
     """``(key, node, part)`` of the sets that share a key with another set, one of them as the searching one."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequencies(texts, width, scheme, seed))
+    shared = texts.sparkSession.sparkContext.broadcast(frequency)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hasher(width, seed)
         for batch in batches:
             for at in range(0, len(batch), TOGETHER):
                 found = []
-                for text in batch.column(0).slice(at, TOGETHER).to_pylist():
-                    grams = hashed(text)
-                    if len(grams):
-                        node = (xxhash.xxh3_128_intdigest(grams.tobytes(), seed) >> 64) - 2**63
-                        keys, parts = rows_of(grams, scheme, shared.value)
-                        found.append((keys, np.full(len(keys), node, dtype=np.int64), parts))
+                for grams in hashed(batch.column(0).slice(at, TOGETHER).to_pylist()):
+                    keys, parts = rows_of(grams, scheme, shared.value) if len(grams) else ((), ())
+                    if len(keys):
+                        found.append((keys, np.full(len(keys), _node(grams, seed)[0], dtype=np.int64), parts))
                 if found:
                     keys, nodes, parts = (np.concatenate(x) for x in zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(nodes), pa.array(parts)], ["key", "node", "part"])
@@ -303,6 +313,40 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, pe
     return written(second.where(similar("x", "y")).select("a", "b"), "links")
 
 
+def _parts(sets: DataFrame, links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """``(node, n, parity, part_of)``: the component of every set by these links and the components there were before."""
+    if before is not None:
+        links = links.unionAll(before.where("node != part_of").select("part_of", "node"))
+    joined = sets.select("node", "n", "parity").join(connected_components(links), "node", "left")
+    return written(joined.select("node", "n", "parity", F.coalesce("component", "node").alias("part_of")), "parts")
+
+
+def _apart(met: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of ``met`` whose key is shared by sets of different components, with what is known of their sets."""
+    over = Window.partitionBy("key")
+    known = met.join(named, "node").withColumns({"lo": F.min("part_of").over(over), "hi": F.max("part_of").over(over)})
+    return known.where("lo != hi").drop("lo", "hi")
+
+
+def _stars(apart: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Of every key, one set with each set of another component. The order by which it is chosen is that of all keys, so sets that
+    share many keys mostly meet the same one."""
+    center = F.min_by(F.struct("node", "n", "parity", "part_of"), F.xxhash64("node", F.lit(turn))).alias("c")
+    around = apart.join(apart.groupBy("key").agg(center), "key")
+    fits = (F.col("part_of") != F.col("c.part_of")) & _may_be_near(F.col("n"), F.col("c.n"), F.col("parity"), F.col("c.parity"), percent)
+    return around.where(fits).select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+
+
+def _pairs(apart: DataFrame, percent: int) -> DataFrame:
+    """Sets of different components, one of which another finds by a key, that may be similar enough."""
+    apart = written(apart, "apart")
+    left = apart.where(F.col("part").bitwiseAND(PROBE) != 0).select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("parity").alias("bx"), F.col("part_of").alias("px"))
+    right = apart.where(F.col("part").bitwiseAND(INDEX) != 0).select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("parity").alias("by"), F.col("part_of").alias("py"))
+    fits = (F.col("px") != F.col("py")) & (F.col("ny") <= F.col("nx")) & (F.col("ny") * 100 >= F.col("nx") * percent)
+    fits = fits & _may_be_near(F.col("nx"), F.col("ny"), F.col("bx"), F.col("by"), percent)
+    return left.join(right, "key").where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row of ``docs (doc_id, text)``.
 
@@ -313,13 +357,14 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     an id are each returned; empty tables give no rows; further columns are ignored.
 
     Equal sets are one node, known by two digests of 64 bits (should different sets share the first, other hashes are taken).
-    Sets that agree in a pair of segments are compared with the least of them first, so that a dense group of near
-    copies is one component before the join, which then looks at pairs of different components only. Every link
-    counts the n-grams of the two texts themselves.
+    Sets that agree in a pair of segments, and then in a key of the join, are compared with one of them first, so that a dense
+    group of near copies is one component before the join looks at all pairs of different components. Every link counts
+    the n-grams of the two texts themselves.
     """
     scheme = Scheme(percent)
     for seed in count():
-        found = written(gram_sets(docs, width, scheme, seed), "sets")
+        made = written(gram_sets(docs, width, scheme, seed), "sets")
+        found = made.where("block IS NULL").drop("block", "cells")
         nodes = found.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "row")).alias("place"), F.first("n").alias("n"), F.first("leads").alias("leads"), F.first("parity").alias("parity"), F.min("proof").alias("p"), F.max("proof").alias("q"))
         sets = written(nodes, "nodes")
         if sets.where("p != q").isEmpty():
@@ -327,22 +372,15 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     meeting = sets.select("node", F.explode("leads").alias("key"))
     least = meeting.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").select("key", "a")
     stars = meeting.join(least, "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
-    near = connected_components(_verified(stars, docs, sets, width, percent))
-    named = written(sets.join(near, "node", "left").select("node", "n", "parity", F.coalesce("component", "node").alias("part_of")), "parts")
-
-    met = _met(documents_of(docs), width, scheme, seed).join(named, "node")
-    over = Window.partitionBy("key")
-    apart = met.withColumns({"lo": F.min("part_of").over(over), "hi": F.max("part_of").over(over)}).where("lo != hi").drop("lo", "hi")
-    apart = written(apart, "apart")
-    left = apart.where(F.col("part").bitwiseAND(PROBE) != 0).select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("parity").alias("bx"), F.col("part_of").alias("px"))
-    right = apart.where(F.col("part").bitwiseAND(INDEX) != 0).select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("parity").alias("by"), F.col("part_of").alias("py"))
-    fits = (F.col("px") != F.col("py")) & (F.col("ny") <= F.col("nx")) & (F.col("ny") * 100 >= F.col("nx") * percent)
-    fits = fits & _may_be_near(F.col("nx"), F.col("ny"), F.col("bx"), F.col("by"), percent)
-    pairs = left.join(right, "key").where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    links = _verified(pairs, docs, sets, width, percent).unionAll(named.where("node != part_of").select("part_of", "node"))
-    joined = connected_components(links)
-    whole = written(sets.join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component")), "members")
-    ids = whole.groupBy("component").agg(F.min("first").alias("component_id"))
-    component = written(whole.join(ids, "component").select("node", "component_id"), "named")
+    named = _parts(sets, _verified(stars, docs, sets, width, percent))
+
+    met = written(_met(documents_of(docs), width, scheme, seed, frequencies(made)), "met")
+    for turn in range(TURNS):
+        stars = _stars(written(_apart(met, named), "apart"), turn, percent)
+        named = _parts(sets, _verified(stars, docs, sets, width, percent), named)
+    pairs = _pairs(_apart(met, named), percent)
+    whole = _parts(sets, _verified(pairs, docs, sets, width, percent), named)
+    ids = whole.join(sets.select("node", "first"), "node").groupBy("part_of").agg(F.min("first").alias("component_id"))
+    component = written(whole.join(ids, "part_of").select("node", "component_id"), "named")
     out = found.join(component, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

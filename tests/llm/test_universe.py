@@ -61,7 +61,8 @@ def near_copies(seed, n):
 
 
 @pytest.mark.parametrize(("width", "percent"), [(4, 85), (1, 60), (2, 100)])
-def test_components_agree_with_all_pairs(spark, width, percent):
+def test_components_agree_with_all_pairs(spark, width, percent, monkeypatch):
+    monkeypatch.setattr(universe, "TOGETHER", 16)
     rows = near_copies(width, 220)
     got = universe.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), width, percent).collect()
     assert sorted(map(tuple, got)) == sorted(plain(rows, width, percent))
@@ -84,6 +85,13 @@ def test_clashing_ids_and_digests(spark, monkeypatch):
     assert sorted(got, key=key) == sorted(plain(rows), key=key)
 
 
+def test_hashes_of_many_texts_at_once():
+    texts = [f"  word{k} Two\tthree\n{k % 3} " * (k % 7) + "é end" * (k % 2) for k in range(300)]
+    hashed = universe.Hasher(4, 0)
+    assert [len(g) for at in range(0, 300, 64) for g in hashed(texts[at : at + 64])] == [len(grams(t)) for t in texts]
+    assert all(np.array_equal(a, b) for a, b in zip(hashed(texts), [hashed([t.upper().replace("É", "é")])[0] for t in texts], strict=True))
+
+
 def test_every_similar_pair_meets():
     """Any two sets within the similarity share a key that one indexes and the larger one searches, whatever the costs say."""
     rng, scheme = np.random.default_rng(4), universe.Scheme(85)
