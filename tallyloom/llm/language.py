@@ -207,7 +207,10 @@ def fit(docs: DataFrame, bound: int = DOCS_PER_LANGUAGE, words: int = WORDS_PER_
 def _scorer(model: Broadcast):
     @F.pandas_udf("struct<lang: string, score: double>")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = LanguageModel(**model.value)
+        parts = dict(model.value)
+        if isinstance(parts["table"], dict):
+            parts["table"] = Frequencies(**parts["table"])
+        known = LanguageModel(**parts)
         for part in texts:
             yield pd.DataFrame([known.score(x or "") for x in part], columns=["lang", "score"])
 
@@ -220,7 +223,11 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     Texts that are null or have no letter are ``und`` with score 0, as is everything if nothing could be learnt; ties go to
     the first language by name. Repeated rows are each judged; an empty table gives no rows; further columns are ignored.
     """
-    shared = {f.name: getattr(model, f.name) for f in fields(model)}
+    # plain containers and arrays, as a broadcast is read where this package may not be installed
+    plain = lambda x: {f.name: getattr(x, f.name) for f in fields(x)}
+    shared = plain(model)
+    if isinstance(model.table, Frequencies):
+        shared["table"] = plain(model.table)
     score = _scorer(docs.sparkSession.sparkContext.broadcast(shared))
     scored = documents_of(docs).select("doc_id", held_out().alias("held_out"), score("text").alias("out"))
     return scored.select("doc_id", "held_out", F.col("out.lang").alias("lang_pred"), F.col("out.score").alias("score"))

@@ -17,6 +17,8 @@ COLUMNS = {
     "op7": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
     "op8": {"doc_id", "held_out", "score", "predicted"},
     "op9": {"doc_id", "fingerprint", "component_id"},
+    "op11": {"doc_id", "n_shingles", "component_id"},
+    "op12": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
 }
 
 
@@ -43,8 +45,8 @@ def test_query(spark, con, name):
         assert df.count() == n
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert ("pipeline" in names) == (importlib.util.find_spec("corpus_pipeline") is not None)
     assert set(entry.oracle_sql()) <= names
