@@ -27,22 +27,37 @@ QUERIES = 2048
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """``(vec_id, v)`` with ``v = floor(scale * x)`` of every component as double; vectors that are null or hold null or
-    non-finite components, and rows without an id, take no part."""
+    non-finite components, and rows without an id, take no part. A component that no long can hold stops the job."""
     plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
     whole = plain.where("vec_id is not null and x is not null and not exists(x, e -> e is null or isnan(e) or abs(e) = double('infinity'))")
-    return whole.select("vec_id", F.transform("x", lambda e: F.floor(e * scale)).alias("v"))
+    too_large = F.raise_error(F.lit("a component is too large for a long")).cast("long")
+    return whole.select("vec_id", F.transform("x", lambda e: F.when(F.abs(e * scale) < 2.0**63, F.floor(e * scale)).otherwise(too_large)).alias("v"))
+
+
+def _largest(matrix: np.ndarray) -> int:
+    return max(-int(matrix.min(initial=0)), int(matrix.max(initial=0)))
+
+
+def _numbers(queries: np.ndarray, candidates: np.ndarray) -> tuple[type, float | int]:
+    """The fastest numbers in which all sums of products are exact - doubles, 64-bit integers or Python's own - and one
+    that is below every score."""
+    most = candidates.shape[1] * _largest(queries) * _largest(candidates)
+    if most < 2**53:
+        return np.float64, -np.inf
+    return np.int64 if most < 2**62 else object, -most - 1
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(query number, vec_id, score)`` of each query's ``k`` best candidates of other ids; ties to the smaller id.
 
-    While sums stay below 2**53, the floating-point products are exact.
+    Scores are exact; one of the best that no long can hold raises OverflowError.
     """
+    kind, none = _numbers(queries, candidates)
     order = np.argsort(ids, kind="stable")
-    candidates, ids = candidates[order].astype(np.float64), ids[order]
-    queries = queries.astype(np.float64)
+    candidates, ids = candidates[order].astype(kind), ids[order]
+    queries = queries.astype(kind)
     n = len(queries)
-    best = np.full((n, k), -np.inf)
+    best = np.full((n, k), none, kind)
     where = np.full((n, k), -1, np.int64)
     for at in range(0, len(ids), BLOCK):
         block, own = candidates[at : at + BLOCK], ids[at : at + BLOCK]
@@ -51,9 +66,9 @@ def search(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, i
         for q in range(n):
             threshold = best[q, -1]
             live = np.flatnonzero(own != query_ids[q])
-            rest = np.concatenate((np.cumsum(bound[q, terms[q]][::-1])[::-1], [0.0]))
+            rest = np.concatenate((np.cumsum(bound[q, terms[q]][::-1])[::-1], np.zeros(1, kind)))
             # essential: as many terms as it takes until the rest of the bounds alone stays under the threshold
-            cut = int(np.flatnonzero(rest <= max(threshold, 0.0))[0]) if np.isfinite(threshold) else len(rest) - 1
+            cut = int(np.flatnonzero(rest <= max(threshold, 0))[0]) if where[q, -1] >= 0 else len(rest) - 1
             cut = max(cut, len(rest) // 4)
             score = block[live][:, terms[q, :cut]] @ queries[q, terms[q, :cut]]
             while True:
@@ -69,7 +84,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, i
                 scores, found = np.concatenate((best[q], score)), np.concatenate((where[q], at + live))
                 top = np.argsort(-scores, kind="stable")[:k]
                 best[q], where[q] = scores[top], found[top]
-    number, place = np.nonzero(np.isfinite(best))
+    number, place = np.nonzero(where >= 0)
     return number, ids[where[number, place]], best[number, place].astype(np.int64)
 
 
@@ -86,15 +101,18 @@ def _packed(rows: DataFrame, key: str) -> DataFrame:
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``, exact while scores stay below 2**53: the ``k`` candidates with the highest integer inner products for every query.
+    """``(query_id, rank, vec_id, score)``: the ``k`` candidates with the highest integer inner products for every query.
 
     Queries are the rows whose ``vec_id`` is divisible by ``every``; candidates all rows but those of the query's own id. Fewer
     candidates give fewer ranks. Vectors meet those of their own length only. Rows that repeat a vec_id are each a
-    candidate; equal query rows ask once, different ones of one id share its ranks. Blocks of queries meet shards of
+    candidate; equal query rows ask once, different ones of one id share its ranks. Wholly equal rows are counted and at most
+    ``k`` of them go on, which is all that can be ranked. Scores are exact at any size of the components. Blocks of queries meet shards of
     candidates, each pair a task of its own; shards are merged by rank. Empty tables give no rows.
     """
-    table = written(quantised(vectors, scale).withColumn("dims", F.size("v")), "vectors")
-    asked = table.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
+    copies = quantised(vectors, scale).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.least("n", F.lit(k).cast("long")))).alias("copy")
+    table = written(copies.select("vec_id", "v", F.size("v").alias("dims"), copy), "vectors")
+    asked = table.where((F.col("vec_id") % every == 0) & (F.col("copy") == 1))
     total, queries = table.count(), asked.count()
     shards, blocks = groups_for(total, SHARD), groups_for(queries, QUERIES)
     left = _packed(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")), "block")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.common import groups_for, text_bytes
+from tallyloom.llm.common import free_name, groups_for, text_bytes
 
 WINDOW = 50
 GRAM = 16
@@ -143,7 +143,7 @@ def _dealt(shards: np.ndarray, group: int, *arrays: np.ndarray) -> pa.Table:
     return pa.table({"shard": pa.array(which, pa.int32()), KEY: pa.array([group] * len(which), pa.int32()), "body": pa.array(bodies, pa.binary())})
 
 
-def _anchors(shards: int) -> Callable:
+def _anchors(shards: int, key: str) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         ids, grams, docs = _ids(table), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for data, which, _, ends in _slices(_texts(table)):
@@ -161,7 +161,7 @@ def _anchors(shards: int) -> Callable:
         g, several = g[order], several[order]
         # six bytes hold a gram
         body = g.view(np.uint8).reshape(-1, 8)[:, :6].copy().view("S6")[:, 0] if len(g) else np.zeros(0, "S6")
-        return _dealt(g % np.uint64(shards), table.column(KEY)[0].as_py(), body, several)
+        return _dealt(g % np.uint64(shards), table.column(key)[0].as_py(), body, several)
 
     return run
 
@@ -188,7 +188,7 @@ def _repeated(hot_groups: int) -> Callable:
     return run
 
 
-def _strings(shards: int) -> Callable:
+def _strings(shards: int, key: str) -> Callable:
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         if not len(told) or not len(docs):
             return pa.table({"shard": pa.array([], pa.int32()), KEY: pa.array([], pa.int32()), "body": pa.array([], pa.binary())})
@@ -215,7 +215,7 @@ def _strings(shards: int) -> Callable:
                         seen[2] = d
         rows = sorted((v[0] % shards, k, v[1], v[2], v[0] // shards % PARTS) for k, v in found.items())
         shard = np.array([r[0] for r in rows], np.int64)
-        group, out = docs.column(KEY)[0].as_py(), []
+        group, out = docs.column(key)[0].as_py(), []
         which, starts = np.unique(shard, return_index=True)
         for s, e in zip(starts.tolist(), [*starts.tolist(), len(rows)][1:], strict=True):
             mine = rows[s:e]
@@ -399,14 +399,15 @@ def _each_group(docs: DataFrame, last: Callable, schema, hot_groups: int, group_
     total = text_bytes(docs)
     groups, shards = groups_for(total, group_bytes), groups_for(total, 2 * group_bytes)
     # rows without an id, or of one repeated id, are spread by their texts
-    key = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(groups)).cast("int")
-    dealt = docs.withColumn(KEY, key)
-    grams = dealt.groupBy(KEY).applyInArrow(_anchors(shards), MESSAGE)
+    group = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(groups)).cast("int")
+    key = free_name(docs, KEY)
+    dealt = docs.withColumn(key, group)
+    grams = dealt.groupBy(key).applyInArrow(_anchors(shards, key), MESSAGE)
     told = grams.groupBy("shard").applyInArrow(_repeated(hot_groups), MESSAGE)
-    strings = dealt.groupBy(KEY).cogroup(told.groupBy(KEY)).applyInArrow(_strings(shards), MESSAGE)
+    strings = dealt.groupBy(key).cogroup(told.groupBy(KEY)).applyInArrow(_strings(shards, key), MESSAGE)
     answers = strings.groupBy("shard").applyInArrow(_answers, MESSAGE)
     hot = told.withColumn("shard", F.lit(-1))
-    return dealt.groupBy(KEY).cogroup(answers.unionAll(hot).groupBy(KEY)).applyInArrow(last, schema)
+    return dealt.groupBy(key).cogroup(answers.unionAll(hot).groupBy(KEY)).applyInArrow(last, schema)
 
 
 def repeat_digests(docs: DataFrame, hot_groups: int = HOT_GROUPS, group_bytes: int = GROUP_BYTES) -> DataFrame:

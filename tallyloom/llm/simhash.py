@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import documents_of, written
+from tallyloom.llm.common import documents_of, free_name, written
 from tallyloom.llm.components import connected_components
 
 #: Fixed values of the fingerprint.
@@ -233,5 +233,6 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
 def one_of_each(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, with all their columns. Rows that repeat
     a kept id are the same document and stay; rows without an id stay only where no row of their component has one."""
-    kept = near_duplicates(docs, width, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    name = free_name(docs, "kept_id")
+    kept = near_duplicates(docs, width, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")

@@ -54,6 +54,15 @@ def test_rewritten_texts_keep_rows_and_columns(spark):
     assert "word30" in text[-5] and "word30" not in text[9] and text[9].startswith("intro one two three")
 
 
+def test_columns_named_like_its_own(spark):
+    docs = documents(spark)
+    for name in ("__group", "__GROUP_", "body"):
+        docs = docs.selectExpr("*", f"'mine' AS {name}")
+    cut = repeats.without_repeats(docs)
+    assert cut.columns == docs.columns and {tuple(r[-3:]) for r in cut.collect()} == {("mine",) * 3}
+    assert sorted(str(r.text) for r in cut.collect()) == sorted(str(r.text) for r in repeats.without_repeats(documents(spark)).collect())
+
+
 def test_empty_table(spark):
     assert repeats.repeat_digests(empty(documents(spark))).count() == 0
 

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -88,6 +89,27 @@ def test_fewer_candidates_than_ranks(spark):
     assert sorted(tuple(r) for r in maxscore.top_k(df, k=10, every=100).collect()) == [(0, 1, 1, 1024 * 2048), (0, 2, 2, -1024 * 1024)]
 
 
+@pytest.mark.parametrize("size", [65_536, 900_000])
+def test_scores_beyond_doubles_are_exact(spark, size):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice((-1, 1)) * (size + rng.randrange(4096) / 1024) for _ in range(8)]) for i in range(60)]
+    rows += [(100 + i, [x / 2**20 for x in v]) for i, v in rows[:20]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
+    expected = []
+    for q in (i for i in whole if i % 10 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
+        expected += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:5])]
+    assert max(s for *_, s in expected) > 2**53
+    assert sorted(tuple(r) for r in maxscore.top_k(df, k=5, every=10).collect()) == sorted(expected)
+
+
+def test_equal_rows_are_counted_first(spark):
+    df = spark.createDataFrame([(0, [1.0])] * 30 + [(1, [3.0])] * 40 + [(2, [5.0])], "vec_id long, embedding array<double>")
+    got = sorted((r.rank, r.vec_id) for r in maxscore.top_k(df, k=10, every=100).collect())
+    assert got == [(1, 2)] + [(r, 1) for r in range(2, 11)]
+
+
 def plain_units(text):
     """Offsets, whether a sentence, the text and the normalised text of every unit, cut character by character."""
     low = {c: c + 32 for c in range(65, 91)}

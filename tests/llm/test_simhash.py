@@ -79,5 +79,12 @@ def test_one_of_each_keeps_columns_and_smallest_ids(spark):
     assert kept.columns == docs.columns and 1 in ids and 2 not in ids and 3 in ids and 4 not in ids and ids.count(11) <= 2
 
 
+def test_columns_named_like_its_own(spark):
+    docs = documents(spark)
+    more = docs.selectExpr("*", "'mine' AS kept_id", "'mine' AS KEPT_ID_", "'mine' AS component_id")
+    kept = simhash.one_of_each(more)
+    assert kept.columns == more.columns and kept.count() == simhash.one_of_each(docs).count()
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty(documents(spark))).count() == 0
