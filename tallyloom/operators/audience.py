@@ -45,7 +45,7 @@ def _listed(spark: SparkSession, comparison: Sequence) -> DataFrame:
     return spark.range(1).select(F.posexplode(entries).alias("_no", "comparison"))
 
 
-def _measures(found: DataFrame, by: list[str], kept: Sequence[str] = ()) -> DataFrame:
+def pair_measures(found: DataFrame, by: list[str], kept: Sequence[str] = ()) -> DataFrame:
     """The pair measures from shared and single audiences and the number of users."""
     shared = F.col("shared").cast("double")
     expected = F.col("audience").cast("double") * F.col("comparison_audience")
@@ -86,7 +86,7 @@ def cross_visit(
     other = audience.select(*by, F.col("benchmark").alias("comparison"), F.col("audience").alias("comparison_audience"))
     found = named.join(audience, [*by, "benchmark"]).join(other, [*by, "comparison"])
     users = pairs.groupBy(*by, "_user").agg(F.count(F.lit(1))).groupBy(*by).agg(F.count("_user").alias("_total"))
-    return _measures(found.join(users, by) if by else found.withColumn("_total", users.scalar()), by)
+    return pair_measures(found.join(users, by) if by else found.withColumn("_total", users.scalar()), by)
 
 
 #: A listed media's sketch is met by very many others; it is copied so often, and they are dealt among the copies.
@@ -115,7 +115,7 @@ def cross_visit_approx(
     total = visits.groupBy(*by).agg(estimate(F.theta_sketch_agg(user, log2_size)).alias("_total"))
     met = met.filter("shared > 0")
     met = met.join(total, by) if by else met.withColumn("_total", total.scalar())
-    return _measures(met, by, ["audience", "comparison_audience"])
+    return pair_measures(met, by, ["audience", "comparison_audience"])
 
 
 def duplication(

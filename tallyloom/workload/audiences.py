@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.periods import month_start
 from tallyloom.operators import audience
+from tallyloom.operators.overlap import overlap_matrix as matrix_of
+from tallyloom.plans.proven import proven_top
 from tallyloom.plans.workspace import new_folder
 from tallyloom.sources.lake import touched_months, write_months
 from tallyloom.sources.landing import latest_ready as newest_ready, pending
@@ -56,6 +58,38 @@ def cross_visit_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.join(sketched, ["benchmark", "comparison"]).select("benchmark", "comparison", "shared", (error <= bound).alias("within_bound"))
 
 
+@query("""
+    WITH p AS (SELECT DISTINCT o_custkey AS u, p_type AS m
+               FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+    aud AS (SELECT m, count(*) AS n FROM p GROUP BY m),
+    total AS (SELECT count(DISTINCT u) AS n FROM p),
+    s AS (SELECT a.m AS a, b.m AS b, count(*) AS n FROM p a JOIN p b ON a.u = b.u AND a.m <> b.m GROUP BY ALL)
+    SELECT a AS benchmark, b AS comparison, s.n AS shared, s.n::DOUBLE * 100 / x.n AS horizontal,
+           s.n::DOUBLE * 100 / y.n AS vertical, s.n::DOUBLE * 100 * total.n / (x.n::DOUBLE * y.n) AS "index"
+    FROM s JOIN aud x ON x.m = a JOIN aud y ON y.m = b CROSS JOIN total""")
+def overlap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every type of part with every other, by the customers they share; most customers bought many types."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("type"))
+    types = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "type").distinct()
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("customer"))
+    return matrix_of(types.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), "type", "customer")
+
+
+@query("""
+    WITH f AS (
+      SELECT l_linestatus AS status, l_orderkey AS order_key, sum(l_quantity::BIGINT)::BIGINT AS quantity
+      FROM lineitem GROUP BY l_linestatus, l_orderkey)
+    SELECT status, order_key, quantity, row_number() OVER (PARTITION BY status ORDER BY quantity DESC, order_key) AS rank
+    FROM f QUALIFY rank <= 5000""")
+def top_entities_proven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5,000 largest orders of each status, many of them tied, from a sketch and exact sums of its candidates."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_linestatus").alias("status"), F.col("l_orderkey").alias("order_key"), F.col("l_quantity").cast("bigint").alias("quantity")
+    )
+    return proven_top(lines, "status", "order_key", "quantity", 5000)
+
+
 BRAND_SETS = {"first two": BRANDS[:2], "first five": BRANDS[:5], "all": BRANDS}
 
 
