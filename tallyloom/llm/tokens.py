@@ -4,23 +4,22 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words whose ids a worker process keeps, in two generations: when the younger is full it becomes the older, and what was in
-#: that and not met again is forgotten (some 50 MB).
-CACHED_WORDS = 200_000
+#: Places of the words whose ids a worker process keeps (33 bytes each), and what a word that is kept may have at most.
+CACHE_LOG2 = 20
+KEY_BYTES, KEY_IDS = 15, 8
 #: Characters of text that are cut into words together.
 BATCH_CHARS = 1 << 20
 
 #: Fixed by the tokenizer: a run of these letters is one word to it, a run of marks another. The apostrophe is no such mark.
-LETTERS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+LETTERS = "^(?P<letters>[a-zß-öø-ÿ]+)(?P<marks>[!-&(-/:-@\\[-`{-~]*)$"
 
 
 def default_path() -> str:
@@ -101,50 +100,114 @@ class WordMerges:
         return [flat[a:b] for a, b in zip([0, *stop[:-1]], stop, strict=True)]
 
 
+#: How many ids each of several words has, and the ids of all one after another.
+Ids = tuple[np.ndarray, np.ndarray]
+
+
+def _joined(ids: list[bytes]) -> Ids:
+    return np.fromiter(map(len, ids), np.int64, len(ids)) // 4, np.frombuffer(b"".join(ids), np.uint32)
+
+
+def _put(out: np.ndarray, at: np.ndarray, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    """Copy ``size`` numbers from each ``start`` of ``flat`` to each ``at`` of ``out``."""
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(at, size) + step] = flat[np.repeat(start, size) + step]
+
+
+class WordCache:
+    """The ids of words met lately, of fixed size: a word has one place, and a later word of that place displaces it.
+
+    Only words of up to ``KEY_BYTES`` bytes and ``KEY_IDS`` ids are kept. The key of such a word is its bytes and their number,
+    so that what is found is never another word's.
+    """
+
+    def __init__(self, places_log2: int, n_ids: int):
+        self.shift, n = np.uint64(64 - places_log2), 1 << places_log2
+        self.low, self.high = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        self.size, self.body = np.zeros(n, np.uint8), np.zeros((n, KEY_IDS), np.uint16 if n_ids <= 1 << 16 else np.uint32)
+
+    def places(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word its place, both halves of its key, and whether it may be kept."""
+        _, offsets, data = words.buffers()
+        ends = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+        raw = np.zeros(int(ends[-1]) + KEY_BYTES + 1, np.uint8)
+        raw[: ends[-1]] = np.frombuffer(data, np.uint8, int(ends[-1])) if data is not None else 0
+        size, column = np.diff(ends), np.arange(KEY_BYTES + 1)
+        key = np.where(column < size[:, None], raw[ends[:-1][:, None] + column], 0).astype(np.uint8)
+        key[:, KEY_BYTES] = np.minimum(size, 255)
+        low, high = key.view(np.uint64).T
+        mixed = (low ^ (high * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xFF51AFD7ED558CCD)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
+        return (mixed >> self.shift).astype(np.int64), low, high, (size > 0) & (size <= KEY_BYTES)
+
+    def ids(self, words: pa.LargeStringArray, encode: Callable[[pa.LargeStringArray], Ids]) -> Ids:
+        """The ids of all words; ``encode`` is asked for those that are not kept, and may itself look words up here."""
+        place, low, high, short = self.places(words)
+        held = short & (self.low[place] == low) & (self.high[place] == high)
+        kept, asked = np.flatnonzero(held), np.flatnonzero(~held)
+        known, body = self.size[place[kept]], self.body[place[kept]]
+        size, fresh = encode(words.take(pa.array(asked)))
+        n = np.zeros(len(words), np.int64)
+        n[kept], n[asked] = known, size
+        start, first, out = np.cumsum(n) - n, np.cumsum(size) - size, np.zeros(int(n.sum()), np.uint32)
+        _put(out, start[kept], body.ravel(), KEY_IDS * np.arange(len(kept)), n[kept])
+        _put(out, start[asked], fresh, first, size)
+        keep = np.flatnonzero(short[asked] & (size <= KEY_IDS))
+        _, one = np.unique(place[asked[keep]], return_index=True)
+        keep = keep[one]
+        at, mine = place[asked[keep]], asked[keep]
+        self.low[at], self.high[at], self.size[at] = low[mine], high[mine], size[keep]
+        body = np.zeros(len(keep) * KEY_IDS, self.body.dtype)
+        _put(body, KEY_IDS * np.arange(len(keep)), fresh, first[keep], size[keep])
+        self.body[at] = body.reshape(-1, KEY_IDS)
+        return n, out
+
+
 class Encoder:
     """``ids(texts)`` equals ``encode(text, add_special_tokens=False).ids`` of the tokenizer in ``path`` for each text; it
     must drop white space, lower its letters and never join anything over white space (a byte-level word BPE).
 
-    Texts are cut at ASCII white space and each different word is encoded once: words repeat so often that most of a text
-    needs no encoding. Words of plain lower-case letters go through the tokenizer's merges together; all others, and
-    texts that hold a special token as it stands, through the tokenizer itself.
+    Texts are cut at ASCII white space and the different words of a part are looked up among those met before. Words of
+    plain lower-case letters go through the tokenizer's merges together; all others, and texts that hold a special token,
+    through the tokenizer itself.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        # the words stay with the process, which serves many tasks
+        # the words stay with the process, which serves many tasks; this module's own names are new in each of them
         kept = sys.modules.setdefault("_tallyloom_llm_words", types.ModuleType("_tallyloom_llm_words")).__dict__
         if path not in kept:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
             special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-            kept[path] = (tokenizer, WordMerges(tokenizer), special, [{}, {}])
-        self.tokenizer, self.merges, self.special, self.generations = kept[path]
+            kept[path] = (tokenizer, WordMerges(tokenizer), special, WordCache(CACHE_LOG2, tokenizer.get_vocab_size()))
+        self.tokenizer, self.merges, self.special, self.cache = kept[path]
 
     def _one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        (known, older), plain = self.generations, {}
-        for word in words:
-            if word in known:
-                continue
-            if word in older:
-                known[word] = older[word]
-                continue
-            match = LETTERS.fullmatch(word.lower())
-            if match:
-                plain[word] = match.groups()
-            else:
-                known[word] = self._one(word)
-        todo = list({w for w, _ in plain.values()})
-        found = dict(zip(todo, self.merges.ids([w.encode() for w in todo]), strict=True))
-        for mark in {m for _, m in plain.values()}:
-            if mark not in known:
-                known[mark] = self._one(mark)
-        for word, (letters, mark) in plain.items():
-            known[word] = found[letters] + known[mark] if mark else found[letters]
+    def _each(self, words: pa.LargeStringArray) -> Ids:
+        return _joined([self._one(w) if w else b"" for w in words.to_pylist()])
+
+    def _plain(self, words: pa.LargeStringArray) -> Ids:
+        return _joined(self.merges.ids(words.cast(pa.large_binary()).to_pylist()))
+
+    def _encoded(self, words: pa.LargeStringArray) -> Ids:
+        """Words that are not kept: plain ones are looked up once more without the marks behind them."""
+        found = pc.extract_regex(words, LETTERS)
+        plain = found.is_valid()
+        letters, marks = (pc.struct_field(found.filter(plain), k).dictionary_encode() for k in (0, 1))
+        (n, ids), (n_marks, mark_ids) = self.cache.ids(letters.dictionary, self._plain), self._each(marks.dictionary)
+        n_other, others = self._each(words.filter(pc.invert(plain)))
+        word, mark, is_plain = letters.indices.to_numpy(), marks.indices.to_numpy(), plain.to_numpy(zero_copy_only=False)
+        size = np.zeros(len(words), np.int64)
+        size[is_plain], size[~is_plain] = n[word] + n_marks[mark], n_other
+        start, out = np.cumsum(size) - size, np.zeros(int(size.sum()), np.uint32)
+        _put(out, start[is_plain], ids, (np.cumsum(n) - n)[word], n[word])
+        _put(out, start[is_plain] + n[word], mark_ids, (np.cumsum(n_marks) - n_marks)[mark], n_marks[mark])
+        _put(out, start[~is_plain], others, np.cumsum(n_other) - n_other, n_other)
+        return size, out
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text in turn; only a part of the texts is cut into words at a time."""
@@ -158,19 +221,14 @@ class Encoder:
             yield from self._part(part)
 
     def _part(self, part: list[str]) -> Iterator[np.ndarray]:
-        alone = {k for k, t in enumerate(part) if any(s in t for s in self.special)}
-        cut = pc.ascii_split_whitespace(pa.array(["" if k in alone else t for k, t in enumerate(part)], pa.large_string()))
+        # lowering must not make a special token of what was none
+        alone = {k for k, t in enumerate(part) if any(s in t or s in t.lower() for s in self.special)}
+        low = pc.ascii_lower(pa.array(["" if k in alone else t for k, t in enumerate(part)], pa.large_string()))
+        cut = pc.ascii_split_whitespace(low)
         # each different word of the part is looked up once; its places are numbers from then on
         coded = cut.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self._learn(words)
-        known = self.generations[0]
-        ids = [known[w] for w in words]
-        if len(known) > CACHED_WORDS // 2:
-            self.generations[:] = [{}, known]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, start = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
-        place = coded.indices.to_numpy()
+        size, flat = self.cache.ids(coded.dictionary, self._encoded)
+        start, place = np.cumsum(size) - size, coded.indices.to_numpy()
         n = size[place]
         stop = np.concatenate(([0], np.cumsum(n)))
         whole = flat[np.repeat(start[place] - stop[:-1], n) + np.arange(stop[-1])]

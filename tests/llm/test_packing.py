@@ -1,3 +1,4 @@
+import random
 import zlib
 from pathlib import Path
 
@@ -26,6 +27,20 @@ def test_ids_equal_the_tokenizers(spark, tokenizer):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text[:40])
 
 
+@pytest.mark.parametrize("places", [1, 4, 12])
+def test_words_that_displace_each_other(tokenizer, places):
+    rng = random.Random(places)
+    letters = "aabcdeE\u00e9\u00df\u0131\u00c9Z9'.,!\x00-"
+    words = ["".join(rng.choice(letters) for _ in range(rng.choice((1, 2, 3, 5, 15, 16, 17, 60)))) for _ in range(400)]
+    words += ["a", "a\x00", "<|ENDOFTEXT|>", "<|endoftext|>", "x" * 300, "supercalifragilistic", "\u00e9" * 8]
+    encoder = tokens.Encoder(tokens.default_path())
+    encoder.cache = tokens.WordCache(places, 1 << 16)
+    texts = [" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(150)]
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.ids(texts), strict=True):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text[:60])
+
+
 def expected_pieces(tokenizer, docs, end, limit):
     out = []
     for r in docs.collect():
