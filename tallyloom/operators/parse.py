@@ -170,12 +170,14 @@ def parse_tables(landing: DataFrame, spec: ReportSpec, payload: str = "payload",
     tables = with_table_rows(docs.select(*carried, target.alias("demographic"), payload), payload)
     header_row = F.get("table_rows", F.lit(h - 1))
     top_row = F.get("table_rows", F.lit(0)) if spec.top else F.lit(None).cast("string")
-    header_width = F.size("header")
+    header_width = F.col("_header_width")
     by_first = spec.width_from == "first_row"
     out = tables.select(
         *carried,
         "demographic",
         header_cells(header_row).alias("header"),
+        # counted apart from the cells, which are then not made where only their number is asked for
+        F.size(_cells(header_row, 1)).alias("_header_width"),
         F.lower(row_label(header_row)).alias("header_label"),
         _top_cells(top_row, spec).alias("top"),
         F.size(_cells(F.get("table_rows", F.lit(h)), 1)).alias("first_width"),

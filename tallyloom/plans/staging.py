@@ -30,3 +30,12 @@ def exploded(df: DataFrame, array: Column | str, name: str, position: str | None
     else:
         out = made.select(*kept, F.explode_outer(source).alias(name))
     return out.filter(F.col(name).isNotNull())
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal rows out by a hash of the columns ``by``, ahead of work that costs far more than an exchange of the rows.
+
+    A scan gives no more tasks than its files have row groups. Adaptive execution sets the number here: one partition
+    for each core at least, and more of them as the rows outgrow its advisory size.
+    """
+    return df.repartition(F.xxhash64(*by))

@@ -16,6 +16,7 @@ from tallyloom.operators.render import collect_documents, data_row, document, fi
 from tallyloom.operators.signatures import only_known, register, unknown_headers
 from tallyloom.plans import reports
 from tallyloom.plans.specs import CROSS_VISITING_MEASURES, DESKTOP, LOCAL_MARKET, Layout, ReportSpec
+from tallyloom.plans.staging import spread
 from tallyloom.plans.workspace import new_folder
 from tallyloom.sources.config import CATEGORY_SETS, TARGETS, TIMEFRAMES
 from tallyloom.sources.landing import markets, ready_documents as pick_ready
@@ -262,8 +263,8 @@ def _line_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.transform(words(F.get(lines, F.lit(0))), lambda x: F.struct(x.alias("metric"), F.lit(None).cast("string").alias("metric_id")))
     rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
     rows = F.transform(rest, lambda line, i: data_row(i.cast("string"), {}, words(line)))
-    docs = table(spark, sf_dir, "documents").select(
-       
+    # rendering and parsing cost far more than an exchange of the texts, and one file may be a single split
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text").select(
         "doc_id", document(F.array_join(rows, ""), header_row("line", first)).alias("payload")
     )
     return docs

@@ -17,6 +17,7 @@ from tallyloom.operators.parse import (
 )
 from tallyloom.plans import reports
 from tallyloom.plans.specs import AUDIENCE_DUPLICATION, DESKTOP, LOCAL_MARKET, MOBILE, MULTI_PLATFORM, Layout
+from tallyloom.workload import documents
 
 DESKTOP_HEADER = header(["Category", "Attribute", ("Visitors", "1"), ("Minutes", "2")])
 
@@ -226,3 +227,28 @@ def test_desktop_without_category_columns(spark):
     frame = landing(spark, doc(header([("v", "1"), ("w", "2")]), row("M", ["1", "2"])))
     out = reports.desktop(frame, DESKTOP.without_category_columns())
     assert sorted(rows_of(out, "category", "attribute", "metric", "metric_value")) == [("None", "None", "v", 1.0), ("None", "None", "w", 2.0)]
+
+
+def test_one_split_of_documents_is_parsed_by_several_tasks(spark, tmp_path):
+    texts = [f"a b c\n{i} {i}\nx y z" for i in range(200)] + [None, "", None]
+    rows = [(i if i % 50 else None, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be put together again
+    try:
+        tables = documents._line_tables(spark, str(tmp_path))
+        assert tables.count() == len(rows)
+        assert tables.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    found = documents.ragged_quarantine(spark, str(tmp_path))
+    assert {tuple(r) for r in found.groupBy("reject_reason").agg(F.sum("n_rows"), F.sum("n_cells")).collect()} == {
+        (None, 200, 600), ("short_row", 200, 400),
+    }
+
+
+def test_width_without_header_cells(spark):
+    counted = parse_rows(landing(spark, doc(DESKTOP_HEADER, row("A", ["x"]))), documents.TEXT_LINES).select("width", "guard", "reject_reason")
+    assert [tuple(r) for r in counted.collect()] == [(4, 4, "short_row")]
+    # the attributes of the header's cells are not looked for where only their number counts
+    assert r"id\s*=" not in counted._jdf.queryExecution().optimizedPlan().toString()
