@@ -43,6 +43,7 @@ NO_ID = np.iinfo(np.int64).max  # rows without an id come after all others
 MASK = (1 << 48) - 1
 PARTS = 256  # a shard's strings are dealt on by the same key, so that what is sorted together fits a processor's cache
 TOGETHER = 2000  # strings
+ROUNDS = 10  # of a transform, whose symbols are merged at once
 
 KEY, MESSAGE = "__group", "shard int, __group int, body binary"
 
@@ -64,7 +65,10 @@ def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
 
 def _words(data: np.ndarray) -> np.ndarray:
     """The eight bytes from every position on, as a number."""
-    return np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view(np.uint64)[:, 0]
+    out = np.empty(len(data) - 7, np.uint64)
+    for k in range(8):
+        out[k::8] = data[k : k + (len(data) - k) // 8 * 8].view(np.uint64)
+    return out
 
 
 def _smallest_grams(data: np.ndarray) -> np.ndarray:
@@ -109,22 +113,21 @@ def _joined(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray
 def _runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(gram, part, first window, windows)`` of every string in a buffer of texts that end at ``ends``."""
     grams = _smallest_grams(data)
-    at = np.arange(len(grams))
     starts = np.concatenate(([0], ends[:-1]))
-    valid = np.zeros(len(data) + 1, np.int32)
-    np.add.at(valid, starts, 1)
-    np.add.at(valid, ends - WINDOW + 1, -1)
-    inside = np.cumsum(valid)[: len(grams)] > 0
+    inside = np.ones(len(data), bool)
+    inside[(ends[:, None] - np.arange(1, WINDOW)).ravel()] = False  # windows that would go over the end of a text
+    inside = inside[: len(grams)]
     new = np.ones(len(grams), bool)
-    new[1:] = (grams[1:] != grams[:-1]) | ~inside[:-1]
+    np.not_equal(grams[1:], grams[:-1], out=new[1:])
     new[starts] = True
     new &= inside
-    # long runs of one gram (periodic texts) are cut, so that strings stay short
-    first = np.maximum.accumulate(np.where(new, at, 0))
-    new |= inside & ((at - first) % SPAN == 0)
     begin = np.flatnonzero(new)
-    stop = np.flatnonzero(inside & np.append(new[1:] | ~inside[1:], True)) + 1
-    return grams[begin], np.searchsorted(ends, begin, side="right"), begin, stop - begin
+    n = np.flatnonzero(inside & np.append(new[1:] | ~inside[1:], True)) + 1 - begin
+    if n.max(initial=0) > SPAN:  # long runs of one gram (periodic texts) are cut, so that strings stay short
+        times = -(-n // SPAN)
+        done = SPAN * (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
+        begin, n = np.repeat(begin, times) + done, np.minimum(np.repeat(n, times) - done, SPAN)
+    return grams[begin], np.searchsorted(ends, begin, side="right"), begin, n
 
 
 def _texts(table: pa.Table) -> list[bytes]:
@@ -203,16 +206,20 @@ def _strings(shards: int, key: str) -> Callable:
             g, part, begin, n = _runs(data, ends)
             at = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
             keep = np.flatnonzero(grams[at] == g)
-            for s, w, d, to, cut in zip(begin[keep].tolist(), n[keep].tolist(), ids[which[part[keep]]].tolist(), g[keep].tolist(), hot[at[keep]].tolist(), strict=True):
-                for i, m in ((i, 1) for i in range(s, s + w)) if cut else ((s, w),):
-                    string = raw[i : i + m + WINDOW - 1]
-                    seen = found.get(string)
-                    if seen is None:
-                        found[string] = [xxhash.xxh64_intdigest(string, 7) & MASK if cut else to, d, d]
-                    elif d < seen[1]:
-                        seen[1] = d
-                    elif d > seen[2]:
-                        seen[2] = d
+            begin, n, doc, to, cut = begin[keep], n[keep], ids[which[part[keep]]], g[keep], hot[at[keep]]
+            if cut.any():  # a string for each of their windows
+                times = np.where(cut, n, 1)
+                step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                begin, n, doc, to, cut = np.repeat(begin, times) + step, np.repeat(np.where(cut, 1, n), times), np.repeat(doc, times), np.repeat(to, times), np.repeat(cut, times)
+            for s, e, d, gram, single in zip(begin.tolist(), (begin + n + WINDOW - 1).tolist(), doc.tolist(), to.tolist(), cut.tolist(), strict=True):
+                string = raw[s:e]
+                seen = found.get(string)
+                if seen is None:
+                    found[string] = [xxhash.xxh64_intdigest(string, 7) & MASK if single else gram, d, d]
+                elif d < seen[1]:
+                    seen[1] = d
+                elif d > seen[2]:
+                    seen[2] = d
         rows = sorted((v[0] % shards, k, v[1], v[2], v[0] // shards % PARTS) for k, v in found.items())
         shard = np.array([r[0] for r in rows], np.int64)
         group, out = docs.column(key)[0].as_py(), []
@@ -234,24 +241,49 @@ def transform(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarr
     Round j puts the symbol before the suffix of length j of every string that has one into the transform of all
     shorter suffixes. Where it goes follows from the symbol put in the round before: its rank among the equal symbols
     of the transform so far, after all smaller ones.
+
+    The symbols of ``ROUNDS`` rounds are kept apart (``recent``, with the place in ``whole`` that each goes before) and
+    then merged at once, so that most rounds rank and move these few and look ranks in ``whole`` up by bisection.
     """
-    n = len(sizes)
-    bwt, place, live = data[ends - 1].copy(), np.arange(n), np.arange(n)
-    for j in range(1, int(sizes.max(initial=0)) + 1):
-        order = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(bwt), np.int32)
-        rank[order] = np.arange(len(bwt), dtype=np.int32)
-        going = sizes[live] >= j
-        place, live = place[going], live[going]
-        place = n + rank[place] - np.count_nonzero(bwt == 0)
-        more = sizes[live] > j
-        symbol = np.where(more, data[ends[live] - 1 - np.where(more, j, 0)], 0).astype(np.uint8)
-        grown, old = np.empty(len(bwt) + len(live), np.uint8), np.ones(len(bwt) + len(live), bool)
-        old[place] = False
-        grown[old] = bwt
-        grown[place] = symbol
-        bwt = grown
-    return bwt
+    n, rounds = len(sizes), int(sizes.max(initial=0))
+    whole, place, live = data[ends - 1].copy(), np.arange(n), np.arange(n)
+    for first in range(1, rounds + 1, ROUNDS):
+        order = np.argsort(whole, kind="stable")[np.count_nonzero(whole == 0) :]
+        wide = len(whole) + 1
+        keys = whole[order].astype(np.int64) * wide + order
+        latest = np.zeros(len(whole), bool)
+        latest[place] = True
+        # of so many smaller symbols, those whose own suffixes are not in ``whole`` yet
+        ahead = np.concatenate(([0], np.cumsum(latest[order])))
+        recent, before, newest = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, bool)
+        spot, symbol = place, whole[place]
+        for j in range(first, min(first + ROUNDS, rounds + 1)):
+            # the strings by the places of their suffixes of length j; those that have ended come first
+            ended = np.count_nonzero(symbol == 0)
+            by = np.argsort(symbol, kind="stable")[ended:]
+            live = live[by]
+            rank = np.searchsorted(keys, symbol[by].astype(np.int64) * wide + spot[by])
+            spot, at = n + rank - ahead[rank], ahead[rank]
+            if len(recent):
+                at = at + np.flatnonzero(newest[np.argsort(recent, kind="stable")])[ended:] - np.count_nonzero(recent == 0)
+            more = sizes[live] > j
+            symbol = np.where(more, data[ends[live] - 1 - np.where(more, j, 0)], 0).astype(np.uint8)
+            newest = np.zeros(len(recent) + len(live), bool)
+            newest[at] = True
+            recent, before = _inserted(recent, symbol, newest, at), _inserted(before, spot, newest, at)
+        at = before + np.arange(len(before))
+        place = at[newest]
+        added = np.zeros(len(whole) + len(recent), bool)
+        added[at] = True
+        whole = _inserted(whole, recent, added, at)
+    return whole
+
+
+def _inserted(old: np.ndarray, new: np.ndarray, is_new: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.empty(len(is_new), old.dtype)
+    out[~is_new] = old
+    out[at] = new
+    return out
 
 
 def sorted_windows(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -348,9 +380,13 @@ def _marks(docs: pa.Table, told: pa.Table) -> Iterator[tuple[bytes, np.ndarray]]
         order = np.argsort(digest, kind="stable")
         digest, offset, length, smallest = digest[order], offset[order].astype(np.int64), length[order].astype(np.int64), smallest[order]
         cut = np.unique(np.concatenate([g[h] for g, h in hot])) if hot else np.zeros(0, np.uint64)
+        sent = np.sort(np.concatenate([g for g, _ in hot])) if hot else np.zeros(0, np.uint64)
         for data, which, shift, ends in _slices(texts):
             raw = data.tobytes()
-            g, part, begin, n = _runs(data, ends)
+            # no other strings than those of repeated grams have been sent
+            runs = _runs(data, ends)
+            repeated = np.searchsorted(sent, runs[0]) < np.searchsorted(sent, runs[0], side="right")
+            g, part, begin, n = (x[repeated] for x in runs)
             if len(cut):  # strings of hot grams were sent as single windows
                 single = np.isin(g, cut)
                 times = np.where(single, n, 1)

@@ -73,3 +73,35 @@ def test_transform_orders_suffixes():
     string, offset = repeats.sorted_windows(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes), sizes, 2)
     seen = [words[s][o:] for s, o in zip(string, offset, strict=True)]
     assert seen == sorted(seen) and len(seen) == sum(len(w) - 1 for w in words)
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 7, 100])
+def test_transform_whatever_rounds_are_merged_at_once(monkeypatch, rounds):
+    monkeypatch.setattr(repeats, "ROUNDS", rounds)
+    rng = np.random.default_rng(rounds)
+    for letters in (b"ab", b"abcdez\xff"):
+        words = [bytes(rng.choice(list(letters), rng.integers(1, 30)).tolist()) for _ in range(40)] * 2
+        sizes = np.array([len(w) for w in words])
+        # ties between equal suffixes go by the order of the strings
+        suffixes = sorted((w[o:], k, w[o - 1] if o else 0) for k, w in enumerate(words) for o in range(len(w) + 1))
+        got = repeats.transform(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes), sizes)
+        assert got.tolist() == [before for _, _, before in suffixes]
+
+
+def test_transform_sorts_few_symbols_a_round(monkeypatch):
+    rng = np.random.default_rng(1)
+    sizes = np.full(500, 84)
+    data, sort, seen = rng.integers(97, 123, sizes.sum()).astype(np.uint8), np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **k: (seen.append(len(x)), sort(x, *a, **k))[1])
+    repeats.transform(data, np.cumsum(sizes), sizes)
+    assert sum(seen) < 20 * len(data)  # sorting the whole transform in every round takes 43 times
+
+
+def test_runs_of_a_buffer():
+    texts = [b"a" * 130, b"b" * 50, bytes(range(1, 120)) * 2]
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    _, part, begin, n = repeats._runs(data, ends)
+    assert n.max() <= repeats.SPAN and n.min() > 0
+    for k, text in enumerate(texts):  # every window of every text is in one run, in order
+        at = [i for b, m in zip(begin[part == k], n[part == k], strict=True) for i in range(b, b + m)]
+        assert at == list(range(ends[k] - len(text), ends[k] - repeats.WINDOW + 1))
