@@ -5,15 +5,17 @@ The construction inserts one symbol of every string each round. Whole documents
 longest has bytes, so the collection is first cut into short strings, none longer than ``2 * WINDOW - GRAM`` bytes, such
 that every window of ``WINDOW`` bytes lies whole in one of them and equal windows meet in one shard:
 
-1. ``_anchors``: a window belongs to its smallest hashed gram; runs of windows with one gram are a string.
-2. ``_repeated``: grams that only one document has cannot hold a repeat; the rest are told to the groups that have them.
-3. ``_strings``: the strings of repeated grams, each once per group of documents, go to the gram's shard.
+1. ``_anchors``: a window belongs to its core, the ``CORE`` bytes that begin or end with its smallest hashed gram; runs of
+   windows with one core are a string.
+2. ``_repeated``: cores that only one document has cannot hold a repeat; the rest are told to the groups that have them.
+3. ``_strings``: the strings of repeated cores, each once per group of documents, go to the core's shard.
 4. ``_answers``: a shard builds its transform column by column, reads the sorted windows off it, and finds for each
    class of equal windows the smallest document; the answers go back to the groups.
 5. ``_removed``: every byte under a window that a smaller document also has is marked.
 
-Documents are dealt into groups of ``GROUP_BYTES`` by a hash; the exchange that does so is used by steps 1, 3 and 5.
-What steps 1-4 send on are packed arrays, one row for each group and shard.
+Documents are dealt into groups of ``GROUP_BYTES`` or more by a hash; the exchange that does so is used by steps 1, 3
+and 5. What steps 1-4 send on are packed arrays, one row for each group and shard. Groups grow with the root of the
+input, so these rows grow with the input and not with its square.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +35,14 @@ from tallyloom.llm.common import free_name, groups_for, text_bytes
 WINDOW = 50
 GRAM = 16
 SPAN = WINDOW - GRAM + 1  # grams of a window, and windows of a string at most
+CORE = WINDOW - SPAN // 2  # a gram has so many bytes on one side at least, itself included, in every window that holds it
 GROUP_BYTES = 2 << 20
+#: Beyond so many groups their size grows as their number does, up to so many times.
+GROUPS, GROWN = 128, 8
 SLICE = 1 << 20  # bytes that are looked at together
-#: A gram that more groups than this hold is hot: its strings are cut into single windows, dealt by their own hash.
-HOT_GROUPS = 512
+PLACE = (1 << 22) - 1  # the bits of a position in a slice, which holds less than 2 * SLICE + WINDOW bytes
+#: A core with more strings than this, over all groups, is hot: they are cut into single windows, dealt by their own hash.
+HOT_STRINGS = 1 << 15
 NO_ID = np.iinfo(np.int64).max  # rows without an id come after all others
 
 MASK = (1 << 48) - 1
@@ -48,18 +53,26 @@ ROUNDS = 10  # of a transform, whose symbols are merged at once
 KEY, MESSAGE = "__group", "shard int, __group int, body binary"
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed message; their element types are fixed by the step."""
-    parts = [np.array([len(a) for a in arrays], dtype=np.int64).tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+def _packed(parts: list[tuple[np.ndarray, ...]]) -> list[bytes]:
+    """Tuples of arrays as a compressed message each; their element types are fixed by the step. Wider elements go byte
+    by byte, all first bytes before all second ones, as the upper bytes of sorted or small numbers are much the same."""
+    compress, out = zstandard.ZstdCompressor(level=1).compress, []
+    for arrays in parts:
+        bodies = (a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if a.itemsize > 1 and len(a) else a.tobytes() for a in arrays)
+        out.append(compress(b"".join((np.array([len(a) for a in arrays], dtype=np.int64).tobytes(), *bodies))))
+    return out
 
 
-def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(body)
-    out, at = [], 8 * len(kinds)
-    for n, kind in zip(np.frombuffer(raw, np.int64, len(kinds)).tolist(), kinds, strict=True):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
+def _unpacked(bodies: pa.ChunkedArray, *kinds: str) -> list[tuple[np.ndarray, ...]]:
+    decompress, sizes = zstandard.ZstdDecompressor().decompress, [np.dtype(k).itemsize for k in kinds]
+    out = []
+    for body in bodies.to_pylist():
+        raw, at, arrays = decompress(body), 8 * len(kinds), []
+        for n, kind, size in zip(np.frombuffer(raw, np.int64, len(kinds)).tolist(), kinds, sizes, strict=True):
+            planes = np.frombuffer(raw, np.uint8, n * size, at)
+            arrays.append((planes if size == 1 else np.ascontiguousarray(planes.reshape(size, n).T).reshape(-1)).view(kind))
+            at += n * size
+        out.append(tuple(arrays))
     return out
 
 
@@ -71,16 +84,37 @@ def _words(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _smallest_grams(data: np.ndarray) -> np.ndarray:
-    """For every window of ``data``, the smallest hash of its grams (48 bits)."""
-    eight = _words(data)
-    h = eight[: len(data) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
+def _hashed(words: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the ``size`` bytes, 8 at least, from every position of ``begin`` on; ``words`` are those of ``_words``."""
+    out, last = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), begin + size - 8
+    for at in range(0, size.max(initial=0), 8):
+        some = slice(None) if at < size.min() else np.flatnonzero(size > at)
+        # words are mixed before they are joined, as texts differ in few bits and at regular places
+        word = words[np.minimum(begin[some] + at, last[some])]
+        word ^= word >> np.uint64(32)
+        word *= np.uint64(0xD6E8FEB86659FD93)
+        word ^= word >> np.uint64(32)
+        word *= np.uint64(0xD6E8FEB86659FD93)
+        word ^= word >> np.uint64(32)
+        word ^= out[some]
+        word *= np.uint64(0xBF58476D1CE4E5B9)
+        word ^= word >> np.uint64(31)
+        out[some] = word
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(29)
+    return out
+
+
+def _smallest_grams(eight: np.ndarray) -> np.ndarray:
+    """For every window, the gram of smallest hash, of equal ones the first: its hash, with its place in the low bits."""
+    h = eight[: len(eight) - (GRAM - 8)] * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h += eight[GRAM - 8 :]
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0x94D049BB133111EB)
-    h >>= np.uint64(16)
+    h &= np.uint64(~PLACE & (1 << 64) - 1)
+    h |= np.arange(len(h), dtype=np.uint64)
     width = 1
     while 2 * width <= SPAN:
         h = np.minimum(h[:-width], h[width:])
@@ -110,9 +144,15 @@ def _joined(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(b"".join(p for _, _, p in parts), np.uint8), np.array([k for k, _, _ in parts]), np.array([at for _, at, _ in parts]) - starts, ends
 
 
-def _runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(gram, part, first window, windows)`` of every string in a buffer of texts that end at ``ends``."""
-    grams = _smallest_grams(data)
+def _runs(data: np.ndarray, ends: np.ndarray, eight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(core, part, first window, windows)`` of every string in a buffer of texts that end at ``ends``; ``eight`` are
+    its words, a core is known by 48 bits of its hash.
+
+    Of the windows that hold a gram the earlier have more bytes before it; their core ends with it, that of the others
+    begins with it. Which bytes are a window's core follows from the window alone.
+    """
+    eight = _words(data) if eight is None else eight
+    grams = _smallest_grams(eight)
     starts = np.concatenate(([0], ends[:-1]))
     inside = np.ones(len(data), bool)
     inside[(ends[:, None] - np.arange(1, WINDOW)).ravel()] = False  # windows that would go over the end of a text
@@ -123,11 +163,29 @@ def _runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     new &= inside
     begin = np.flatnonzero(new)
     n = np.flatnonzero(inside & np.append(new[1:] | ~inside[1:], True)) + 1 - begin
-    if n.max(initial=0) > SPAN:  # long runs of one gram (periodic texts) are cut, so that strings stay short
+    gram = (grams[begin] & np.uint64(PLACE)).astype(np.int64)
+    before = np.clip(gram - SPAN // 2 + 1 - begin, 0, n)  # windows with the gram in their later half
+    first = np.stack((begin, begin + before), 1).ravel()
+    core = np.stack((gram - SPAN // 2, gram), 1).ravel()
+    n = np.stack((before, n - before), 1).ravel()
+    core, begin, n = core[n > 0], first[n > 0], n[n > 0]
+    key = _hashed(eight, core, np.full(len(core), CORE)) & np.uint64(MASK)
+    joint = (key[1:] == key[:-1]) & (begin[1:] == begin[:-1] + n[:-1])
+    if joint.any():  # windows of periodic texts that move from one gram to an equal one
+        head = np.flatnonzero(np.append(True, ~joint))
+        key, begin, n = key[head], begin[head], np.add.reduceat(n, head)
+    if n.max(initial=0) > SPAN:  # their runs are cut, so that strings stay short
         times = -(-n // SPAN)
         done = SPAN * (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
-        begin, n = np.repeat(begin, times) + done, np.minimum(np.repeat(n, times) - done, SPAN)
-    return grams[begin], np.searchsorted(ends, begin, side="right"), begin, n
+        key, begin, n = np.repeat(key, times), np.repeat(begin, times) + done, np.minimum(np.repeat(n, times) - done, SPAN)
+    return key, np.searchsorted(ends, begin, side="right"), begin, n
+
+
+def _singles(cut: np.ndarray, begin: np.ndarray, n: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The strings, a string for each window of those that are ``cut``."""
+    times = np.where(cut, n, 1)
+    step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.repeat(cut, times), np.repeat(begin, times) + step, np.repeat(np.where(cut, 1, n), times), *(np.repeat(x, times) for x in others)
 
 
 def _texts(table: pa.Table) -> list[bytes]:
@@ -138,55 +196,73 @@ def _ids(table: pa.Table) -> np.ndarray:
     return table.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy()
 
 
+def _shard(cores: np.ndarray, shards: int) -> np.ndarray:
+    """Shards have ranges of the 48 bits, so what is sorted by core is sorted by shard."""
+    return (cores >> np.uint64(16)) * np.uint64(shards) >> np.uint64(32)
+
+
 def _dealt(shards: np.ndarray, group: int, *arrays: np.ndarray) -> pa.Table:
     """One message for each shard, of the rows of ``arrays`` that belong to it; sorted by shard already."""
     which, starts = np.unique(shards, return_index=True)
     stops = np.append(starts, len(shards))[1:]
-    bodies = [_pack(*(a[s:e] for a in arrays)) for s, e in zip(starts.tolist(), stops.tolist(), strict=True)]
-    return pa.table({"shard": pa.array(which, pa.int32()), KEY: pa.array([group] * len(which), pa.int32()), "body": pa.array(bodies, pa.binary())})
+    return _messages(which, group, [tuple(a[s:e] for a in arrays) for s, e in zip(starts.tolist(), stops.tolist(), strict=True)])
+
+
+def _messages(shards: np.ndarray | list[int], group: int, parts: list[tuple[np.ndarray, ...]]) -> pa.Table:
+    return pa.table({"shard": pa.array(shards, pa.int32()), KEY: pa.array([group] * len(parts), pa.int32()), "body": pa.array(_packed(parts), pa.binary())})
+
+
+def _sent_on(table: pa.Table) -> pa.Table:
+    """Messages that were dealt by group instead of by shard."""
+    return pa.table({"shard": pa.array([0] * len(table), pa.int32()), KEY: table.column("shard"), "body": table.column("body")})
 
 
 def _anchors(shards: int, key: str) -> Callable:
     def run(table: pa.Table) -> pa.Table:
-        ids, grams, docs = _ids(table), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        ids, cores, sides, docs = _ids(table), [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for data, which, _, ends in _slices(_texts(table)):
-            g, part, _, _ = _runs(data, ends)
-            grams.append(g)
+            eight = _words(data)
+            g, part, begin, n = _runs(data, ends, eight)
+            cores.append(g)
+            # strings of one core are told apart by their length and ends; this is for counting them only
+            sides.append(eight[begin] * np.uint64(0x9E3779B97F4A7C15) + eight[begin + n + WINDOW - 9] * np.uint64(0xBF58476D1CE4E5B9) + n.astype(np.uint64))
             docs.append(ids[which[part]])
-        g, d = np.concatenate(grams), np.concatenate(docs)
-        order = np.lexsort((d, g))
-        g, d = g[order], d[order]
-        new = np.append(True, g[1:] != g[:-1])[: len(g)]
-        start = np.flatnonzero(new)
-        several = d[start] != d[np.append(start[1:], len(g)) - 1] if len(g) else np.zeros(0, bool)
+        g, side, d = np.concatenate(cores), np.concatenate(sides), np.concatenate(docs)
+        order = np.argsort(g)
+        g = g[order]
+        start = np.flatnonzero(np.append(True, g[1:] != g[:-1])[: len(g)])
+        n = np.diff(np.append(start, len(g)))
+        several, strings = np.zeros(len(start), bool), np.ones(len(start), np.uint16)
+        if (n > 1).any():
+            more = np.repeat(n > 1, n)
+            g_more, order = g[more], order[more]
+            order = order[np.lexsort((side[order], g_more))]
+            d, sides = d[order], side[order]
+            first = np.cumsum(n[n > 1]) - n[n > 1]
+            several[n > 1] = np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first)
+            new = np.append(True, sides[1:] != sides[:-1])
+            new[first] = True
+            strings[n > 1] = np.minimum(np.add.reduceat(new, first, dtype=np.int64), 0xFFFF)
         g = g[start]
-        order = np.argsort(g % np.uint64(shards), kind="stable")
-        g, several = g[order], several[order]
-        # six bytes hold a gram
-        body = g.view(np.uint8).reshape(-1, 8)[:, :6].copy().view("S6")[:, 0] if len(g) else np.zeros(0, "S6")
-        return _dealt(g % np.uint64(shards), table.column(key)[0].as_py(), body, several)
+        return _dealt(_shard(g, shards), table.column(key)[0].as_py(), g, several, strings)
 
     return run
 
 
-def _grams(body: np.ndarray) -> np.ndarray:
-    wide = np.zeros((len(body), 8), np.uint8)
-    wide[:, :6] = body.view(np.uint8).reshape(-1, 6)
-    return wide.view(np.uint64)[:, 0]
-
-
-def _repeated(hot_groups: int) -> Callable:
+def _repeated(hot_strings: int) -> Callable:
     def run(table: pa.Table) -> pa.Table:
-        groups = table.column(KEY).to_numpy()
-        parts = [_unpack(x.as_py(), "S6", "?") for x in table.column("body")]
-        grams, several = np.concatenate([_grams(g) for g, _ in parts]), np.concatenate([s for _, s in parts])
-        owner = np.repeat(groups, [len(g) for g, _ in parts])
-        values, at, n = np.unique(grams, return_inverse=True, return_counts=True)
-        kept = (n > 1) | (np.bincount(at, several, len(values)) > 0)
-        kept, hot, owner, grams = kept[at], (n > hot_groups)[at][kept[at]], owner[kept[at]], grams[kept[at]]
+        parts = _unpacked(table.column("body"), "u8", "?", "u2")
+        owner = np.repeat(table.column(KEY).to_numpy(), [len(g) for g, _, _ in parts])
+        cores, several, strings = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(cores)
+        cores, owner, several, strings = cores[order], owner[order], several[order], strings[order]
+        start = np.flatnonzero(np.append(True, cores[1:] != cores[:-1])[: len(cores)])
+        n = np.diff(np.append(start, len(cores)))
+        kept = np.repeat((n > 1) | np.logical_or.reduceat(several, start), n)
+        hot = np.repeat(np.add.reduceat(strings, start, dtype=np.int64) > hot_strings, n)[kept]
+        cores, owner = cores[kept], owner[kept]
         order = np.argsort(owner, kind="stable")
-        out = _dealt(owner[order], 0, grams[order], hot[order])
-        return pa.table({"shard": pa.array([0] * len(out), pa.int32()), KEY: out.column("shard"), "body": out.column("body")})
+        return _sent_on(_dealt(owner[order], 0, cores[order], hot[order]))
 
     return run
 
@@ -194,43 +270,44 @@ def _repeated(hot_groups: int) -> Callable:
 def _strings(shards: int, key: str) -> Callable:
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         if not len(told) or not len(docs):
-            return pa.table({"shard": pa.array([], pa.int32()), KEY: pa.array([], pa.int32()), "body": pa.array([], pa.binary())})
-        parts = [_unpack(x.as_py(), "u8", "?") for x in told.column("body")]
-        grams, hot = np.concatenate([g for g, _ in parts]), np.concatenate([h for _, h in parts])
-        order = np.argsort(grams)
-        grams, hot = grams[order], hot[order]
+            return _messages([], 0, [])
+        cores, hot = (np.concatenate(x) for x in zip(*_unpacked(told.column("body"), "u8", "?"), strict=True))
+        order = np.argsort(cores)
+        cores, hot = cores[order], hot[order]
         ids = _ids(docs)
-        found: dict[bytes, list[int]] = {}  # string -> shard, smallest and largest document
+        found: dict[int, bytes] = {}  # strings by their hashes
+        rows = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for data, which, _, ends in _slices(_texts(docs)):
-            raw = data.tobytes()
-            g, part, begin, n = _runs(data, ends)
-            at = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
-            keep = np.flatnonzero(grams[at] == g)
+            raw, eight = data.tobytes(), _words(data)
+            g, part, begin, n = _runs(data, ends, eight)
+            at = np.minimum(np.searchsorted(cores, g), len(cores) - 1)
+            keep = np.flatnonzero(cores[at] == g)
             begin, n, doc, to, cut = begin[keep], n[keep], ids[which[part[keep]]], g[keep], hot[at[keep]]
-            if cut.any():  # a string for each of their windows
-                times = np.where(cut, n, 1)
-                step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                begin, n, doc, to, cut = np.repeat(begin, times) + step, np.repeat(np.where(cut, 1, n), times), np.repeat(doc, times), np.repeat(to, times), np.repeat(cut, times)
-            for s, e, d, gram, single in zip(begin.tolist(), (begin + n + WINDOW - 1).tolist(), doc.tolist(), to.tolist(), cut.tolist(), strict=True):
-                string = raw[s:e]
-                seen = found.get(string)
-                if seen is None:
-                    found[string] = [xxhash.xxh64_intdigest(string, 7) & MASK if single else gram, d, d]
-                elif d < seen[1]:
-                    seen[1] = d
-                elif d > seen[2]:
-                    seen[2] = d
-        rows = sorted((v[0] % shards, k, v[1], v[2], v[0] // shards % PARTS) for k, v in found.items())
-        shard = np.array([r[0] for r in rows], np.int64)
-        group, out = docs.column(key)[0].as_py(), []
-        which, starts = np.unique(shard, return_index=True)
-        for s, e in zip(starts.tolist(), [*starts.tolist(), len(rows)][1:], strict=True):
-            mine = rows[s:e]
-            size = np.array([len(r[1]) for r in mine], np.uint8)
-            low, high = np.array([r[2] for r in mine], np.int64), np.array([r[3] for r in mine], np.int64)
-            part = np.array([r[4] for r in mine], np.uint8)
-            out.append(_pack(np.frombuffer(b"".join(r[1] for r in mine), np.uint8), size, low, high, part))
-        return pa.table({"shard": pa.array(which, pa.int32()), KEY: pa.array([group] * len(which), pa.int32()), "body": pa.array(out, pa.binary())})
+            if cut.any():
+                cut, begin, n, doc, to = _singles(cut, begin, n, doc, to)
+            size = n + WINDOW - 1
+            digest = _hashed(eight, begin, size)
+            rows.append((digest, np.where(cut, digest & np.uint64(MASK), to), doc))
+            some, first = np.unique(digest, return_index=True)
+            for d, s, e in zip(some.tolist(), begin[first].tolist(), (begin + size)[first].tolist(), strict=True):
+                if d not in found:
+                    found[d] = raw[s:e]
+        digest, to, doc = (np.concatenate(x) for x in zip(*rows, strict=True))
+        order = np.argsort(digest)
+        digest, to, doc = digest[order], to[order], doc[order]
+        start = np.flatnonzero(np.append(True, digest[1:] != digest[:-1])[: len(digest)])
+        digest, to, low, high = digest[start], to[start], np.minimum.reduceat(doc, start), np.maximum.reduceat(doc, start)
+        order = np.argsort(to)
+        digest, to, low, high = digest[order], to[order], low[order], high[order]
+        part = (to % np.uint64(PARTS)).astype(np.uint8)
+        texts = [found[d] for d in digest.tolist()]
+        size = np.array([len(t) for t in texts], np.uint8)
+        which, starts = np.unique(_shard(to, shards), return_index=True)
+        out, cut = [], cores[hot]  # which cores are hot goes along once, to come back with the answers
+        for s, e in zip(starts.tolist(), [*starts.tolist(), len(texts)][1:], strict=True):
+            out.append((np.frombuffer(b"".join(texts[s:e]), np.uint8), size[s:e], low[s:e], high[s:e] - low[s:e], part[s:e], cut))
+            cut = cut[:0]
+        return _messages(which, docs.column(key)[0].as_py(), out)
 
     return run
 
@@ -325,19 +402,21 @@ def _classes(strings: list[bytes], least: np.ndarray, most: np.ndarray) -> tuple
 
 
 def _answers(table: pa.Table) -> pa.Table:
-    groups, owner, strings, low, high, parts = table.column(KEY).to_pylist(), [], [], [], [], []
-    for group, body in zip(groups, table.column("body"), strict=True):
-        raw, size, a, b, part = _unpack(body.as_py(), "u1", "u1", "i8", "i8", "u1")
+    groups, owner, strings, low, high, parts, cuts = table.column(KEY).to_pylist(), [], [], [], [], [], []
+    for group, (raw, size, least, more, part, cut) in zip(groups, _unpacked(table.column("body"), "u1", "u1", "i8", "i8", "u1", "u8"), strict=True):
         raw, end = raw.tobytes(), np.cumsum(size, dtype=np.int64)
         strings += [raw[e - s : e] for e, s in zip(end.tolist(), size.tolist(), strict=True)]
         owner.append(np.full(len(size), group, np.int64))
-        low.append(a)
-        high.append(b)
+        low.append(least)
+        high.append(least + more)
         parts.append(part)
+        if len(cut):
+            cuts.append((group, cut))
     owner, low, high, parts = (np.concatenate(x) for x in (owner, low, high, parts))
     number: dict[bytes, int] = {}
     which = np.array([number.setdefault(s, len(number)) for s in strings], np.int64)
     distinct = list(number)
+    del strings, number
     least, most = np.full(len(distinct), NO_ID, np.int64), np.full(len(distinct), np.iinfo(np.int64).min, np.int64)
     np.minimum.at(least, which, low)
     np.maximum.at(most, which, high)
@@ -357,7 +436,8 @@ def _answers(table: pa.Table) -> pa.Table:
     begin = np.flatnonzero(new)
     length = np.diff(np.append(begin, len(string)))
     string, offset, smallest = string[begin], offset[begin], smallest[begin]
-    digest = np.array([xxhash.xxh64_intdigest(s) for s in distinct], np.uint64)
+    size = np.array([len(s) for s in distinct], np.int64)
+    digest = _hashed(_words(np.frombuffer(b"".join(distinct), np.uint8)), np.cumsum(size) - size, size)
     # every group that sent a string gets its runs
     at, stop = np.searchsorted(string, which), np.searchsorted(string, which, side="right")
     n = stop - at
@@ -365,46 +445,42 @@ def _answers(table: pa.Table) -> pa.Table:
     to = np.repeat(owner, n)
     order = np.argsort(to, kind="stable")
     run_of, to = run_of[order], to[order]
-    out = _dealt(to, 0, digest[string[run_of]], offset[run_of].astype(np.uint8), length[run_of].astype(np.uint8), smallest[run_of])
-    return pa.table({"shard": pa.array([0] * len(out), pa.int32()), KEY: out.column("shard"), "body": out.column("body")})
+    none = np.zeros(0, np.uint64)
+    out = _dealt(to, 0, digest[string[run_of]], offset[run_of].astype(np.uint8), length[run_of].astype(np.uint8), smallest[run_of], none)
+    hot = _messages([g for g, _ in cuts], 0, [(none, *(np.zeros(0, np.uint8),) * 2, np.zeros(0, np.int64), c) for _, c in cuts])
+    return _sent_on(pa.concat_tables([out, hot]))
 
 
 def _marks(docs: pa.Table, told: pa.Table) -> Iterator[tuple[bytes, np.ndarray]]:
     """Every text of a group with the mask of its removed bytes."""
     texts, ids = _texts(docs), _ids(docs)
-    removed = [np.zeros(len(t) + 1, np.int32) for t in texts]
-    answers = [_unpack(b.as_py(), "u8", "u1", "u1", "i8") for s, b in zip(told.column("shard"), told.column("body"), strict=True) if s.as_py() >= 0]
-    hot = [_unpack(b.as_py(), "u8", "?") for s, b in zip(told.column("shard"), told.column("body"), strict=True) if s.as_py() < 0]
-    if answers:
-        digest, offset, length, smallest = (np.concatenate(x) for x in zip(*answers, strict=True))
+    base = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    # by how much more windows cover a byte than the one before; a byte has WINDOW at most
+    change = np.zeros(base[-1], np.int8)
+    if len(told):
+        digest, offset, length, smallest, cut = (np.concatenate(x) for x in zip(*_unpacked(told.column("body"), "u8", "u1", "u1", "i8", "u8"), strict=True))
         order = np.argsort(digest, kind="stable")
         digest, offset, length, smallest = digest[order], offset[order].astype(np.int64), length[order].astype(np.int64), smallest[order]
-        cut = np.unique(np.concatenate([g[h] for g, h in hot])) if hot else np.zeros(0, np.uint64)
-        sent = np.sort(np.concatenate([g for g, _ in hot])) if hot else np.zeros(0, np.uint64)
-        for data, which, shift, ends in _slices(texts):
-            raw = data.tobytes()
-            # no other strings than those of repeated grams have been sent
-            runs = _runs(data, ends)
-            repeated = np.searchsorted(sent, runs[0]) < np.searchsorted(sent, runs[0], side="right")
-            g, part, begin, n = (x[repeated] for x in runs)
-            if len(cut):  # strings of hot grams were sent as single windows
-                single = np.isin(g, cut)
-                times = np.where(single, n, 1)
-                step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                begin, part, n = np.repeat(begin, times) + step, np.repeat(part, times), np.repeat(np.where(single, 1, n), times)
-            mine = np.fromiter((xxhash.xxh64_intdigest(raw[s : s + w + WINDOW - 1]) for s, w in zip(begin.tolist(), n.tolist(), strict=True)), np.uint64, len(begin))
-            at, stop = np.searchsorted(digest, mine), np.searchsorted(digest, mine, side="right")
-            times = stop - at
+        for data, which, shift, ends in _slices(texts) if len(digest) else ():
+            eight = _words(data)
+            g, part, begin, n = _runs(data, ends, eight)
+            if len(cut):  # strings of hot cores were sent as single windows
+                _, begin, n, part = _singles(np.isin(g, cut), begin, n, part)
+            mine = _hashed(eight, begin, n + WINDOW - 1)
+            at = np.searchsorted(digest, mine)
+            known = np.flatnonzero(digest[np.minimum(at, len(digest) - 1)] == mine)
+            at, mine, begin, part = at[known], mine[known], begin[known], part[known]
+            times = np.searchsorted(digest, mine, side="right") - at
             row = np.repeat(np.arange(len(mine)), times)
             answer = np.repeat(at, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             late = smallest[answer] < ids[which[part[row]]]
             row, answer = row[late], answer[late]
-            first = begin[row] + shift[part[row]] + offset[answer]
-            for k, s, w in zip(which[part[row]].tolist(), first.tolist(), length[answer].tolist(), strict=True):
-                removed[k][s] += 1
-                removed[k][s + w + WINDOW - 1] -= 1
-    for text, change in zip(texts, removed, strict=True):
-        yield text, np.cumsum(change[:-1]) > 0
+            first = base[which[part[row]]] + begin[row] + shift[part[row]] + offset[answer]
+            np.add.at(change, first, 1)
+            np.subtract.at(change, first + length[answer] + WINDOW - 1, 1)
+    mask = np.cumsum(change, dtype=np.int8) > 0
+    for text, start in zip(texts, base.tolist(), strict=False):
+        yield text, mask[start : start + len(text)]
 
 
 DIGESTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -431,22 +507,27 @@ def _rewritten(columns: list[str]) -> Callable:
     return run
 
 
-def _each_group(docs: DataFrame, last: Callable, schema, hot_groups: int, group_bytes: int) -> DataFrame:
+def _group_bytes(total: int, least: int) -> int:
+    """Bytes of a group. The messages of all groups to all shards are kept to a number in proportion to the input."""
+    return min(max(least, int((total * least / GROUPS) ** 0.5)), GROWN * least)
+
+
+def _each_group(docs: DataFrame, last: Callable, schema, hot_strings: int, group_bytes: int) -> DataFrame:
     total = text_bytes(docs)
-    groups, shards = groups_for(total, group_bytes), groups_for(total, 2 * group_bytes)
+    size = _group_bytes(total, group_bytes)
+    groups, shards = groups_for(total, size), groups_for(total, 2 * size)
     # rows without an id, or of one repeated id, are spread by their texts
     group = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(groups)).cast("int")
     key = free_name(docs, KEY)
     dealt = docs.withColumn(key, group)
-    grams = dealt.groupBy(key).applyInArrow(_anchors(shards, key), MESSAGE)
-    told = grams.groupBy("shard").applyInArrow(_repeated(hot_groups), MESSAGE)
+    anchors = dealt.groupBy(key).applyInArrow(_anchors(shards, key), MESSAGE)
+    told = anchors.groupBy("shard").applyInArrow(_repeated(hot_strings), MESSAGE)
     strings = dealt.groupBy(key).cogroup(told.groupBy(KEY)).applyInArrow(_strings(shards, key), MESSAGE)
     answers = strings.groupBy("shard").applyInArrow(_answers, MESSAGE)
-    hot = told.withColumn("shard", F.lit(-1))
-    return dealt.groupBy(key).cogroup(answers.unionAll(hot).groupBy(KEY)).applyInArrow(last, schema)
+    return dealt.groupBy(key).cogroup(answers.groupBy(KEY)).applyInArrow(last, schema)
 
 
-def repeat_digests(docs: DataFrame, hot_groups: int = HOT_GROUPS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def repeat_digests(docs: DataFrame, hot_strings: int = HOT_STRINGS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of every row of ``docs (doc_id, text)``.
 
     A byte is removed where a string of 50 bytes covers it that also starts in a document with a smaller doc_id;
@@ -455,11 +536,11 @@ def repeat_digests(docs: DataFrame, hot_groups: int = HOT_GROUPS, group_bytes: i
     rows; further columns are ignored.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _each_group(plain, _digests, DIGESTS, hot_groups, group_bytes)
+    return _each_group(plain, _digests, DIGESTS, hot_strings, group_bytes)
 
 
-def without_repeats(docs: DataFrame, hot_groups: int = HOT_GROUPS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, hot_strings: int = HOT_STRINGS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``; a character that loses a part of its bytes goes whole.
     All rows and all other columns stay as they are."""
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
-    return _each_group(docs, _rewritten(docs.columns), schema, hot_groups, group_bytes)
+    return _each_group(docs, _rewritten(docs.columns), schema, hot_strings, group_bytes)

@@ -1,10 +1,12 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import documents, empty
 
 from tallyloom.llm import repeats
+from tallyloom.llm.common import groups_for
 
 
 def brute(rows):
@@ -105,3 +107,54 @@ def test_runs_of_a_buffer():
     for k, text in enumerate(texts):  # every window of every text is in one run, in order
         at = [i for b, m in zip(begin[part == k], n[part == k], strict=True) for i in range(b, b + m)]
         assert at == list(range(ends[k] - len(text), ends[k] - repeats.WINDOW + 1))
+
+
+def group_of(group, texts):
+    return pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string()), "__group": pa.array([group] * len(texts), pa.int32())})
+
+
+@pytest.mark.parametrize("hot_strings", [1 << 15, 1])
+def test_periodic_texts_against_brute_force(spark, hot_strings):
+    rng = np.random.default_rng(3)
+    units = ["a ", "ab", " a a ", "0.25 0.50 ", "the the the a ", "é-", "=", "Thon thou "]
+    rows = [(int(i), "".join(rng.choice(units) * int(rng.integers(1, 60)) for _ in range(6))) for i in rng.permutation(60)]
+    found = repeats.repeat_digests(spark.createDataFrame(rows, "doc_id long, text string"), hot_strings, 3000).collect()
+    assert sorted(tuple(r) for r in found) == brute(sorted((i, t.encode()) for i, t in rows))
+
+
+@pytest.mark.parametrize("megabytes", [1, 100, 1000, 10_000, 40_000])
+def test_messages_do_not_grow_with_the_square_of_the_input(megabytes):
+    total = megabytes << 20
+    size = repeats._group_bytes(total, repeats.GROUP_BYTES)
+    messages = groups_for(total, size) * groups_for(total, 2 * size)
+    assert messages <= 1 + total / 8192 and repeats.GROUP_BYTES <= size <= 16 << 20
+
+
+def test_a_short_phrase_in_many_contexts_sends_no_strings():
+    rng = np.random.default_rng(5)
+    texts = [" as a matter of fact ".join("".join(map(chr, rng.integers(97, 123, 60))) for _ in range(30)) for _ in range(20)]
+    anchors = pa.concat_tables([repeats._anchors(1, "__group")(group_of(g, texts[10 * g : 10 * g + 10])) for g in range(2)])
+    assert len(repeats._repeated(1 << 15)(anchors)) == 0
+
+
+def test_a_passage_that_all_groups_have_stays_in_whole_strings():
+    docs = group_of(0, ["begin of it " + " ".join(f"word{i}" for i in range(60))] * 2)
+    anchors = repeats._anchors(1, "__group")(docs)
+    sent = []
+    for groups in (2, 1000):  # a thousand groups with one string each are no load for a shard
+        all_groups = pa.concat_tables([anchors.set_column(1, "__group", pa.array([g], pa.int32())) for g in range(groups)])
+        told = repeats._repeated(repeats.HOT_STRINGS)(all_groups)
+        sent.append(repeats._strings(1, "__group")(docs, told.filter(pa.array([g == 0 for g in told.column("__group").to_pylist()]))))
+    assert sent[0].equals(sent[1])
+
+
+def test_hashes_tell_regular_strings_apart():
+    strings = {(b"u" * (k % 2) + unit * 50)[:size] for unit in (b" a", b"a ", b"0.25 ", b"==", b"a\x00") for k in range(2) for size in range(50, 85)}
+    for at in range(60):
+        strings |= {b"1.00 2.00 " * 5 + bytes([x]) * (k + 1) + b"0" * at for x in b"0123456789" for k in range(3)}
+    strings = sorted(s for s in strings if len(s) <= 84)
+    sizes = np.array([len(s) for s in strings])
+    found = repeats._hashed(repeats._words(np.frombuffer(b"".join(strings), np.uint8)), np.cumsum(sizes) - sizes, sizes)
+    assert len(set(found.tolist())) == len(strings)
+    one = [repeats._hashed(repeats._words(np.frombuffer(s, np.uint8)), np.array([0]), np.array([len(s)]))[0] for s in strings]
+    assert found.tolist() == one  # whatever is hashed beside it
