@@ -13,8 +13,8 @@ that every window of ``WINDOW`` bytes lies whole in one of them and equal window
    class of equal windows the smallest document; the answers go back to the groups.
 5. ``_removed``: every byte under a window that a smaller document also has is marked.
 
-Documents are dealt into groups of ``GROUP_BYTES`` or more by a hash; the exchange that does so is used by steps 1, 3
-and 5. What steps 1-4 send on are packed arrays, one row for each group and shard. Groups grow with the root of the
+Documents are dealt into groups of ``GROUP_BYTES`` or more by a hash of their texts, so that copies meet: of these only one
+goes through steps 1 to 4, the others follow from it. The exchange that deals them is used by steps 1, 3 and 5. What steps 1-4 send on are packed arrays, one row for each group and shard. Groups grow with the root of the
 input, so these rows grow with the input and not with its square.
 """
 
@@ -40,6 +40,7 @@ GROUP_BYTES = 2 << 20
 #: Beyond so many groups their size grows as their number does, up to so many times.
 GROUPS, GROWN = 128, 8
 SLICE = 1 << 20  # bytes that are looked at together
+ROW_BYTES = 100  # that a row counts for besides its text
 PLACE = (1 << 22) - 1  # the bits of a position in a slice, which holds less than 2 * SLICE + WINDOW bytes
 #: A core with more strings than this, over all groups, is hot: they are cut into single windows, dealt by their own hash.
 HOT_STRINGS = 1 << 15
@@ -192,6 +193,20 @@ def _texts(table: pa.Table) -> list[bytes]:
     return [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in table.column("text").cast(pa.binary())]
 
 
+def _firsts(texts: list[bytes], ids: np.ndarray) -> list[int]:
+    """For every row the row of the same text with the smallest id, which may be itself."""
+    first: dict[bytes, int] = {}
+    numbers = ids.tolist()
+    for k, text in enumerate(texts):
+        if numbers[first.setdefault(text, k)] > numbers[k]:
+            first[text] = k
+    return [first[text] for text in texts]
+
+
+def _without_copies(texts: list[bytes], ids: np.ndarray) -> list[bytes]:
+    return [text if k == first else b"" for k, (text, first) in enumerate(zip(texts, _firsts(texts, ids), strict=True))]
+
+
 def _ids(table: pa.Table) -> np.ndarray:
     return table.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy()
 
@@ -220,7 +235,7 @@ def _sent_on(table: pa.Table) -> pa.Table:
 def _anchors(shards: int, key: str) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         ids, cores, sides, docs = _ids(table), [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for data, which, _, ends in _slices(_texts(table)):
+        for data, which, _, ends in _slices(_without_copies(_texts(table), ids)):
             eight = _words(data)
             g, part, begin, n = _runs(data, ends, eight)
             cores.append(g)
@@ -277,7 +292,7 @@ def _strings(shards: int, key: str) -> Callable:
         ids = _ids(docs)
         found: dict[int, bytes] = {}  # strings by their hashes
         rows = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-        for data, which, _, ends in _slices(_texts(docs)):
+        for data, which, _, ends in _slices(_without_copies(_texts(docs), ids)):
             raw, eight = data.tobytes(), _words(data)
             g, part, begin, n = _runs(data, ends, eight)
             at = np.minimum(np.searchsorted(cores, g), len(cores) - 1)
@@ -454,14 +469,15 @@ def _answers(table: pa.Table) -> pa.Table:
 def _marks(docs: pa.Table, told: pa.Table) -> Iterator[tuple[bytes, np.ndarray]]:
     """Every text of a group with the mask of its removed bytes."""
     texts, ids = _texts(docs), _ids(docs)
-    base = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    firsts, own = _firsts(texts, ids), _without_copies(texts, ids)
+    base = np.cumsum([0, *(len(t) + 1 for t in own)])
     # by how much more windows cover a byte than the one before; a byte has WINDOW at most
     change = np.zeros(base[-1], np.int8)
     if len(told):
         digest, offset, length, smallest, cut = (np.concatenate(x) for x in zip(*_unpacked(told.column("body"), "u8", "u1", "u1", "i8", "u8"), strict=True))
         order = np.argsort(digest, kind="stable")
         digest, offset, length, smallest = digest[order], offset[order].astype(np.int64), length[order].astype(np.int64), smallest[order]
-        for data, which, shift, ends in _slices(texts) if len(digest) else ():
+        for data, which, shift, ends in _slices(own) if len(digest) else ():
             eight = _words(data)
             g, part, begin, n = _runs(data, ends, eight)
             if len(cut):  # strings of hot cores were sent as single windows
@@ -479,8 +495,11 @@ def _marks(docs: pa.Table, told: pa.Table) -> Iterator[tuple[bytes, np.ndarray]]
             np.add.at(change, first, 1)
             np.subtract.at(change, first + length[answer] + WINDOW - 1, 1)
     mask = np.cumsum(change, dtype=np.int8) > 0
-    for text, start in zip(texts, base.tolist(), strict=False):
-        yield text, mask[start : start + len(text)]
+    for text, number, first in zip(texts, ids.tolist(), firsts, strict=True):
+        if number > ids[first] and len(text) >= WINDOW:
+            yield text, np.ones(len(text), bool)
+        else:
+            yield text, mask[base[first] : base[first] + len(text)]
 
 
 DIGESTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -516,8 +535,12 @@ def _each_group(docs: DataFrame, last: Callable, schema, hot_strings: int, group
     total = text_bytes(docs)
     size = _group_bytes(total, group_bytes)
     groups, shards = groups_for(total, size), groups_for(total, 2 * size)
-    # rows without an id, or of one repeated id, are spread by their texts
-    group = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(groups)).cast("int")
+    # copies meet; where they would fill a group, they are spread by their ids
+    text = F.xxhash64("text")
+    weight = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
+    copies = docs.select(text.alias("text"), weight.alias("weight")).groupBy("text").agg(F.sum("weight").alias("weight"), F.count("*").alias("n"))
+    many = [r.text for r in copies.where((F.col("n") > 1) & (F.col("weight") > size // 4)).select("text").collect()]
+    group = F.pmod(F.xxhash64("text", F.when(text.isin(many), F.col("doc_id").cast("long"))), F.lit(groups)).cast("int")
     key = free_name(docs, KEY)
     dealt = docs.withColumn(key, group)
     anchors = dealt.groupBy(key).applyInArrow(_anchors(shards, key), MESSAGE)

@@ -158,3 +158,24 @@ def test_hashes_tell_regular_strings_apart():
     assert len(set(found.tolist())) == len(strings)
     one = [repeats._hashed(repeats._words(np.frombuffer(s, np.uint8)), np.array([0]), np.array([len(s)]))[0] for s in strings]
     assert found.tolist() == one  # whatever is hashed beside it
+
+
+def test_copies_of_a_text_send_no_strings():
+    texts = ["".join(map(chr, np.random.default_rng(k).integers(97, 123, 500))) for k in range(5)]
+    docs = group_of(0, texts * 20)
+    assert len(repeats._repeated(1 << 15)(repeats._anchors(1, "__group")(docs))) == 0
+    found = repeats._digests(docs, pa.table({"shard": pa.array([], pa.int32()), "__group": pa.array([], pa.int32()), "body": pa.array([], pa.binary())}))
+    assert [tuple(r.values()) for r in found.to_pylist()] == brute([(k, t.encode()) for k, t in enumerate(texts * 20)])
+
+
+@pytest.mark.parametrize("group_bytes", [4000, 2 << 20])
+def test_copies_within_and_over_groups(spark, group_bytes):
+    rng = np.random.default_rng(7)
+    common = " ".join(f"common{i}" for i in range(80))
+    few = ["".join(map(chr, rng.integers(97, 123, int(n)))) for n in rng.integers(40, 400, 10)]
+    rows = [(i, common) for i in range(60)] + [(100 + i, few[i % 10] + common[:200]) for i in range(40)] + [(200 + i, few[i % 10]) for i in range(40)]
+    rows += [(None, common), (None, few[3]), (205, few[5]), (7, few[7] + "!"), (300, "x" * 49), (301, "x" * 49), *((400 + i, None) for i in range(50))]
+    docs = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "doc_id long, text string")
+    found = repeats.repeat_digests(docs, group_bytes=group_bytes).collect()
+    got = sorted((repeats.NO_ID if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
+    assert got == brute(rows_of(docs))
